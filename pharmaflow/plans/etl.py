@@ -1 +1,390 @@
-"""Registered queries (filled in below)."""
+"""ETL flows: safety-report documents and FHIR bundles.
+
+Nested inputs are built from the driver tables (reports from orders with
+their lineitems as drugs; bundles from orders + customer), written to a fresh
+folder under the session's shared checkpoint dir, and read back through the
+sources, so every query exercises the real file paths.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, StringType
+
+from .. import schemas
+from ..operators import flatten as FL
+from ..sources import files as FS
+from ..sources.tables import save_table
+from .registry import fresh_dir, register, t
+
+DOC_SIZE = 1000  # reports per document: orderkeys are unique, so bounded
+
+
+def _str(c):
+    return F.col(c).cast("string")
+
+
+def nested_reports(spark, sf) -> DataFrame:
+    """Orders as safety reports: two reactions (priority, status with stray
+    whitespace), one drug per lineitem sorted by (linenumber, partkey,
+    suppkey). Orders without lineitems get an empty drug list."""
+    li = t(spark, sf, "lineitem")
+    drug = F.struct(
+        F.concat(F.lit(" part-"), _str("l_partkey"), F.lit(" ")).alias("medicinalproduct"),
+        _str("l_suppkey").alias("drugauthorizationnumb"),
+        F.struct(F.array(F.col("l_returnflag")).alias("brand_name"),
+                 F.array().cast(ArrayType(StringType())).alias("manufacturer_name"),
+                 F.array(F.concat_ws("-", _str("l_linenumber"), F.col("l_linestatus")))
+                 .alias("product_ndc")).alias("openfda"))
+    drugs = (li.groupBy("l_orderkey")
+               .agg(F.array_sort(F.collect_list(F.struct(
+                   F.struct("l_linenumber", "l_partkey", "l_suppkey").alias("k"),
+                   drug.alias("d")))).alias("items"))
+               .select(F.col("l_orderkey").alias("o_orderkey"),
+                       F.transform("items", lambda x: x["d"]).alias("drugs")))
+    o = t(spark, sf, "orders").join(drugs, "o_orderkey", "left")
+    drug_t = schemas.PATIENT["drug"].dataType
+    return o.select(
+        _str("o_orderkey").alias("safetyreportid"),
+        F.date_format("o_orderdate", "yyyyMMdd").alias("receivedate"),
+        F.substring("o_orderpriority", 1, 1).alias("serious"),
+        F.struct(
+            (F.col("o_custkey") % 100).cast("string").alias("patientonsetage"),
+            F.col("o_orderstatus").alias("patientsex"),
+            F.array(F.struct(F.col("o_orderpriority").alias("reactionmeddrapt")),
+                    F.struct(F.concat(F.lit(" "), F.col("o_orderstatus"), F.lit("\t"))
+                             .alias("reactionmeddrapt"))).alias("reaction"),
+            F.coalesce(F.col("drugs"), F.array().cast(drug_t)).cast(drug_t).alias("drug"),
+        ).alias("patient"))
+
+
+def report_documents(spark, sf) -> str:
+    """Write the nested reports as ``{"results": [...]}`` documents."""
+    path = fresh_dir(spark, "reports")
+    reports = nested_reports(spark, sf)
+    FS.write_report_documents(
+        reports, path,
+        doc_key=F.floor(F.col("safetyreportid").cast("long") / F.lit(DOC_SIZE)),
+        order_cols=["safetyreportid"])
+    return path
+
+
+_REPORT_SQL = """
+WITH n AS (SELECT l_orderkey, count(*) AS n_drugs FROM lineitem GROUP BY 1)
+SELECT CAST(o_orderkey AS VARCHAR) AS safetyreportid, strftime(o_orderdate, '%Y%m%d') AS receivedate,
+       substr(o_orderpriority, 1, 1) AS serious, CAST(o_custkey % 100 AS VARCHAR) AS patientonsetage,
+       o_orderstatus AS patientsex, 2 AS n_reactions, coalesce(n.n_drugs, 0) AS n_drugs
+FROM orders LEFT JOIN n ON n.l_orderkey = o_orderkey"""
+
+
+@register("s1_report_source", _REPORT_SQL)
+def s1_report_source(spark, sf):
+    rep = FS.read_report_files(spark, report_documents(spark, sf))
+    return rep.select(
+        "safetyreportid", "receivedate", "serious",
+        F.col("patient.patientonsetage").alias("patientonsetage"),
+        F.col("patient.patientsex").alias("patientsex"),
+        F.size("patient.reaction").alias("n_reactions"),
+        F.size("patient.drug").cast("bigint").alias("n_drugs"))
+
+
+_EVENTS_SQL = """
+WITH li AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_partkey, l_suppkey
+                                         ORDER BY l_linenumber) AS rn FROM lineitem),
+r AS (SELECT o_orderkey AS k, 0 AS rpos, o_orderpriority AS reaction FROM orders
+      UNION ALL SELECT o_orderkey, 1, o_orderstatus FROM orders)
+SELECT CAST(o_orderkey AS VARCHAR) AS safetyreportid, strftime(o_orderdate, '%Y%m%d') AS receivedate,
+       substr(o_orderpriority, 1, 1) AS serious, CAST(o_custkey % 100 AS VARCHAR) AS patientonsetage,
+       o_orderstatus AS patientsex, r.reaction,
+       'part-' || CAST(l_partkey AS VARCHAR) AS medicinalproduct,
+       CAST(l_suppkey AS VARCHAR) AS drugauthorizationnumb,
+       l_returnflag AS brand_name, CAST(NULL AS VARCHAR) AS manufacturer_name,
+       CAST(l_linenumber AS VARCHAR) || '-' || l_linestatus AS product_ndc
+FROM orders JOIN r ON r.k = o_orderkey JOIN li ON li.l_orderkey = o_orderkey AND li.rn = 1"""
+
+
+@register("etl_report_events", _EVENTS_SQL)
+def etl_report_events(spark, sf):
+    """S1 -> N1 -> N2/N3 -> N4: the safety-report transform."""
+    rep = FS.read_report_files(spark, report_documents(spark, sf))
+    return FL.reports_to_events(rep)
+
+
+@register("n1_flatten_reports", """
+WITH r AS (SELECT o_orderkey AS k, o_orderpriority AS reaction FROM orders
+           UNION ALL SELECT o_orderkey, o_orderstatus FROM orders)
+SELECT CAST(o_orderkey AS VARCHAR) AS safetyreportid, r.reaction,
+       'part-' || CAST(l_partkey AS VARCHAR) AS medicinalproduct,
+       CAST(l_suppkey AS VARCHAR) AS drugauthorizationnumb,
+       CAST(l_linenumber AS VARCHAR) || '-' || l_linestatus AS product_ndc
+FROM orders JOIN r ON r.k = o_orderkey JOIN lineitem ON l_orderkey = o_orderkey""")
+def n1_flatten_reports(spark, sf):
+    """N1 alone (no dedup): one row per reaction x drug of each report."""
+    rep = FS.read_report_files(spark, report_documents(spark, sf))
+    return FL.flatten_reports(rep).select("safetyreportid", "reaction", "medicinalproduct",
+                                          "drugauthorizationnumb", "product_ndc")
+
+
+@register("n4_dedup_keep_first", """
+SELECT l_partkey, l_suppkey, l_orderkey, l_linenumber, l_quantity FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_partkey, l_suppkey
+                               ORDER BY l_orderkey, l_linenumber) AS rn FROM lineitem) WHERE rn = 1""")
+def n4_dedup_keep_first(spark, sf):
+    li = t(spark, sf, "lineitem").select("l_partkey", "l_suppkey", "l_orderkey",
+                                          "l_linenumber", "l_quantity")
+    return FL.keep_first(li, ["l_partkey", "l_suppkey"], ["l_orderkey", "l_linenumber"])
+
+
+@register("s9_save_table_replace", """
+SELECT n_nationkey, n_name, n_regionkey FROM nation""")
+def s9_save_table_replace(spark, sf):
+    """The table is saved twice in replace mode; the read-back holds one copy."""
+    path = fresh_dir(spark, "nation_table")
+    nation = t(spark, sf, "nation")
+    save_table(nation, path)
+    n = save_table(nation, path)
+    assert n == nation.count()
+    return spark.read.parquet(path)
+
+
+@register("s3_csv_roundtrip", """
+SELECT n_nationkey, CASE WHEN n_regionkey = 0 THEN NULL ELSE n_name END AS n_name, n_regionkey
+FROM nation""")
+def s3_csv_roundtrip(spark, sf):
+    """S7 writes CSV (empty text as an empty field); S3 reads it back with a
+    schema, where empty fields become NULL."""
+    path = fresh_dir(spark, "nation_csv")
+    nation = t(spark, sf, "nation")
+    df = nation.select("n_nationkey",
+                       F.when(F.col("n_regionkey") == 0, F.lit("")).otherwise(F.col("n_name"))
+                       .alias("n_name"), "n_regionkey")
+    FS.write_csv(df, path)
+    return FS.read_csv(spark, path, nation.schema)
+
+
+@register("s2_json_props", """
+SELECT event_id, CAST(regexp_extract(props, '"k":\\s*(-?[0-9]+)', 1) AS INTEGER) AS k FROM events""")
+def s2_json_props(spark, sf):
+    ev = t(spark, sf, "events")
+    return ev.select("event_id", F.from_json("props", "k int")["k"].alias("k"))
+
+
+@register("s2_ndjson_skip_bad", """
+SELECT event_id, event_type, value FROM events WHERE event_type <> 'error'""")
+def s2_ndjson_skip_bad(spark, sf):
+    """NDJSON with malformed lines (every 'error' event): they are skipped."""
+    path = fresh_dir(spark, "events_ndjson")
+    ev = t(spark, sf, "events")
+    line = F.to_json(F.struct("event_id", "event_type", "value"))
+    ev.select(F.when(F.col("event_type") == "error", F.concat(F.lit("{oops "), line))
+              .otherwise(line).alias("value")).write.mode("overwrite").text(path)
+    schema = ev.select("event_id", "event_type", "value").schema
+    return FS.read_json(spark, path, schema, layout="ndjson")
+
+
+@register("s5_by_suffix_csv", """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""")
+def s5_by_suffix_csv(spark, sf):
+    base = fresh_dir(spark, "resources")
+    cust = t(spark, sf, "customer")
+    FS.write_csv(cust, f"{base}/customer")
+    return FS.read_resource(spark, "customer", base, cust.schema)
+
+
+@register("s5_by_suffix_ndjson", """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""")
+def s5_by_suffix_ndjson(spark, sf):
+    base = fresh_dir(spark, "resources")
+    cust = t(spark, sf, "customer")
+    FS.write_json(cust, f"{base}/customer.ndjson")
+    return FS.read_resource(spark, "customer", base, cust.schema)
+
+
+# ------------------------------------------------------------------ FHIR
+def _iso(c):
+    return F.date_format(c, "yyyy-MM-dd")
+
+
+def bundles_text(spark, sf) -> DataFrame:
+    """One FHIR-like bundle per order (JSON text): the customer as Patient,
+    plus Encounter, Condition, Observation and MedicationRequest."""
+    o = t(spark, sf, "orders")
+    c = t(spark, sf, "customer")
+    j = o.join(c, o.o_custkey == c.c_custkey)
+    pid = F.concat(F.lit("c"), _str("c_custkey"))
+    subject = F.struct(F.concat(F.lit("Patient/"), pid).alias("reference"))
+    key = _str("o_orderkey")
+    coding = F.when(F.col("o_orderstatus") == "P", F.array())
+    patient = F.struct(
+        F.lit("Patient").alias("resourceType"), pid.alias("id"),
+        F.when(F.col("c_nationkey") % 2 == 0, "female").otherwise("male").alias("gender"),
+        _iso(F.date_add(F.lit("1940-01-01").cast("date"), (F.col("c_custkey") % 20000).cast("int")))
+        .alias("birthDate"),
+        F.array(F.struct(F.split("c_name", "#").alias("given"),
+                         F.col("c_mktsegment").alias("family"))).alias("name"),
+        F.array(F.struct(F.concat(F.lit("City"), _str("c_nationkey")).alias("city"),
+                         F.when(F.col("c_nationkey") % 3 == 0, F.lit(None))
+                         .otherwise(F.lit("ST")).alias("state"))).alias("address"))
+    encounter = F.struct(
+        F.lit("Encounter").alias("resourceType"), F.concat(F.lit("e"), key).alias("id"),
+        subject.alias("subject"),
+        F.struct(_iso("o_orderdate").alias("start"),
+                 _iso(F.date_add(F.to_date("o_orderdate"), 1)).alias("end")).alias("period"))
+    condition = F.struct(
+        F.lit("Condition").alias("resourceType"), F.concat(F.lit("cond"), key).alias("id"),
+        subject.alias("subject"), _iso("o_orderdate").alias("onsetDateTime"),
+        F.struct(F.col("o_orderpriority").alias("text"),
+                 coding.otherwise(F.array(F.struct(F.col("o_orderstatus").alias("code"),
+                                                   F.col("o_orderpriority").alias("display"))))
+                 .alias("coding")).alias("code"),
+        F.struct(F.array(F.struct(F.when(F.col("o_orderstatus") == "F", "resolved")
+                                  .otherwise("active").alias("code"))).alias("coding"))
+        .alias("clinicalStatus"))
+    observation = F.struct(
+        F.lit("Observation").alias("resourceType"), F.concat(F.lit("obs"), key).alias("id"),
+        subject.alias("subject"), F.struct(F.lit("total").alias("text")).alias("code"),
+        F.struct(F.col("o_totalprice").alias("value")).alias("valueQuantity"))
+    med_name = F.concat(F.lit("Drug-"), (F.col("o_custkey") % 50).cast("string"))
+    medication = F.struct(
+        F.lit("MedicationRequest").alias("resourceType"), F.concat(F.lit("med"), key).alias("id"),
+        subject.alias("subject"), _iso("o_orderdate").alias("authoredOn"),
+        F.when(F.col("o_orderstatus") == "F", "stopped").otherwise("active").alias("status"),
+        F.struct(med_name.alias("text"),
+                 coding.otherwise(F.array(F.struct(F.col("o_orderpriority").alias("code"),
+                                                   med_name.alias("display"))))
+                 .alias("coding")).alias("medicationCodeableConcept"))
+    entries = F.array(*[F.to_json(r) for r in (patient, encounter, condition, observation, medication)])
+    # Entries differ in shape; each is rendered to JSON and joined into one bundle text.
+    bundle = F.concat(F.lit('{"resourceType":"Bundle","entry":['),
+                      F.array_join(F.transform(entries, lambda e: F.concat(F.lit('{"resource":'), e,
+                                                                           F.lit("}"))), ","),
+                      F.lit("]}"))
+    return j.select("o_orderkey", "o_orderstatus", bundle.alias("json"))
+
+
+def parsed_resources(spark, sf) -> DataFrame:
+    b = bundles_text(spark, sf).select(F.from_json("json", schemas.BUNDLE)["entry"].alias("entry"))
+    return FL.explode_resources(b)
+
+
+_FHIR_BASE = """
+WITH b AS (SELECT o.*, c.* FROM orders o JOIN customer c ON o_custkey = c_custkey)"""
+
+
+@register("n5_patients", _FHIR_BASE + """
+SELECT 'c' || CAST(c_custkey AS VARCHAR) AS id,
+       CASE WHEN c_nationkey % 2 = 0 THEN 'female' ELSE 'male' END AS gender,
+       strftime(DATE '1940-01-01' + CAST(c_custkey % 20000 AS INTEGER), '%Y-%m-%d') AS birthDate
+FROM b""")
+def n5_patients(spark, sf):
+    return FL.fhir_tables(parsed_resources(spark, sf))["patients"]
+
+
+@register("n5_encounters", _FHIR_BASE + """
+SELECT 'e' || CAST(o_orderkey AS VARCHAR) AS id, 'Patient/c' || CAST(c_custkey AS VARCHAR) AS patient,
+       strftime(o_orderdate, '%Y-%m-%d') AS start,
+       strftime(CAST(o_orderdate AS DATE) + 1, '%Y-%m-%d') AS "end"
+FROM b""")
+def n5_encounters(spark, sf):
+    return FL.fhir_tables(parsed_resources(spark, sf))["encounters"]
+
+
+@register("n5_conditions", _FHIR_BASE + """
+SELECT 'cond' || CAST(o_orderkey AS VARCHAR) AS id, 'Patient/c' || CAST(c_custkey AS VARCHAR) AS patient,
+       o_orderpriority AS code FROM b""")
+def n5_conditions(spark, sf):
+    return FL.fhir_tables(parsed_resources(spark, sf))["conditions"]
+
+
+@register("n5_observations", _FHIR_BASE + """
+SELECT 'obs' || CAST(o_orderkey AS VARCHAR) AS id, 'Patient/c' || CAST(c_custkey AS VARCHAR) AS patient,
+       'total' AS code, o_totalprice AS value FROM b""")
+def n5_observations(spark, sf):
+    return FL.fhir_tables(parsed_resources(spark, sf))["observations"]
+
+
+@register("n5_medications", _FHIR_BASE + """
+SELECT 'med' || CAST(o_orderkey AS VARCHAR) AS id, 'Patient/c' || CAST(c_custkey AS VARCHAR) AS patient,
+       'Drug-' || CAST(o_custkey % 50 AS VARCHAR) AS medication FROM b""")
+def n5_medications(spark, sf):
+    return FL.fhir_tables(parsed_resources(spark, sf))["medications"]
+
+
+@register("n6_patient_view", _FHIR_BASE + """
+SELECT 'c' || CAST(c_custkey AS VARCHAR) AS id, array_to_string(string_split(c_name, '#'), ' ') AS first,
+       c_mktsegment AS last, CASE WHEN c_nationkey % 2 = 0 THEN 'female' ELSE 'male' END AS gender,
+       strftime(DATE '1940-01-01' + CAST(c_custkey % 20000 AS INTEGER), '%Y-%m-%d') AS birthdate,
+       'City' || CAST(c_nationkey AS VARCHAR) || ', ' || CASE WHEN c_nationkey % 3 = 0 THEN '' ELSE 'ST' END
+         AS address
+FROM b""")
+def n6_patient_view(spark, sf):
+    return FL.patient_view(parsed_resources(spark, sf))
+
+
+@register("n7_condition_view", _FHIR_BASE + """
+SELECT 'cond' || CAST(o_orderkey AS VARCHAR) AS id, 'c' || CAST(c_custkey AS VARCHAR) AS patient_id,
+       CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END AS code,
+       CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderpriority END AS display,
+       strftime(o_orderdate, '%Y-%m-%d') AS onsetDateTime,
+       CASE WHEN o_orderstatus = 'F' THEN 'resolved' ELSE 'active' END AS clinicalStatus
+FROM b""")
+def n7_condition_view(spark, sf):
+    return FL.condition_view(parsed_resources(spark, sf))
+
+
+@register("n8_medication_view", _FHIR_BASE + """
+SELECT 'med' || CAST(o_orderkey AS VARCHAR) AS id, 'c' || CAST(c_custkey AS VARCHAR) AS patient_id,
+       CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderpriority END AS medication_code,
+       CASE WHEN o_orderstatus = 'P' THEN NULL ELSE 'Drug-' || CAST(o_custkey % 50 AS VARCHAR) END
+         AS medication_display,
+       strftime(o_orderdate, '%Y-%m-%d') AS authoredOn,
+       CASE WHEN o_orderstatus = 'F' THEN 'stopped' ELSE 'active' END AS status
+FROM b""")
+def n8_medication_view(spark, sf):
+    return FL.medication_view(parsed_resources(spark, sf))
+
+
+@register("n10_patients_birthdate", _FHIR_BASE + """
+SELECT 'c' || CAST(c_custkey AS VARCHAR) AS id,
+       CASE WHEN c_nationkey % 2 = 0 THEN 'female' ELSE 'male' END AS gender,
+       strftime(DATE '1940-01-01' + CAST(c_custkey % 20000 AS INTEGER), '%Y-%m-%d %H:%M:%S') AS birthDate
+FROM b""")
+def n10_patients_birthdate(spark, sf):
+    p = FL.patients_table(parsed_resources(spark, sf))
+    return p.select("id", "gender", F.date_format("birthDate", "yyyy-MM-dd HH:mm:ss").alias("birthDate"))
+
+
+@register("s4_fhir_directory", _FHIR_BASE + """
+SELECT 'e' || CAST(o_orderkey AS VARCHAR) AS id, 'Patient/c' || CAST(c_custkey AS VARCHAR) AS patient
+FROM b WHERE o_orderstatus <> 'P'""")
+def s4_fhir_directory(spark, sf):
+    """Bundles in two kept files and one skip-listed file; staged once
+    (N5 staging) and the encounters derived from the staged resources."""
+    base = fresh_dir(spark, "fhir")
+    b = bundles_text(spark, sf)
+    kept = b.where(F.col("o_orderstatus") != "P")
+    _write_named(spark, kept.where(F.col("o_orderkey") % 2 == 0).select("json"), base, "bundle_even.json")
+    _write_named(spark, kept.where(F.col("o_orderkey") % 2 == 1).select("json"), base, "bundle_odd.json")
+    _write_named(spark, b.where(F.col("o_orderstatus") == "P").select("json"), base,
+                 "hospitalInformation1.json")
+    bundles = FS.read_fhir_dir(spark, base, multi_line=False)
+    staged = FL.stage_resources(FL.explode_resources(bundles), fresh_dir(spark, "fhir_staged"))
+    return FL.fhir_tables(staged)["encounters"].select("id", "patient")
+
+
+def _write_named(spark, df, base, name):
+    """Write one-bundle-per-line text and move the part files to ``base/<name>``
+    (prefixing the part number so several parts keep distinct names)."""
+    tmp = fresh_dir(spark, "fhir_tmp")
+    df.write.mode("overwrite").text(tmp)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src = jvm.org.apache.hadoop.fs.Path(tmp)
+    fs = src.getFileSystem(conf)
+    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(base))
+    for i, st in enumerate(sorted(fs.listStatus(src), key=lambda s: s.getPath().getName())):
+        pname = st.getPath().getName()
+        if not pname.startswith("part-"):
+            continue
+        stem = name[:-len(".json")]
+        fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(f"{base}/{stem}_{i:05d}.json"))

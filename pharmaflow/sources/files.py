@@ -71,7 +71,7 @@ def write_report_documents(reports: DataFrame, path: str, doc_key,
 
 
 # ---------------------------------------------------------------- S2
-def read_json(spark: SparkSession, path: str, schema: StructType,
+def read_json(spark: SparkSession, path, schema: StructType,
               layout: str = "ndjson", bad_records=None) -> DataFrame:
     """JSON records with a fixed schema.
 
@@ -97,7 +97,7 @@ def read_json(spark: SparkSession, path: str, schema: StructType,
 
 
 # ---------------------------------------------------------------- S3
-def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path, schema: StructType | None = None) -> DataFrame:
     """CSV with header; empty fields -> NULL. With no schema, types are
     inferred (an extra pass: prefer passing the schema)."""
     reader = spark.read.option("header", True).option("nullValue", "")
@@ -141,43 +141,44 @@ def _is_dir(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath) and fs.getFileStatus(hpath).isDirectory()
 
 
-def read_by_suffix(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Dispatch on file suffix: .json/.ndjson/.ndjsonl -> JSON, .csv -> CSV."""
-    low = path.lower()
-    if low.endswith(".json"):
-        # A .json file is either NDJSON or one array/object document.
-        return read_json(spark, path, schema, layout="ndjson")
-    if low.endswith((".ndjson", ".ndjsonl")):
-        return read_json(spark, path, schema, layout="ndjson")
-    if low.endswith(CSV_SUFFIXES):
-        return read_csv(spark, path, schema)
-    raise ValueError(f"Unsupported candidate file type: {path}")
-
-
 def read_resource(spark: SparkSession, resource: str, input_dir: str,
                   schema: StructType, json_layout: str = "ndjson") -> DataFrame:
-    """Pick the first supported file for ``resource`` and read it.
-
-    Looks in ``input_dir/<resource>/`` (sorted), then for
-    ``input_dir/<resource>.{json,ndjson,csv}``. Nothing found: the sample
-    patients for ``patients``, else an empty frame.
+    """Read ``resource`` from the first supported candidate, by suffix.
+
+    Candidates: the files of ``input_dir/<resource>/`` in sorted order, else
+    an entry ``input_dir/<resource>.{json,ndjson,csv}``. The first candidate
+    with a supported suffix decides the format; all files of the folder with
+    that suffix are read as one dataset (a Spark-written table is a folder of
+    part files). Nothing found: the two sample rows for ``patients``, else an
+    empty frame.
     """
-    candidates = []
-    sub = f"{input_dir.rstrip('/')}/{resource}"
+    base = input_dir.rstrip("/")
+    sub = f"{base}/{resource}"
+    paths: list[str] = []
+    suffix = None
     if _is_dir(spark, sub):
-        candidates = [p for p, is_file in _list_files(spark, sub) if is_file]
-    if not candidates:
+        files = [p for p, is_file in _list_files(spark, sub) if is_file]
+        for p in files:
+            low = p.lower()
+            found = next((s for s in JSON_SUFFIXES + CSV_SUFFIXES if low.endswith(s)), None)
+            if found is None:
+                log.warning("skipping unsupported candidate %s", p)
+                continue
+            suffix = found
+            break
+        if suffix:
+            paths = [p for p in files if p.lower().endswith(suffix)]
+    if not paths:
         names = {f"{resource}.json", f"{resource}.ndjson", f"{resource}.csv"}
-        candidates = [p for p, is_file in _list_files(spark, input_dir)
-                      if is_file and p.rsplit("/", 1)[-1].lower() in names]
-    for cand in candidates:
-        low = cand.lower()
-        if low.endswith(CSV_SUFFIXES):
-            return read_csv(spark, cand, schema)
-        if low.endswith(JSON_SUFFIXES):
-            layout = json_layout if low.endswith(".json") else "ndjson"
-            return read_json(spark, cand, schema, layout=layout)
-        log.warning("skipping unsupported candidate %s", cand)
+        for p, _is_file in _list_files(spark, base):
+            if p.rstrip("/").rsplit("/", 1)[-1].lower() in names:
+                paths, suffix = [p], "." + p.rsplit(".", 1)[-1].lower()
+                break
+    if paths:
+        if suffix in CSV_SUFFIXES:
+            return read_csv(spark, paths, schema)
+        layout = json_layout if suffix == ".json" else "ndjson"
+        return read_json(spark, paths, schema, layout=layout)
     if resource == "patients":
         rows = [dict(zip(["id", "birthDate", "gender"], r)) for r in SAMPLE_PATIENTS]
         return spark.createDataFrame(

@@ -79,7 +79,7 @@ def main(argv):
     pats = [a for a in argv[1:] if not a.startswith("/")]
     from pharmaflow.session import get_spark
     from pharmaflow.plans import REGISTRY
-    spark = get_spark("local[8]", shuffle_partitions=8, extra={"spark.ui.enabled": "false"})
+    spark = get_spark("local[8]", shuffle_partitions=8, extra={"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     bad = 0
