@@ -1 +1,318 @@
-"""Registered queries (filled in below)."""
+"""ML queries (M1-M21) on documents and labels.
+
+Task: predict ``labels.quality`` from the document's length, language and
+source. Split, folds and every metric are exact and carry a DuckDB oracle;
+model fits are checked by invariants whose expected values SQL can state.
+"""
+
+from __future__ import annotations
+
+import json
+
+from pyspark.sql import functions as F
+from pyspark.ml.functions import vector_to_array
+
+from ..ml import evaluate as EV, models as MD, prep as PP, split as SP
+from ..ml.flow import run as run_flow
+from ..ml.runs import RunLog, best_version, latest_run
+from .registry import fresh_dir, r6, register, t
+
+NUMERIC = ["n_chars"]
+CATEGORICAL = ["lang", "source"]
+TARGET = "quality"
+
+_cache: dict = {}
+
+
+def labeled(spark, sf):
+    """labels joined to their documents' features (every label has its document)."""
+    d = t(spark, sf, "documents").select("doc_id", "n_chars", "lang", "source")
+    return t(spark, sf, "labels").join(d, "doc_id")
+
+
+def all_docs(spark, sf):
+    return t(spark, sf, "documents").select("doc_id", "n_chars", "lang", "source")
+
+
+def trained(spark, sf, algorithm):
+    """Fit once per session and input folder (the ML queries share fits)."""
+    key = (id(spark.sparkContext), sf, algorithm)
+    if key not in _cache:
+        _cache[key] = MD.train(labeled(spark, sf), TARGET, NUMERIC, CATEGORICAL, algorithm)
+    return _cache[key]
+
+
+# ------------------------------------------------------------------ M1, M9
+@register("m1_stratified_split", """
+WITH r AS (SELECT doc_id, quality,
+                  row_number() OVER (PARTITION BY quality ORDER BY md5('42|' || CAST(doc_id AS VARCHAR)), doc_id) - 1 AS rk,
+                  count(*) OVER (PARTITION BY quality) AS n FROM labels)
+SELECT doc_id, quality, CASE WHEN rk < ceil(n * 0.2) THEN 'test' ELSE 'train' END AS split FROM r""")
+def m1_stratified_split(spark, sf):
+    lab = t(spark, sf, "labels").select("doc_id", "quality")
+    return SP.train_test_split(lab, "quality", ["doc_id"], 0.2, 42).select("doc_id", "quality", "split")
+
+
+@register("m9_stratified_folds", """
+SELECT doc_id, quality,
+       CAST((row_number() OVER (PARTITION BY quality ORDER BY md5('42|' || CAST(doc_id AS VARCHAR)), doc_id) - 1) % 5
+            AS INTEGER) AS fold
+FROM labels""")
+def m9_stratified_folds(spark, sf):
+    lab = t(spark, sf, "labels").select("doc_id", "quality")
+    return SP.fold_ids(lab, "quality", ["doc_id"], 5, 42).select("doc_id", "quality", "fold")
+
+
+@register("m9_plain_folds", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       CAST((row_number() OVER (ORDER BY md5('7|' || CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR)
+                                              || '|' || CAST(l_partkey AS VARCHAR) || '|' || CAST(l_suppkey AS VARCHAR)),
+                                l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1) % 5 AS INTEGER) AS fold
+FROM lineitem""")
+def m9_plain_folds(spark, sf):
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    li = t(spark, sf, "lineitem").select(*keys)
+    return SP.fold_ids(li, None, keys, 5, seed=7).select(*keys, "fold")
+
+
+# ------------------------------------------------------------------ M10-M15
+_CONF = """
+WITH c AS (SELECT quality AS label, toxic AS prediction, count(*) AS n FROM labels GROUP BY 1, 2),
+cls AS (SELECT label AS k FROM c UNION SELECT prediction FROM c),
+pc AS (SELECT k,
+              coalesce((SELECT sum(n) FROM c WHERE label = k AND prediction = k), 0) AS tp,
+              coalesce((SELECT sum(n) FROM c WHERE label = k), 0) AS support,
+              coalesce((SELECT sum(n) FROM c WHERE prediction = k), 0) AS predicted FROM cls),
+m AS (SELECT k, tp, support, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS p,
+             CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS r FROM pc),
+f AS (SELECT *, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END AS f1 FROM m)"""
+
+
+@register("m10_classification_metrics", _CONF + """
+SELECT round(sum(tp) / sum(support), 6) AS accuracy, round(avg(p), 6) AS precision_macro,
+       round(avg(r), 6) AS recall_macro, round(avg(f1), 6) AS f1_macro,
+       round(sum(p * support) / sum(support), 6) AS precision_weighted,
+       round(sum(r * support) / sum(support), 6) AS recall_weighted,
+       round(sum(f1 * support) / sum(support), 6) AS f1_weighted, CAST(sum(support) AS BIGINT) AS support FROM f""")
+def m10_classification_metrics(spark, sf):
+    m = EV.classification_metrics(t(spark, sf, "labels"), "quality", "toxic")
+    return m.select(*[r6(c).alias(c) for c in m.columns if c != "support"], "support")
+
+
+@register("m12_per_class_report", _CONF + """
+SELECT k AS class, round(p, 6) AS precision, round(r, 6) AS recall, CAST(support AS BIGINT) AS support,
+       CAST(tp AS BIGINT) AS tp, round(f1, 6) AS f1 FROM f""")
+def m12_per_class_report(spark, sf):
+    pc = EV.per_class(t(spark, sf, "labels"), "quality", "toxic")
+    return pc.select("class", r6("precision").alias("precision"), r6("recall").alias("recall"),
+                     "support", "tp", r6("f1").alias("f1"))
+
+
+@register("m12_confusion_matrix", """
+SELECT quality AS label, count(*) FILTER (WHERE toxic = 0) AS "0", count(*) FILTER (WHERE toxic = 1) AS "1"
+FROM labels GROUP BY quality""")
+def m12_confusion_matrix(spark, sf):
+    return EV.confusion_matrix(t(spark, sf, "labels"), "quality", "toxic", labels=[0, 1])
+
+
+@register("m11_roc_auc", """
+WITH s AS (SELECT d.n_chars AS score, count(*) FILTER (WHERE l.quality = 1) AS pos,
+                  count(*) FILTER (WHERE l.quality = 0) AS neg
+           FROM labels l JOIN documents d ON d.doc_id = l.doc_id GROUP BY 1),
+c AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below
+      FROM s)
+SELECT CAST(round(sum(pos * (neg_below + 0.5 * neg)) / (sum(pos) * sum(neg)), 6) AS DOUBLE) AS roc_auc FROM c""")
+def m11_roc_auc(spark, sf):
+    return EV.auc_table(labeled(spark, sf), "quality", "n_chars").select(r6("roc_auc").alias("roc_auc"))
+
+
+@register("m13_regression_metrics", """
+WITH e AS (SELECT l_extendedprice / 1000.0 AS y, l_quantity * 1.5 AS p FROM lineitem)
+SELECT round(avg((y - p) * (y - p)), 6) AS mse, round(sqrt(avg((y - p) * (y - p))), 6) AS rmse,
+       round(avg(abs(y - p)), 6) AS mae,
+       round(1 - sum((y - p) * (y - p)) / sum((y - (SELECT avg(y) FROM e)) * (y - (SELECT avg(y) FROM e))), 6) AS r2,
+       round(avg(abs((y - p) / y)) * 100, 6) AS mape FROM e""")
+def m13_regression_metrics(spark, sf):
+    li = t(spark, sf, "lineitem").select((F.col("l_extendedprice") / 1000.0).alias("y"),
+                                          (F.col("l_quantity") * 1.5).alias("p"))
+    m = EV.regression_metrics(li, "y", "p")
+    return m.select(*[r6(c).alias(c) for c in m.columns])
+
+
+@register("m14_residuals", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_extendedprice - l_quantity * 1500.0, 6) AS residual
+FROM lineitem""")
+def m14_residuals(spark, sf):
+    li = t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                          "l_extendedprice", (F.col("l_quantity") * 1500.0).alias("p"))
+    r = EV.residuals(li, "l_extendedprice", "p")
+    return r.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", r6("residual").alias("residual"))
+
+
+@register("m15_compare_models", """
+WITH a AS (SELECT d.lang AS model_name, avg(CASE WHEN l.quality = l.toxic THEN 1.0 ELSE 0.0 END) AS accuracy
+           FROM labels l JOIN documents d ON d.doc_id = l.doc_id GROUP BY 1)
+SELECT model_name, round(accuracy, 6) AS accuracy,
+       row_number() OVER (ORDER BY accuracy DESC, model_name) AS rank,
+       row_number() OVER (ORDER BY accuracy DESC, model_name) = 1 AS is_best FROM a""")
+def m15_compare_models(spark, sf):
+    """Each language's 'toxic as a quality predictor' accuracy, compared."""
+    res = (labeled(spark, sf).groupBy(F.col("lang").alias("model_name"))
+           .agg(F.avg((F.col("quality") == F.col("toxic")).cast("double")).alias("accuracy")))
+    return EV.compare(res, "accuracy").withColumn("accuracy", r6("accuracy"))
+
+
+# ------------------------------------------------------------------ M2-M4
+@register("m2_numeric_prep", """
+WITH x AS (SELECT p_partkey, CASE WHEN p_type = 'ECONOMY' THEN NULL ELSE CAST(p_size AS DOUBLE) END AS s,
+                  p_retailprice AS pr FROM part),
+med AS (SELECT quantile_cont(s, 0.5) AS ms, quantile_cont(pr, 0.5) AS mp FROM x),
+i AS (SELECT p_partkey, coalesce(s, ms) AS s, coalesce(pr, mp) AS pr FROM x, med),
+st AS (SELECT avg(s) AS a1, stddev_pop(s) AS d1, avg(pr) AS a2, stddev_pop(pr) AS d2 FROM i)
+SELECT p_partkey, round((s - a1) / d1, 6) AS num__p_size, round((pr - a2) / d2, 6) AS num__p_retailprice
+FROM i, st""")
+def m2_numeric_prep(spark, sf):
+    p = t(spark, sf, "part").select(
+        "p_partkey", F.when(F.col("p_type") == "ECONOMY", F.lit(None)).otherwise(F.col("p_size")).alias("p_size"),
+        "p_retailprice")
+    stages = PP.preprocessor_stages(p, ["p_size", "p_retailprice"], [])
+    out = stages[0].transform(p)
+    return out.select("p_partkey", r6("num__p_size").alias("num__p_size"),
+                      r6("num__p_retailprice").alias("num__p_retailprice"))
+
+
+@register("m3_one_hot_counts", """
+WITH x AS (SELECT CASE WHEN c_nationkey = 0 THEN NULL ELSE c_mktsegment END AS seg FROM customer),
+mode AS (SELECT seg FROM x WHERE seg IS NOT NULL GROUP BY seg ORDER BY count(*) DESC, seg LIMIT 1),
+i AS (SELECT coalesce(x.seg, (SELECT seg FROM mode)) AS seg FROM x),
+c AS (SELECT seg, count(*) AS n FROM i GROUP BY seg)
+SELECT CAST(row_number() OVER (ORDER BY seg) - 1 AS INTEGER) AS slot, seg AS category, n AS count FROM c""")
+def m3_one_hot_counts(spark, sf):
+    c = t(spark, sf, "customer").select(
+        F.when(F.col("c_nationkey") == 0, F.lit(None)).otherwise(F.col("c_mktsegment")).alias("seg"))
+    model = PP.fit_preprocessor(c, [], ["seg"])
+    indexer = model.stages[1]
+    labels = indexer.labelsArray[0]
+    arr = model.transform(c).select(vector_to_array("ohe__seg").alias("v"))
+    sums = arr.select(F.posexplode("v").alias("slot", "x")).groupBy("slot").agg(
+        F.sum("x").cast("long").alias("count"))
+    names = F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("slot") + 1)
+    return sums.select(F.col("slot").cast("int").alias("slot"), names.alias("category"), "count")
+
+
+@register("m4_pipeline_shape", """
+SELECT count(*) AS rows, 1 + count(DISTINCT lang) + count(DISTINCT source) AS vector_size
+FROM labels l JOIN documents d ON d.doc_id = l.doc_id""")
+def m4_pipeline_shape(spark, sf):
+    data = labeled(spark, sf)
+    model = PP.fit_preprocessor(data, NUMERIC, CATEGORICAL)
+    out = model.transform(data)
+    return out.agg(F.count(F.lit(1)).alias("rows"),
+                   F.max(F.size(vector_to_array("features"))).cast("long").alias("vector_size"))
+
+
+# ------------------------------------------------------------------ M5-M8, M16-M19
+_INVARIANT = """
+SELECT count(*) AS rows, count(*) AS valid_predictions, 0 AS bad_sum, 0 AS bad_confidence FROM documents"""
+
+
+def _invariants(scored):
+    """M18 invariants: rows, predictions in the class set, probability rows
+    not summing to 1, confidence not equal to the max probability."""
+    total = F.aggregate("probabilities", F.lit(0.0), lambda a, x: a + x)
+    return scored.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("predicted").isin("0", "1")).alias("valid_predictions"),
+        F.count_if(F.abs(total - 1.0) > 1e-6).alias("bad_sum"),
+        F.count_if(F.col("confidence") != F.array_max("probabilities")).alias("bad_confidence"))
+
+
+def _score_invariants(spark, sf, algorithm):
+    model = trained(spark, sf, algorithm)
+    return _invariants(MD.score(model, all_docs(spark, sf), algorithm, classes=[0, 1]))
+
+
+@register("m5_logistic_regression", _INVARIANT)
+def m5_logistic_regression(spark, sf):
+    return _score_invariants(spark, sf, "logistic_regression")
+
+
+@register("m6_random_forest", _INVARIANT)
+def m6_random_forest(spark, sf):
+    return _score_invariants(spark, sf, "random_forest")
+
+
+@register("m7_gradient_boosting", _INVARIANT)
+def m7_gradient_boosting(spark, sf):
+    return _score_invariants(spark, sf, "gradient_boosting")
+
+
+@register("m18_batch_score_check", _INVARIANT)
+def m18_batch_score_check(spark, sf):
+    """M18 through the saved-and-reloaded model."""
+    model = trained(spark, sf, "logistic_regression")
+    root = fresh_dir(spark, "models")
+    path = MD.save_model(spark, model, root, "quality_lr", "logistic_regression", NUMERIC + CATEGORICAL)
+    loaded = MD.load_model(path)
+    return _invariants(MD.score(loaded, all_docs(spark, sf), "quality_lr", classes=[0, 1]))
+
+
+@register("m16_feature_importance", """
+SELECT 1 + count(DISTINCT lang) + count(DISTINCT source) AS features, CAST(1.0 AS DOUBLE) AS importance_sum
+FROM labels l JOIN documents d ON d.doc_id = l.doc_id""")
+def m16_feature_importance(spark, sf):
+    model = trained(spark, sf, "random_forest")
+    imp = MD.feature_importance(model, labeled(spark, sf))
+    return imp.agg(F.count(F.lit(1)).alias("features"), F.round(F.sum("importance"), 6).alias("importance_sum"))
+
+
+@register("m8_train_all")
+def m8_train_all(spark, sf):
+    """M8 (rows): every configured algorithm plus one that fails; the failure
+    is recorded and the others still train."""
+    algos = dict(MD.ALGORITHMS)
+    algos["not_an_algorithm"] = {}
+    models, log = MD.train_all(labeled(spark, sf), TARGET, NUMERIC, CATEGORICAL, algos)
+    return spark.createDataFrame([(n, s) for n, s, _e, _t in log], "model_name string, status string")
+
+
+@register("m17_random_search")
+def m17_random_search(spark, sf):
+    """M17 (rows): 4 seeded trials of logistic regression, 3 folds."""
+    space = {"C": ("log", 0.01, 10.0), "max_iter": ("int", 50, 200), "class_weight": ("choice", ["balanced", None])}
+    hist, best = MD.random_search(labeled(spark, sf), TARGET, NUMERIC, CATEGORICAL, "logistic_regression",
+                                  space, n_trials=4, folds=3, key_cols=["doc_id"], seed=42)
+    return hist.withColumn("best_params", F.lit(json.dumps(best, sort_keys=True)))
+
+
+@register("m19_model_index")
+def m19_model_index(spark, sf):
+    """M19 (rows): save two models, list the index (latest row per name)."""
+    root = fresh_dir(spark, "models")
+    for algo in ("logistic_regression", "random_forest"):
+        MD.save_model(spark, trained(spark, sf, algo), root, f"quality_{algo}", algo, NUMERIC + CATEGORICAL)
+    return MD.list_models(spark, root).select("model_name", "algorithm", "features")
+
+
+@register("m20_run_log")
+def m20_run_log(spark, sf):
+    """M20 + W5 (rows): log one run per model with its test metrics,
+    register versions, then the latest run and the best version."""
+    res = run_flow(labeled(spark, sf), TARGET, NUMERIC, CATEGORICAL, ["doc_id"],
+                   algorithms={k: MD.ALGORITHMS[k] for k in ("logistic_regression", "random_forest")})
+    log = RunLog(spark, fresh_dir(spark, "runs"))
+    for r in res["results"].collect():  # one metrics row per model
+        rid = log.log_run("quality", {"algorithm": r["model_name"]},
+                          {"accuracy": r["accuracy"] or 0.0, "f1_macro": r["f1_macro"] or 0.0})
+        log.register_version("quality_model", rid)
+    best = best_version(log.versions(), log.runs(), "accuracy")
+    latest = latest_run(log.runs(), "quality").select("experiment", "run_id")
+    latest = latest.select(F.lit("quality_model").alias("name"), "experiment")
+    return best.select("name", "version", "accuracy").join(latest, "name", "left")
+
+
+@register("m21_training_flow")
+def m21_training_flow(spark, sf):
+    """M21 (rows): load -> check -> split -> fit -> evaluate -> compare."""
+    res = run_flow(labeled(spark, sf), TARGET, NUMERIC, CATEGORICAL, ["doc_id"])
+    return res["results"].select("model_name", "status", "rank", "is_best", "test_size")

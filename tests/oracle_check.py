@@ -39,6 +39,34 @@ def _norm(v):
     return v
 
 
+def _kind_spark(t):
+    n = t.simpleString()
+    if n in ("tinyint", "smallint", "int", "bigint"):
+        return "int"
+    if n in ("float", "double") or n.startswith("decimal"):
+        return "float" if not n.startswith("decimal") else "decimal"
+    if n == "string":
+        return "str"
+    if n == "boolean":
+        return "bool"
+    return n
+
+
+def _kind_duck(t):
+    t = t.upper()
+    if t in ("TINYINT", "SMALLINT", "INTEGER", "BIGINT", "HUGEINT", "UTINYINT", "USMALLINT", "UINTEGER", "UBIGINT"):
+        return "int"
+    if t in ("FLOAT", "DOUBLE"):
+        return "float"
+    if t.startswith("DECIMAL"):
+        return "decimal"
+    if t == "VARCHAR":
+        return "str"
+    if t == "BOOLEAN":
+        return "bool"
+    return t.lower()
+
+
 def duck(sf_dir):
     import duckdb
     con = duckdb.connect()
@@ -67,6 +95,11 @@ def compare(spark, con, name, fn, sql, sf_dir):
     ok = sorted(scols) == sorted(dcols) and len(srows) == len(drows) and s == d
     out = dict(name=name, ok=ok, rows=len(srows), oracle_rows=len(drows),
                spark_s=round(t1 - t0, 2))
+    stypes = {f.name: _kind_spark(f.dataType) for f in sdf.schema.fields}
+    dtypes = {d[0]: _kind_duck(str(d[1])) for d in res.description}
+    warn = {c: (stypes.get(c), dtypes.get(c)) for c in stypes if stypes.get(c) != dtypes.get(c)}
+    if warn:
+        out["type_warn"] = warn
     if not ok:
         out["cols"] = (scols, dcols)
         out["only_spark"] = list((s - d).items())[:3]
