@@ -30,7 +30,9 @@ def filter_eq(df: DataFrame, filters: Mapping[str, object] | None) -> DataFrame:
         return df
     cond = None
     for name, value in filters.items():
-        if isinstance(value, (str, int, float)):  # bool is an int
+        if isinstance(value, bool):  # a bool filters as the number 0/1
+            c = F.col(name) == F.lit(int(value))
+        elif isinstance(value, (str, int, float)):
             c = F.col(name) == F.lit(value)
         elif isinstance(value, (list, tuple)):
             c = F.col(name).isin(list(value))

@@ -84,15 +84,19 @@ def read_json(spark: SparkSession, path, schema: StructType,
         return spark.read.schema(schema).option("multiLine", True).json(path)
     if layout != "ndjson":
         raise ValueError(f"unknown JSON layout: {layout}")
+    if bad_records is None:
+        # Spark drops (and logs) malformed lines itself.
+        return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+    # Counting bad lines needs the corrupt-record column; the count rides on
+    # the same scan through the Observation. (Spark rejects a query whose only
+    # referenced column is that internal column, so callers then select data.)
     corrupt = "_corrupt_record"
     wide = StructType(list(schema.fields) + [StructField(corrupt, StringType(), True)])
     df = (spark.read.schema(wide)
           .option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", corrupt)
           .json(path))
-    if bad_records is not None:
-        df = df.observe(bad_records,
-                        F.count_if(F.col(corrupt).isNotNull()).alias("bad_lines"))
+    df = df.observe(bad_records, F.count_if(F.col(corrupt).isNotNull()).alias("bad_lines"))
     return df.where(F.col(corrupt).isNull()).drop(corrupt)
 
 
