@@ -82,7 +82,26 @@ def train(df: DataFrame, target: str, numeric: Sequence[str], categorical: Seque
     n = data.count()
     stages = preprocessor_stages(data, numeric, categorical)
     est = estimator(algorithm, n, len(classes), params, seed=seed)
-    return Pipeline(stages=stages + [est]).fit(data)
+    return _persisted(Pipeline(stages=stages + [est]).fit(data), algorithm)
+
+
+def _persisted(model: PipelineModel, label: str) -> PipelineModel:
+    """Save the fitted pipeline under the shared checkpoint dir and reload it.
+
+    A reloaded model carries no training summary. The summary holds the
+    session, and once a session has used an ``Observation`` it can no longer
+    be serialized into the model's prediction tasks. The saved copy also lets
+    a job resume scoring without refitting.
+    """
+    import uuid
+    from ..session import scratch_path
+    last = model.stages[-1]
+    if not getattr(last, "hasSummary", False):
+        return model
+    spark = SparkSession.getActiveSession()
+    path = scratch_path(spark, f"fitted-{label}-{uuid.uuid4().hex[:12]}")
+    model.write().overwrite().save(path)
+    return PipelineModel.load(path)
 
 
 def train_all(df: DataFrame, target: str, numeric, categorical,

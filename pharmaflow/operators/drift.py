@@ -274,3 +274,20 @@ def monitoring_summary(points: DataFrame, baselines: DataFrame | None = None,
     else:
         out = out.withColumn("has_baseline", F.lit(False))
     return out
+
+
+def category_dist(df: DataFrame, cols: Sequence[str], top: int | None = None) -> DataFrame:
+    """Value shares per categorical feature (see ``value_dist``)."""
+    return value_dist(df, cols, top=top)
+
+
+def drift(base_df: DataFrame, current: DataFrame, numeric: Sequence[str],
+          categorical: Sequence[str], compat: bool = False) -> tuple[DataFrame, DataFrame]:
+    """D5-D7 in one call: per-feature drift rows and the overall row.
+
+    ``compat=True`` compares current shares with the baseline's top-10 raw
+    counts, as the reference did; the default compares shares with shares.
+    """
+    base = baseline(base_df, numeric, categorical, compat=compat)
+    feats = feature_drift(base, current, numeric, categorical)
+    return feats, overall_drift(feats)

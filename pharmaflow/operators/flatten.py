@@ -24,13 +24,13 @@ def flatten_reports(reports: DataFrame, keep_order: bool = True) -> DataFrame:
     ``_report_pos``). A report with no reactions or no drugs gives no rows
     (``explode``, not ``explode_outer``). Text fields are whitespace-stripped;
     a missing product/authorization becomes '' like the reference's default;
-    openfda list fields keep their first item (N2).
+    the drug-label list fields keep their first item (N2).
     """
     if "_file" not in reports.columns:
         reports = reports.withColumn("_file", F.lit(""))
     if "_report_pos" not in reports.columns:
         reports = reports.withColumn("_report_pos", F.lit(0))
-    openfda_t = (reports.schema["patient"].dataType["drug"].dataType
+    label_t = (reports.schema["patient"].dataType["drug"].dataType
                  .elementType["openfda"].dataType)
     r = reports.select(
         "_file", "_report_pos", "safetyreportid", "receivedate", "serious",
@@ -41,7 +41,7 @@ def flatten_reports(reports: DataFrame, keep_order: bool = True) -> DataFrame:
     r = r.select("*", F.posexplode("_drugs").alias("_drug_pos", "_drug"))
 
     def of(field):
-        return first_value(F.col("_drug.openfda")[field], openfda_t[field].dataType)
+        return first_value(F.col("_drug.openfda")[field], label_t[field].dataType)
 
     out = r.select(
         "safetyreportid", "receivedate", "serious", "patientonsetage", "patientsex",

@@ -34,11 +34,15 @@ def class_check(df: DataFrame, target: str, min_classes: int = 2) -> DataFrame:
 
 
 def require_classes(df: DataFrame, target: str, min_classes: int = 2) -> DataFrame:
-    """Raise if ``df`` is empty or ``target`` has < ``min_classes``
-    distinct non-NULL values; returns ``df`` unchanged otherwise."""
+    """Raise if ``df`` is empty, or if ``target`` exists and has fewer
+    than ``min_classes`` distinct non-NULL values; returns ``df`` unchanged."""
+    if target not in df.columns:
+        if df.isEmpty():
+            raise RuntimeError("query returned no rows")
+        return df
     row = class_check(df, target, min_classes).first()
     if row["rows"] == 0:
         raise RuntimeError("query returned no rows")
-    if target in df.columns and row["classes"] < min_classes:
+    if row["classes"] < min_classes:
         raise RuntimeError(f"'{target}' has fewer than {min_classes} classes")
     return df

@@ -38,10 +38,10 @@ SERIOUS_VALUES = (0, 1, 2)
 PATIENT_EVENT_COLUMNS = ["patient_id", "encounter_id", "condition_code"]
 
 
-def suite(kind: str = "openfda_events", target: str | None = None) -> list[Check]:
+def suite(kind: str = "safety_events", target: str | None = None) -> list[Check]:
     """Q12: the suite for a data type, plus the training add-on when
     ``target`` is given."""
-    if kind == "openfda_events":
+    if kind == "safety_events":
         checks = [Check("column_exists", c) for c in EVENT_COLUMNS_EXPECTED] + [
             Check("values_between", "patientonsetage", 0, 120, mostly=0.95),
             Check("values_in_set", "patientsex", value_set=SEX_VALUES),
@@ -49,7 +49,7 @@ def suite(kind: str = "openfda_events", target: str | None = None) -> list[Check
             Check("not_null", "serious", mostly=0.8),
             Check("row_count_between", min_value=1000, max_value=1_000_000),
         ]
-    elif kind == "synthea_events":
+    elif kind == "patient_events":
         checks = [Check("column_exists", c) for c in PATIENT_EVENT_COLUMNS]
     else:
         checks = [Check("row_count_between", min_value=1, max_value=10_000_000),

@@ -99,7 +99,7 @@ r AS (
 
 
 def _event_suite_results(spark, sf):
-    return Q.run_checks(events_like(spark, sf), Q.suite("openfda_events", target="serious"))
+    return Q.run_checks(events_like(spark, sf), Q.suite("safety_events", target="serious"))
 
 
 @register("q5_q12_event_suite", _EV + "\nSELECT * FROM r")
@@ -134,7 +134,7 @@ UNION ALL SELECT 3, 'column_exists', 'condition_code', true, NULL, NULL, NULL"""
 def q12_patient_event_suite(spark, sf):
     o = t(spark, sf, "orders").select(F.col("o_orderkey").alias("encounter_id"),
                                        F.col("o_orderpriority").alias("condition_code"))
-    return Q.run_checks(o, Q.suite("synthea_events"))
+    return Q.run_checks(o, Q.suite("patient_events"))
 
 
 @register("q14_quality_report", """

@@ -10,11 +10,11 @@ def _s(*names, t=StringType()):
     return [StructField(n, t, True) for n in names]
 
 
-OPENFDA = StructType(_s("brand_name", "manufacturer_name", "product_ndc",
+DRUG_LABEL = StructType(_s("brand_name", "manufacturer_name", "product_ndc",
                         t=ArrayType(StringType())))
 
 DRUG = StructType(_s("medicinalproduct", "drugauthorizationnumb")
-                  + [StructField("openfda", OPENFDA, True)])
+                  + [StructField("openfda", DRUG_LABEL, True)])
 
 REACTION = StructType(_s("reactionmeddrapt"))
 

@@ -224,3 +224,27 @@ def test_fhir_dir_skips_and_sample_patients(spark):
     assert sorted(r.id for r in sample.collect()) == ["patient-1", "patient-2"]
     other = FS.read_resource(spark, "encounters", tempfile.mkdtemp(prefix="pf-empty-"), schemas.PATIENT_ROW)
     assert other.count() == 0
+
+
+def test_load_guard(spark):
+    from pharmaflow.operators.profile import require_classes
+    one = spark.createDataFrame([(1,), (1,), (None,)], "serious int")
+    with pytest.raises(RuntimeError):
+        require_classes(one, "serious")
+    with pytest.raises(RuntimeError):
+        require_classes(one.limit(0), "serious")
+    two = spark.createDataFrame([(1,), (2,)], "serious int")
+    assert require_classes(two, "serious") is two
+    assert require_classes(two, "other") is two
+
+
+def test_models_score_after_observation(spark):
+    """A session that used an Observation can still score LR models."""
+    from pharmaflow.ml import models as MD
+    df = spark.createDataFrame([(float(i), "a" if i % 2 else "b", i % 2) for i in range(40)],
+                               "x double, c string, y int")
+    obs = Observation("o")
+    df.observe(obs, F.count(F.lit(1)).alias("n")).collect()
+    model = MD.train(df, "y", ["x"], ["c"], "logistic_regression")
+    scored = MD.score(model, df, "lr", classes=[0, 1])
+    assert MD.score_check(scored).first().bad_sum == 0
