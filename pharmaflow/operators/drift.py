@@ -291,3 +291,10 @@ def drift(base_df: DataFrame, current: DataFrame, numeric: Sequence[str],
     base = baseline(base_df, numeric, categorical, compat=compat)
     feats = feature_drift(base, current, numeric, categorical)
     return feats, overall_drift(feats)
+
+
+def write_monitoring_report(points: DataFrame, path: str, baselines: DataFrame | None = None,
+                            drop: float = ACCURACY_DROP) -> None:
+    """D9 JSON sink: the per-model summary and the per-point drift rows."""
+    monitoring_summary(points, baselines).write.mode("overwrite").json(f"{path.rstrip('/')}/summary")
+    performance_drift(points, drop=drop).write.mode("overwrite").json(f"{path.rstrip('/')}/points")

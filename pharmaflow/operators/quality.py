@@ -222,3 +222,13 @@ def quality_report(df: DataFrame) -> DataFrame:
              for i, f in enumerate(fields)]
     return (one.select(F.explode(F.array(*items)).alias("c"), "rows")
                .select("c.*", "rows", F.lit(len(fields)).alias("columns")))
+
+
+def write_quality_report(df: DataFrame, path: str, checks: Sequence[Check] | None = None) -> None:
+    """Q14 JSON sink: the column report and, when given, the check results
+    (and their summary) as NDJSON folders under ``path``."""
+    quality_report(df).write.mode("overwrite").json(f"{path.rstrip('/')}/columns")
+    if checks:
+        res = run_checks(df, checks)
+        res.write.mode("overwrite").json(f"{path.rstrip('/')}/checks")
+        summarize(res).write.mode("overwrite").json(f"{path.rstrip('/')}/summary")

@@ -248,3 +248,18 @@ def test_models_score_after_observation(spark):
     model = MD.train(df, "y", ["x"], ["c"], "logistic_regression")
     scored = MD.score(model, df, "lr", classes=[0, 1])
     assert MD.score_check(scored).first().bad_sum == 0
+
+
+def test_report_sinks(spark):
+    from pharmaflow.plans.registry import fresh_dir
+    df = spark.createDataFrame([(1.0, "a"), (None, "b")], "x double, s string")
+    out = fresh_dir(spark, "qreport")
+    Q.write_quality_report(df, out, [Q.Check("not_null", "x", mostly=0.9)])
+    assert spark.read.json(f"{out}/columns").count() == 2
+    assert spark.read.json(f"{out}/summary").first().failed_expectations == 1
+    pts = spark.createDataFrame([("m", "accuracy", i, v) for i, v in enumerate([0.9, 0.9, 0.7])],
+                                "model string, metric string, ts int, value double")
+    mout = fresh_dir(spark, "mreport")
+    DR.write_monitoring_report(pts, mout)
+    assert spark.read.json(f"{mout}/summary").first().performance_trend == "declining"
+    assert spark.read.json(f"{mout}/points").where("drift_detected").count() == 1
