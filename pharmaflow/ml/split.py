@@ -39,11 +39,13 @@ def stratified_rank(df: DataFrame, class_col: str | None, key_cols: Sequence[str
                .withColumn("_off", F.coalesce(F.sum("_nb").over(wc.rowsBetween(Window.unboundedPreceding, -1)),
                                               F.lit(0)))
                .withColumn("_n_class", F.sum("_nb").over(Window.partitionBy("_cls")))
-               .select("_cls", "_b", "_off", "_n_class"))
+               .select(F.col("_cls").alias("_cls2"), F.col("_b").alias("_b2"), "_off", "_n_class"))
     inb = Window.partitionBy("_cls", "_b").orderBy("_h", *key_cols)
-    ranked = (h.join(offsets, ["_cls", "_b"])
+    # NULL-safe key join: rows with a NULL class keep their own stratum.
+    on = F.col("_cls").eqNullSafe(F.col("_cls2")) & (F.col("_b") == F.col("_b2"))
+    ranked = (h.join(offsets, on)
                .withColumn("_rank", F.col("_off") + F.row_number().over(inb) - 1))
-    return ranked.drop("_b", "_off", "_cls")
+    return ranked.drop("_b", "_off", "_cls", "_cls2", "_b2")
 
 
 def train_test_split(df: DataFrame, target: str | None, key_cols: Sequence[str],
