@@ -37,9 +37,15 @@ def numeric_stats(df: DataFrame, cols: Sequence[str], approx: bool = False) -> d
     Returns {col: (median, mean, scale)}; scale 1.0 when std is 0 or NULL."""
     if not cols:
         return {}
-    med_fn = (lambda c: F.percentile_approx(F.col(c).cast("double"), 0.5, 10000)) if approx else \
-             (lambda c: F.percentile(F.col(c).cast("double"), F.lit(0.5)))
-    meds = df.agg(*[med_fn(c).alias(c) for c in cols]).first().asDict()
+    if approx:
+        meds = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, 10000).alias(c)
+                        for c in cols]).first().asDict()
+    else:
+        from ..operators.drift import _unpivot
+        from ..operators.quantiles import quantiles
+        q = quantiles(_unpivot(df, cols, "double"), [0.5]).collect()  # one row per column
+        meds = {c: None for c in cols}
+        meds.update({r["feature"]: r["q0"] for r in q})
     imputed = [F.coalesce(F.col(c).cast("double"), F.lit(meds[c])).alias(c) for c in cols]
     x = df.select(*imputed)
     row = x.agg(*[F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)],

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from .quantiles import quantiles
 from .windows import history_mean, trend_label
 
 NUMERIC_THRESHOLD = 0.1   # mean/std shift in baseline std units
@@ -38,25 +39,30 @@ def _unpivot(df: DataFrame, cols: Sequence[str], cast: str) -> DataFrame:
 
 # ---------------------------------------------------------------- D1
 def numeric_stats(df: DataFrame, cols: Sequence[str], approx: bool = False,
-                  accuracy: int = 10000) -> DataFrame:
+                  accuracy: int = 10000, exact_limit: int | None = None) -> DataFrame:
     """Per numeric feature: mean, sample std, min, max, median, q25, q75,
-    missing ratio, rows. Quartiles are linear-interpolated and exact
-    (``percentile``); ``approx=True`` uses ``percentile_approx`` instead,
-    whose memory per feature is bounded by ``accuracy``."""
+    missing ratio, rows. Quartiles are exact and linear-interpolated
+    (``operators.quantiles``: ``percentile`` for small groups, a bracketed
+    distributed method for large ones); ``approx=True`` uses
+    ``percentile_approx`` with the given accuracy instead."""
     long = _unpivot(df, cols, "double")
     v = F.col("value")
-    q = (F.percentile_approx(v, [0.25, 0.5, 0.75], accuracy) if approx
-         else F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
-    return (long.groupBy("feature").agg(
+    base = long.groupBy("feature").agg(
         F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"), F.max(v).alias("max"), q.alias("_q"),
+        F.min(v).alias("min"), F.max(v).alias("max"),
         (F.count_if(v.isNull()) / F.count(F.lit(1))).alias("missing_ratio"),
         F.count(F.lit(1)).alias("rows"))
-        .select("feature", "mean", "std", "min", "max",
-                F.col("_q")[1].cast("double").alias("median"),
-                F.col("_q")[0].cast("double").alias("q25"),
-                F.col("_q")[2].cast("double").alias("q75"),
-                "missing_ratio", "rows"))
+    if approx:
+        q = long.groupBy("feature").agg(F.percentile_approx(v, [0.25, 0.5, 0.75], accuracy).alias("_q")) \
+            .select("feature", *[F.col("_q")[i].cast("double").alias(f"q{i}") for i in range(3)])
+    else:
+        q = (quantiles(long, [0.25, 0.5, 0.75]) if exact_limit is None
+             else quantiles(long, [0.25, 0.5, 0.75], exact_limit=exact_limit))
+    # Both sides hold one row per feature; features without values get NULLs.
+    return (base.join(q, "feature", "left")
+                .select("feature", "mean", "std", "min", "max",
+                        F.col("q1").alias("median"), F.col("q0").alias("q25"), F.col("q2").alias("q75"),
+                        "missing_ratio", "rows"))
 
 
 # ---------------------------------------------------------------- D2
@@ -109,11 +115,12 @@ def category_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 # ---------------------------------------------------------------- D3 / D4
 def prediction_stats(df: DataFrame, col: str) -> DataFrame:
-    """D3: mean, population std, min, max, median of predictions (one row)."""
+    """D3: mean, population std, min, max, exact median of predictions (one row)."""
     v = F.col(col).cast("double")
-    return df.agg(F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"),
-                  F.min(v).alias("min"), F.max(v).alias("max"),
-                  F.percentile(v, F.lit(0.5)).alias("median"))
+    base = df.agg(F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"),
+                  F.min(v).alias("min"), F.max(v).alias("max")).withColumn("_k", F.lit(0))
+    med = quantiles(df.select(F.lit(0).alias("_k"), v.alias("value")), [0.5], group="_k")
+    return base.join(med, "_k", "left").select("mean", "std", "min", "max", F.col("q0").alias("median"))
 
 
 def prediction_histogram(df: DataFrame, col: str) -> DataFrame:

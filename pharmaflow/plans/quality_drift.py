@@ -177,6 +177,12 @@ def d1_numeric_baseline(spark, sf):
     return _round_stats(DR.numeric_stats(t(spark, sf, "lineitem"), _NUM))
 
 
+@register("d1_numeric_baseline_bracketed", _num_sql("lineitem", _NUM))
+def d1_numeric_baseline_bracketed(spark, sf):
+    """D1 through the large-data quantile path (forced), same exact answer."""
+    return _round_stats(DR.numeric_stats(t(spark, sf, "lineitem"), _NUM, exact_limit=0))
+
+
 _CAT = ["l_returnflag", "l_linestatus"]
 
 

@@ -47,3 +47,25 @@ def test_bucketed_rank_equals_row_number(spark, data):
     w = Window.partitionBy("k").orderBy(hash_key(["id"], 3), "id")
     ref = {r.id: r.rk for r in df.withColumn("rk", F.row_number().over(w) - 1).collect()}
     assert got == ref
+
+
+values = st.lists(st.tuples(st.sampled_from(["x", "y"]),
+                            st.one_of(st.none(), st.sampled_from([5.0, 5.0, 5.0]),  # hot value
+                                      st.floats(-100, 100, allow_nan=False))),
+                  min_size=1, max_size=120)
+
+
+@SETTINGS
+@given(values, st.sampled_from([4, 10, 50]))
+def test_bracketed_quantiles_equal_percentile(spark, data, acc):
+    from pharmaflow.operators.quantiles import quantiles
+    df = spark.createDataFrame(data, "feature string, value double")
+    probs = [0.0, 0.25, 0.5, 0.75, 1.0]
+    got = {r.feature: [r[f"q{i}"] for i in range(5)]
+           for r in quantiles(df, probs, exact_limit=0, accuracy=acc).collect()}
+    ref = {r.feature: r.q for r in df.where("value is not null").groupBy("feature")
+           .agg(F.percentile("value", F.array(*[F.lit(p) for p in probs])).alias("q")).collect()}
+    assert set(got) == set(ref)
+    for k in ref:
+        for a, b in zip(got[k], ref[k]):
+            assert abs(a - b) <= 1e-9 * max(1.0, abs(b)), (k, got[k], ref[k])
