@@ -24,8 +24,10 @@ def year_of(d) -> Column:
 
 
 def parse_timestamp(c) -> Column:
-    """ISO text -> TIMESTAMP; NULL or unparsable -> NULL."""
-    return F.try_to_timestamp(_col(c).cast("string"))
+    """ISO text -> naive timestamp (TIMESTAMP_NTZ, like a parsed ISO string
+    without zone); NULL or unparsable -> NULL. Independent of the session
+    time zone."""
+    return _col(c).cast("string").try_cast("timestamp_ntz")
 
 
 def display_date(c) -> Column:
@@ -36,3 +38,9 @@ def display_date(c) -> Column:
                   F.concat_ws("-", F.substring(s, 1, 4), F.substring(s, 5, 2),
                               F.substring(s, 7, 2)))
             .otherwise(s))
+
+
+def ts_text(c) -> Column:
+    """TIMESTAMP_NTZ -> 'yyyy-MM-dd HH:mm:ss' without going through the
+    session time zone (``date_format`` would, shifting DST-gap times)."""
+    return F.substring(_col(c).cast("timestamp_ntz").cast("string"), 1, 19)

@@ -86,12 +86,12 @@ def train(df: DataFrame, target: str, numeric: Sequence[str], categorical: Seque
 
 
 def _persisted(model: PipelineModel, label: str) -> PipelineModel:
-    """Save the fitted pipeline under the shared checkpoint dir and reload it.
+    """Save the fitted classifier under the shared checkpoint dir and reload it.
 
     A reloaded model carries no training summary. The summary holds the
     session, and once a session has used an ``Observation`` it can no longer
-    be serialized into the model's prediction tasks. The saved copy also lets
-    a job resume scoring without refitting.
+    be serialized into the model's prediction tasks. Only the last stage has
+    a summary, so only that stage is saved and reloaded.
     """
     import uuid
     from ..session import scratch_path
@@ -100,8 +100,8 @@ def _persisted(model: PipelineModel, label: str) -> PipelineModel:
         return model
     spark = SparkSession.getActiveSession()
     path = scratch_path(spark, f"fitted-{label}-{uuid.uuid4().hex[:12]}")
-    model.write().overwrite().save(path)
-    return PipelineModel.load(path)
+    last.write().overwrite().save(path)
+    return PipelineModel(model.stages[:-1] + [type(last).load(path)])
 
 
 def train_all(df: DataFrame, target: str, numeric, categorical,

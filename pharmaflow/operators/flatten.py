@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType
 
-from ..functions import strip_ws, first_value, strip_prefix
+from ..functions import parse_timestamp, strip_ws, first_value, strip_prefix
 from ..schemas import EVENT_COLUMNS
 from .dedup import keep_first
 
@@ -158,4 +158,4 @@ def medication_view(resources: DataFrame) -> DataFrame:
 def patients_table(resources: DataFrame) -> DataFrame:
     """N5 patient-only twin + N10: birthDate parsed to a timestamp."""
     return (resources.where(F.col("resourceType") == "Patient")
-            .select("id", "gender", F.try_to_timestamp(F.col("birthDate")).alias("birthDate")))
+            .select("id", "gender", parse_timestamp("birthDate").alias("birthDate")))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from .. import schemas
+from ..functions.dates import ts_text
 from ..operators import flatten as FL
 from ..sources import files as FS
 from ..sources.tables import save_table
@@ -351,7 +352,7 @@ SELECT 'c' || CAST(c_custkey AS VARCHAR) AS id,
 FROM b""")
 def n10_patients_birthdate(spark, sf):
     p = FL.patients_table(parsed_resources(spark, sf))
-    return p.select("id", "gender", F.date_format("birthDate", "yyyy-MM-dd HH:mm:ss").alias("birthDate"))
+    return p.select("id", "gender", ts_text("birthDate").alias("birthDate"))
 
 
 @register("s4_fhir_directory", _FHIR_BASE + """

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import display_date, first_value, parse_timestamp, strip_ws, strip_prefix
+from ..functions.dates import ts_text
 from ..functions.text import WS_CLASS
 from ..operators import aggregates as A, dedup as D, profile as PR, select as S, windows as W
 from ..sources.tables import Catalog
@@ -153,7 +154,7 @@ def p15_newest_events(spark, sf):
     out = S.newest_events(df, "ts", n=20, tie=["event_id"],
                           columns=["event_id", "event_type", "ts"])
     return out.select("event_id", "event_type",
-                      F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts_text"),
+                      ts_text("ts").alias("ts_text"),
                       "product", "serious_label")
 
 
@@ -198,9 +199,8 @@ def n10_parse_timestamp(spark, sf):
         "o_orderkey",
         F.when(F.col("o_orderstatus") == "P", F.lit("not a date"))
         .when(F.col("o_orderstatus") == "O", F.date_format("o_orderdate", "yyyy-MM-dd"))
-        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")).alias("txt"))
-    return df.select("o_orderkey",
-                     F.date_format(parse_timestamp("txt"), "yyyy-MM-dd HH:mm:ss").alias("birth_ts"))
+        .otherwise(F.replace(ts_text("o_orderdate"), F.lit(" "), F.lit("T"))).alias("txt"))
+    return df.select("o_orderkey", ts_text(parse_timestamp("txt")).alias("birth_ts"))
 
 
 # ------------------------------------------------------------------ A1-A15

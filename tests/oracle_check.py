@@ -114,6 +114,8 @@ def main(argv):
     from pharmaflow.plans import REGISTRY
     spark = get_spark("local[8]", shuffle_partitions=8, extra={"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
+    if os.environ.get("ORACLE_TZ"):  # results must not depend on the session time zone
+        spark.conf.set("spark.sql.session.timeZone", os.environ["ORACLE_TZ"])
     con = duck(sf_dir)
     bad = 0
     for name, (fn, sql) in REGISTRY.items():
