@@ -59,7 +59,8 @@ def estimator(name: str, n_rows: int, n_classes: int, params: Mapping | None = N
     if name == "gradient_boosting":
         gbt = GBTClassifier(maxIter=int(p.get("n_estimators", 100)), stepSize=float(p.get("learning_rate", 0.1)),
                             maxDepth=int(p.get("max_depth", 3)), seed=seed, labelCol=label, featuresCol=features)
-        return gbt if n_classes <= 2 else OneVsRest(classifier=gbt, labelCol=label, featuresCol=features)
+        return gbt if n_classes <= 2 else OneVsRest(classifier=gbt, labelCol=label, featuresCol=features,
+                                                    parallelism=min(n_classes, 4))
     raise ValueError(f"unknown algorithm {name}")
 
 
@@ -220,7 +221,16 @@ def score(model: PipelineModel, df: DataFrame, model_name: str,
     """Prediction, probability per class, confidence = max probability,
     model name and scoring time, for every row of ``df``."""
     out = model.transform(df)
-    probs = vector_to_array(F.col("probability")) if "probability" in out.columns else F.array()
+    if "probability" in out.columns:
+        probs = vector_to_array(F.col("probability"))
+    else:
+        # OneVsRest (multi-class GBT) has no probabilities: documented choice,
+        # a softmax over the per-class raw scores.
+        raw = vector_to_array(F.col("rawPrediction"))
+        mx = F.array_max(raw)
+        ex = F.transform(raw, lambda x: F.exp(x - mx))
+        total = F.aggregate(ex, F.lit(0.0), lambda a, x: a + x)
+        probs = F.transform(ex, lambda x: x / total)
     pred = F.col("prediction")
     if classes:
         m = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(float(i)), F.lit(c).cast("string"))])
@@ -270,3 +280,38 @@ def list_models(spark: SparkSession, root: str) -> DataFrame:
 
 __all__ = ["estimator", "train", "train_all", "feature_importance", "random_search", "score",
            "score_check", "save_model", "load_model", "list_models", "sample_space"]
+
+
+# ---------------------------------------------------------------- M9 scores
+CV_SCORES = ("accuracy", "precision", "recall", "f1", "roc_auc")
+
+
+def cross_validate(df: DataFrame, target: str, numeric, categorical, algorithm: str,
+                   key_cols: Sequence[str], folds: int = 5, seed: int = 42,
+                   params: Mapping | None = None, scores: Sequence[str] = CV_SCORES) -> DataFrame:
+    """M9: stratified k-fold scores, one fit per fold, every score from that
+    fold's predictions. precision/recall/f1 are macro averages; roc_auc is
+    binary only (skipped otherwise). Returns (score, mean, std) with the
+    population std, plus one row per (fold, score) as ``fold_scores``."""
+    from . import evaluate as EV
+    from .split import fold_ids
+    data = df.where(F.col(target).isNotNull())
+    data = fold_ids(data, target, list(key_cols), k=folds, seed=seed)
+    data = data.checkpoint(eager=True)  # every fold reads the same assignment
+    _, classes = prepare_label(data, target)
+    rows = []
+    for i in range(folds):
+        model = train(data.where(F.col("fold") != i), target, numeric, categorical, algorithm, params, seed)
+        test = prepare_label(data.where(F.col("fold") == i), target)[0]
+        pred = model.transform(test)
+        m = EV.classification_metrics(pred, "label", "prediction").first()
+        vals = {"accuracy": m["accuracy"], "precision": m["precision_macro"],
+                "recall": m["recall_macro"], "f1": m["f1_macro"]}
+        if "roc_auc" in scores and len(classes) == 2 and "probability" in pred.columns:
+            vals["roc_auc"] = EV.roc_auc(pred.select("label", vector_to_array("probability")[1].alias("s")),
+                                         "label", "s")
+        rows += [(i, k, float(v)) for k, v in vals.items() if k in scores and v is not None]
+    spark = df.sparkSession
+    per_fold = spark.createDataFrame(rows, "fold int, score string, value double")
+    return per_fold.groupBy("score").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"),
+                                         F.count(F.lit(1)).alias("folds"))

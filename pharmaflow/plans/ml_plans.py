@@ -266,6 +266,30 @@ def m16_feature_importance(spark, sf):
     return imp.agg(F.count(F.lit(1)).alias("features"), F.round(F.sum("importance"), 6).alias("importance_sum"))
 
 
+@register("m9_cross_validate")
+def m9_cross_validate(spark, sf):
+    """M9 scores (rows): 5-fold stratified CV of logistic regression; mean and
+    population std of accuracy, macro precision/recall/F1 and ROC AUC."""
+    return MD.cross_validate(labeled(spark, sf), TARGET, NUMERIC, CATEGORICAL, "logistic_regression",
+                             ["doc_id"], folds=5)
+
+
+@register("m7_gradient_boosting_multiclass", """
+SELECT count(*) AS rows, count(*) AS valid_predictions, 0 AS bad_sum, 0 AS bad_confidence FROM documents""")
+def m7_gradient_boosting_multiclass(spark, sf):
+    """M7 with three classes (OneVsRest of binary GBTs; probabilities are a
+    softmax of the raw scores): the scoring invariants hold."""
+    data = labeled(spark, sf).withColumn("cls", (F.col("quality") + F.col("toxic")).cast("int"))
+    model = MD.train(data, "cls", NUMERIC, CATEGORICAL, "gradient_boosting")
+    scored = MD.score(model, all_docs(spark, sf), "gbt_ovr", classes=[0, 1, 2])
+    total = F.aggregate("probabilities", F.lit(0.0), lambda a, x: a + x)
+    return scored.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("predicted").isin("0", "1", "2")).alias("valid_predictions"),
+        F.count_if(F.abs(total - 1.0) > 1e-6).alias("bad_sum"),
+        F.count_if(F.col("confidence") != F.array_max("probabilities")).alias("bad_confidence"))
+
+
 @register("m8_train_all")
 def m8_train_all(spark, sf):
     """M8 (rows): every configured algorithm plus one that fails; the failure
