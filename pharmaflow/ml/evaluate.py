@@ -30,13 +30,21 @@ def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "pre
 
 def per_class(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Per class (union of true and predicted labels, sorted):
-    precision, recall, f1 (zero division -> 0) and support."""
+    precision, recall, f1 (zero division -> 0) and support.
+
+    One aggregation of the data (the confusion table); each confusion cell
+    then contributes to its true class (support, tp) and its predicted class
+    (predicted count) through a two-element explode, so no joins follow."""
     c = confusion(df, label, prediction)
-    tp = c.where(F.col("label") == F.col("prediction")).select(F.col("label").alias("cls"),
-                                                             F.col("count").alias("tp"))
-    sup = c.groupBy(F.col("label").alias("cls")).agg(F.sum("count").alias("support"))
-    pred = c.groupBy(F.col("prediction").alias("cls")).agg(F.sum("count").alias("predicted"))
-    j = sup.join(pred, "cls", "full_outer").join(tp, "cls", "left").na.fill(0, ["support", "predicted", "tp"])
+    hit = (F.col("label") == F.col("prediction")).cast("long") * F.col("count")
+    parts = F.array(
+        F.struct(F.col("label").alias("cls"), F.col("count").alias("support"),
+                 hit.alias("tp"), F.lit(0).cast("long").alias("predicted")),
+        F.struct(F.col("prediction").alias("cls"), F.lit(0).cast("long").alias("support"),
+                 F.lit(0).cast("long").alias("tp"), F.col("count").alias("predicted")))
+    j = (c.select(F.explode(parts).alias("x")).select("x.*")
+          .groupBy("cls").agg(F.sum("support").alias("support"), F.sum("tp").alias("tp"),
+                              F.sum("predicted").alias("predicted")))
     p = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(F.lit(0.0))
     r = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
     out = j.select(F.col("cls").alias("class"), p.alias("precision"), r.alias("recall"),

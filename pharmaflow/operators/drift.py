@@ -77,29 +77,31 @@ def value_dist(df: DataFrame, cols: Sequence[str], top: int | None = None,
                normalize: bool = True) -> DataFrame:
     """Per feature, value shares of non-NULL rows (``normalize``) or raw
     counts, optionally only the ``top`` most frequent (value breaks ties)."""
-    vc = value_counts(df, cols).where(F.col("value").isNotNull())
-    out = vc
+    return dist_from_counts(value_counts(df, cols), top, normalize)
+
+
+def dist_from_counts(vc: DataFrame, top: int | None = None, normalize: bool = True) -> DataFrame:
+    """``value_dist`` from a (feature, value, count) table."""
+    from pyspark.sql import Window
+    vc = vc.where(F.col("value").isNotNull())
     if normalize:
-        tot = F.sum("count").over(_by_feature())
-        out = vc.withColumn("ratio", F.col("count") / tot)
+        out = vc.withColumn("ratio", F.col("count") / F.sum("count").over(Window.partitionBy("feature")))
     else:
         out = vc.withColumn("ratio", F.col("count").cast("double"))
     if top:
-        from pyspark.sql import Window
         w = Window.partitionBy("feature").orderBy(F.col("count").desc(), F.col("value"))
         out = out.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= top).drop("_r")
     return out
 
 
-def _by_feature():
-    from pyspark.sql import Window
-    return Window.partitionBy("feature")
-
-
 def category_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Per categorical feature: distinct values, most frequent value and
     its share of all rows, missing ratio, rows."""
-    vc = value_counts(df, cols)
+    return stats_from_counts(value_counts(df, cols))
+
+
+def stats_from_counts(vc: DataFrame) -> DataFrame:
+    """``category_stats`` from a (feature, value, count) table."""
     nn = F.col("value").isNotNull()
     return vc.groupBy("feature").agg(
         F.count_if(nn).alias("unique_values"),
@@ -113,14 +115,25 @@ def category_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         F.sum("count").alias("rows"))
 
 
+def _materialized_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Value counts computed once and checkpointed (in the shared
+    ``spark.checkpoint.dir``), so every table derived from them reuses one
+    scan of ``df`` instead of re-reading it."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return value_counts(df, cols).checkpoint(eager=True)
+
+
 # ---------------------------------------------------------------- D3 / D4
 def prediction_stats(df: DataFrame, col: str) -> DataFrame:
     """D3: mean, population std, min, max, exact median of predictions (one row)."""
     v = F.col(col).cast("double")
     base = df.agg(F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"),
-                  F.min(v).alias("min"), F.max(v).alias("max")).withColumn("_k", F.lit(0))
+                  F.min(v).alias("min"), F.max(v).alias("max"))
     med = quantiles(df.select(F.lit(0).alias("_k"), v.alias("value")), [0.5], group="_k")
-    return base.join(med, "_k", "left").select("mean", "std", "min", "max", F.col("q0").alias("median"))
+    # Two one-row frames combined by union + first(), not by a join.
+    both = base.unionByName(med.select(F.col("q0").alias("median")), allowMissingColumns=True)
+    return both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in ["mean", "std", "min", "max", "median"]])
 
 
 def prediction_histogram(df: DataFrame, col: str) -> DataFrame:
@@ -147,9 +160,10 @@ def baseline(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
     if numeric:
         out["feature_stats"] = numeric_stats(df, numeric)
     if categorical:
-        out["category_stats"] = category_stats(df, categorical)
-        out["value_dist"] = (value_dist(df, categorical, top=10, normalize=False) if compat
-                             else value_dist(df, categorical))
+        vc = _materialized_counts(df, categorical)
+        out["category_stats"] = stats_from_counts(vc)
+        out["value_dist"] = (dist_from_counts(vc, top=10, normalize=False) if compat
+                             else dist_from_counts(vc))
     return out
 
 
@@ -205,10 +219,10 @@ def categorical_drift(base: dict[str, DataFrame], current: DataFrame, cols: Sequ
     when PSI > threshold; all-missing current values -> 'missing_data'."""
     feats = base["category_stats"].select("feature")
     cols = list(cols)
-    cur_counts = value_counts(current, cols)
+    cur_counts = _materialized_counts(current, cols)
     nn = (cur_counts.groupBy("feature")
           .agg(F.sum(F.when(F.col("value").isNotNull(), F.col("count"))).alias("_nn")))
-    cur_dist = value_dist(current, cols)
+    cur_dist = dist_from_counts(cur_counts)
     scores = psi(base["value_dist"].join(feats, "feature", "left_semi"),
                  cur_dist.join(feats, "feature", "left_semi"))
     j = feats.join(nn, "feature").join(scores, "feature", "left")

@@ -69,6 +69,12 @@ def _exact(data, probs, names):
 
 
 def _bracketed(data, counts, probs, names, n_max, n_min, bracket_rows, accuracy=None):
+    """Large groups: four scans of ``data`` (counts were the first). Every
+    intermediate table here has one row per (group, prob) and is collected
+    to the driver and broadcast back; its size is #groups x #probs."""
+    from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+    spark = data.sparkSession
+    gtype = data.schema["_g"].dataType
     if accuracy is None:
         accuracy = int(min(max(10_000, math.ceil(6.0 * n_max / bracket_rows)), 10_000_000))
     # Sketch rank error (n / accuracy) plus one rank for the interpolation's
@@ -77,69 +83,80 @@ def _bracketed(data, counts, probs, names, n_max, n_min, bracket_rows, accuracy=
     bp = []
     for p in probs:
         bp += [max(0.0, p - delta), min(1.0, p + delta)]
-    approx = (data.groupBy("_g").agg(F.percentile_approx("_v", bp, accuracy).alias("_a"),
-                                     F.min("_v").alias("_min"), F.max("_v").alias("_max"))
-              .join(counts, "_g"))
-    br = approx.select("_g", "_n", *[
-        (F.col("_min") if bp[2 * i] == 0.0 else F.col("_a")[2 * i]).alias(f"_lo{i}")
-        for i in range(len(probs))], *[
-        (F.col("_max") if bp[2 * i + 1] == 1.0 else F.col("_a")[2 * i + 1]).alias(f"_hi{i}")
-        for i in range(len(probs))])
-    # One row per large group: its size is bounded by the number of groups.
+    k = len(probs)
+    # scan 2: value brackets from the sketch
+    arows = (data.groupBy("_g").agg(F.percentile_approx("_v", bp, accuracy).alias("_a"),
+                                    F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+             .join(counts, "_g").collect())
+    info = {}
+    for r in arows:
+        ends = []
+        for i in range(k):
+            lo = r["_min"] if bp[2 * i] == 0.0 else r["_a"][2 * i]
+            hi = r["_max"] if bp[2 * i + 1] == 1.0 else r["_a"][2 * i + 1]
+            ends.append((float(lo), float(hi)))
+        info[r["_g"]] = (int(r["_n"]), ends)
+    br_schema = StructType([StructField("_g", gtype)] + [
+        StructField(f"_{e}{i}", DoubleType()) for i in range(k) for e in ("lo", "hi")])
+    br = spark.createDataFrame([(g, *[x for lo_hi in ends for x in lo_hi]) for g, (_n, ends) in info.items()],
+                               br_schema)
     j = data.join(F.broadcast(br), "_g")
     vv = F.col("_v")
+    # scan 3: rows below, on and strictly inside each bracket
     aggs = []
-    for i in range(len(probs)):
+    for i in range(k):
         lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        aggs += [F.count_if(vv < lo).alias(f"_lt{i}"), F.count_if(vv == lo).alias(f"_eqlo{i}"),
-                 F.count_if((vv > lo) & (vv < hi)).alias(f"_in{i}"), F.count_if(vv == hi).alias(f"_eqhi{i}")]
-    cnt = j.groupBy("_g").agg(*aggs).join(br, "_g")
-    # Rows strictly inside a bracket, tagged by bracket, ranked inside it.
-    inside = j.select("_g", "_v", F.explode(F.array(*[
-        F.when((vv > F.col(f"_lo{i}")) & (vv < F.col(f"_hi{i}")), F.lit(i)) for i in range(len(probs))
-    ])).alias("_i")).where(F.col("_i").isNotNull())
-    w = Window.partitionBy("_g", "_i").orderBy("_v")
-    ranked = (inside.withColumn("_ir", F.row_number().over(w) - 1)
-                    .withColumnRenamed("_v", "_iv"))
-
-    rows = []
-    for i, p in enumerate(probs):
-        rows.append(F.struct(F.lit(i).alias("_i"), (F.lit(p) * (F.col("_n") - 1)).alias("_pos"),
-                             F.col(f"_lt{i}").alias("lt"), F.col(f"_eqlo{i}").alias("eqlo"),
-                             F.col(f"_in{i}").alias("cin"), F.col(f"_eqhi{i}").alias("eqhi"),
-                             F.col(f"_lo{i}").alias("lo"), F.col(f"_hi{i}").alias("hi")))
-    targets = (cnt.select("_g", F.explode(F.array(*rows)).alias("t")).select("_g", "t.*")
-               .withColumn("_rlo", F.floor("_pos").cast("long"))
-               .withColumn("_rhi", F.ceil("_pos").cast("long")))
-
-    def resolve(rank_col, tag):
-        r = F.col(rank_col)
-        in_rank = r - F.col("lt") - F.col("eqlo")
-        where = (F.when(r < F.col("lt"), F.lit("bad"))
-                  .when(r < F.col("lt") + F.col("eqlo"), F.lit("lo"))
-                  .when(in_rank < F.col("cin"), F.lit("in"))
-                  .when(in_rank < F.col("cin") + F.col("eqhi"), F.lit("hi"))
-                  .otherwise(F.lit("bad")))
-        t = targets.select("_g", "_i", where.alias("_w"), in_rank.alias("_ir"), "lo", "hi")
-        return (t.join(ranked, ["_g", "_i", "_ir"], "left")
-                 .select("_g", "_i", F.col("_w").alias(f"{tag}_w"),
-                         F.when(F.col("_w") == "lo", F.col("lo"))
-                          .when(F.col("_w") == "hi", F.col("hi"))
-                          .when(F.col("_w") == "in", F.col("_iv")).alias(tag)))
-
-    res = (targets.select("_g", "_i", "_pos", "_rlo")
-           .join(resolve("_rlo", "_vlo"), ["_g", "_i"])
-           .join(resolve("_rhi", "_vhi"), ["_g", "_i"]))
-    val = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * (F.col("_pos") - F.col("_rlo"))
-    missed = (F.col("_vlo_w") == "bad") | (F.col("_vhi_w") == "bad")
-    wide = (res.groupBy("_g")
-               .agg(F.bool_or(missed).alias("_missed"),
-                    *[F.first(F.when(F.col("_i") == i, val), ignorenulls=True).alias(names[i])
-                      for i in range(len(probs))]))
-    good = wide.where(~F.col("_missed")).select("_g", *names)
-    # A bracket that missed its rank (the sketch's bound was exceeded) is
-    # recomputed exactly for that group only.
-    if wide.where(F.col("_missed")).limit(1).count():
-        bad = wide.where(F.col("_missed")).select("_g")
-        return good.unionByName(_exact(data.join(bad, "_g"), probs, names))
-    return good
+        aggs += [F.count_if(vv < lo).alias(f"lt{i}"), F.count_if(vv == lo).alias(f"eqlo{i}"),
+                 F.count_if((vv > lo) & (vv < hi)).alias(f"in{i}"), F.count_if(vv == hi).alias(f"eqhi{i}")]
+    cnt = {r["_g"]: r for r in j.groupBy("_g").agg(*aggs).collect()}
+
+    need, known, missed = [], {}, set()
+    for g, (n, ends) in info.items():
+        c = cnt[g]
+        for i, p in enumerate(probs):
+            pos = p * (n - 1)
+            lo, hi = ends[i]
+            lt, eqlo, cin, eqhi = c[f"lt{i}"], c[f"eqlo{i}"], c[f"in{i}"], c[f"eqhi{i}"]
+            for r in {math.floor(pos), math.ceil(pos)}:
+                ir = r - lt - eqlo
+                if r < lt:
+                    missed.add(g)
+                elif r < lt + eqlo:
+                    known[(g, i, r)] = lo
+                elif ir < cin:
+                    need.append((g, i, int(ir), int(r)))
+                elif ir < cin + eqhi:
+                    known[(g, i, r)] = hi
+                else:
+                    missed.add(g)
+    # scan 4: rank only the rows strictly inside a bracket, for needed ranks
+    if need:
+        need_df = spark.createDataFrame(need, StructType([
+            StructField("_g", gtype), StructField("_i", LongType()), StructField("_ir", LongType()),
+            StructField("_r", LongType())]))
+        inside = j.select("_g", "_v", F.explode(F.array(*[
+            F.when((vv > F.col(f"_lo{i}")) & (vv < F.col(f"_hi{i}")), F.lit(i).cast("long"))
+            for i in range(k)])).alias("_i")).where(F.col("_i").isNotNull())
+        w = Window.partitionBy("_g", "_i").orderBy("_v")
+        ranked = inside.withColumn("_ir", (F.row_number().over(w) - 1).cast("long"))
+        for row in ranked.join(F.broadcast(need_df), ["_g", "_i", "_ir"]).select("_g", "_i", "_r", "_v").collect():
+            known[(row["_g"], row["_i"], row["_r"])] = row["_v"]
+    out = []
+    for g, (n, _ends) in info.items():
+        if g in missed:
+            continue
+        qs = []
+        for i, p in enumerate(probs):
+            pos = p * (n - 1)
+            f = math.floor(pos)
+            vlo, vhi = known[(g, i, f)], known[(g, i, math.ceil(pos))]
+            qs.append(vlo + (vhi - vlo) * (pos - f))
+        out.append((g, *qs))
+    res = spark.createDataFrame(out, StructType([StructField("_g", gtype)] +
+                                                [StructField(nm, DoubleType()) for nm in names]))
+    if missed:
+        # A bracket that missed its rank (the sketch's bound was exceeded) is
+        # recomputed exactly, for that group only.
+        bad = spark.createDataFrame([(g,) for g in missed], StructType([StructField("_g", gtype)]))
+        res = res.unionByName(_exact(data.join(F.broadcast(bad), "_g"), probs, names))
+    return res

@@ -329,10 +329,14 @@ def m20_run_log(spark, sf):
         rid = log.log_run("quality", {"algorithm": r["model_name"]},
                           {"accuracy": r["accuracy"] or 0.0, "f1_macro": r["f1_macro"] or 0.0})
         log.register_version("quality_model", rid)
-    best = best_version(log.versions(), log.runs(), "accuracy")
-    latest = latest_run(log.runs(), "quality").select("experiment", "run_id")
-    latest = latest.select(F.lit("quality_model").alias("name"), "experiment")
-    return best.select("name", "version", "accuracy").join(latest, "name", "left")
+    runs = log.runs()
+    best = best_version(log.versions(), runs, "accuracy")
+    latest = latest_run(runs).select("experiment", F.col("run_id").alias("latest_run_id"))
+    # best version -> its run's experiment -> that experiment's latest run (key joins)
+    return (best.join(runs.select("run_id", "experiment"), "run_id")
+                .join(latest, "experiment")
+                .select("name", "version", "accuracy", "experiment",
+                        (F.col("run_id") == F.col("latest_run_id")).alias("best_is_latest")))
 
 
 @register("m21_training_flow")
