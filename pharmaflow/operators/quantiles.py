@@ -49,7 +49,9 @@ def quantiles(long: DataFrame, probs: Sequence[float], group: str = "feature",
                     F.max(F.when(big, F.col("_n"))).alias("n_max"),
                     F.min(F.when(big, F.col("_n"))).alias("n_min")).first()
     parts = []
-    if st["small"]:
+    if st["small"] and not st["large"]:
+        parts.append(_exact(data, probs, names))  # every group is small: no join needed
+    elif st["small"]:
         parts.append(_exact(data.join(counts.where(~big).select("_g"), "_g"), probs, names))
     if st["large"]:
         large = counts.where(big)
