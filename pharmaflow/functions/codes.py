@@ -38,7 +38,7 @@ def age_bucket(c, width: int = 10) -> Column:
 
     Matches a SQL ``x::int / 10 * 10`` on a float column (cast rounds).
     """
-    n = F.rint(_col(c).cast("double")).cast("int")
+    n = F.rint(_col(c).try_cast("double")).cast("int")  # text ages; unparsable -> NULL
     # n - n % w truncates toward zero, like SQL integer division.
     return n - (n % F.lit(width))
 

@@ -19,10 +19,19 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _numeric(df: DataFrame, col: str, to: str) -> Column:
+    """Numeric view of a column that may hold text codes ('1', '2'):
+    unparsable text is NULL instead of an ANSI cast error."""
+    from pyspark.sql.types import NumericType
+    c = F.col(col)
+    return c if isinstance(df.schema[col].dataType, NumericType) else c.try_cast(to)
+
+
 def age_histogram(df: DataFrame, age_col: str = "patientonsetage", width: int = 10) -> DataFrame:
     """A1: rows per ``width``-year bucket, NULL ages excluded, ordered."""
-    return (df.where(F.col(age_col).isNotNull())
-              .groupBy(age_bucket(age_col, width).alias("age_group"))
+    b = age_bucket(age_col, width)
+    return (df.where(b.isNotNull())
+              .groupBy(b.alias("age_group"))
               .agg(F.count(F.lit(1)).alias("count"))
               .orderBy("age_group"))
 
@@ -77,7 +86,7 @@ def group_summary(df: DataFrame, keys: Sequence[str], serious_col: str = "seriou
     """Per key group: event count, SUM(serious) (a sum of codes, as the
     dashboard shipped it), count of serious = ``serious_true``, first/last
     date; largest groups first, keys break ties."""
-    s = F.col(serious_col)
+    s = _numeric(df, serious_col, "long")
     out = (df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("event_count"),
         F.sum(s).alias("serious_count"),
@@ -100,7 +109,7 @@ def trend(df: DataFrame, date_col: str = "receivedate", metric_col: str = "serio
         yyyymmdd = date_col == "receivedate"
     d = parse_yyyymmdd(date_col) if yyyymmdd else F.to_date(F.col(date_col))
     out = (df.groupBy(F.col(group_by).alias("group_key"), d.alias("date"))
-             .agg(F.avg(F.col(metric_col)).alias("avg_value"))
+             .agg(F.avg(_numeric(df, metric_col, "double")).alias("avg_value"))
              .orderBy(F.col("date").desc_nulls_last(), F.col("group_key").asc_nulls_last()))
     return out.limit(limit) if limit else out
 

@@ -45,7 +45,9 @@ def flatten_reports(reports: DataFrame, keep_order: bool = True) -> DataFrame:
 
     out = r.select(
         "safetyreportid", "receivedate", "serious", "patientonsetage", "patientsex",
-        strip_ws(F.col("_reaction.reactionmeddrapt")).alias("reaction"),
+        # an empty name is no name (NULL); anything else is stripped
+        F.when(F.col("_reaction.reactionmeddrapt") == "", F.lit(None))
+         .otherwise(strip_ws(F.col("_reaction.reactionmeddrapt"))).alias("reaction"),
         strip_ws(F.coalesce(F.col("_drug.medicinalproduct"), F.lit(""))).alias("medicinalproduct"),
         strip_ws(F.coalesce(F.col("_drug.drugauthorizationnumb"), F.lit(""))).alias("drugauthorizationnumb"),
         of("brand_name").alias("brand_name"),

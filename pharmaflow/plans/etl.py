@@ -389,3 +389,77 @@ def _write_named(spark, df, base, name):
             continue
         stem = name[:-len(".json")]
         fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(f"{base}/{stem}_{i:05d}.json"))
+
+
+# ------------------------------------------------------------------ dashboard on the ETL output
+# The dashboard queries (A1-A5, A9, A10) run over the flat safety-event
+# table produced above: text-typed fields, exactly as the flow stores them.
+_EV = "WITH ev AS (" + _EVENTS_SQL + ")\n"
+
+
+def _events(spark, sf):
+    return etl_report_events(spark, sf)
+
+
+@register("etl_age_histogram", _EV + """
+SELECT CAST(round_even(TRY_CAST(patientonsetage AS DOUBLE), 0) AS INTEGER) // 10 * 10 AS age_group,
+       count(*) AS count
+FROM ev WHERE TRY_CAST(patientonsetage AS DOUBLE) IS NOT NULL GROUP BY 1""")
+def etl_age_histogram(spark, sf):
+    from ..operators.aggregates import age_histogram
+    return age_histogram(_events(spark, sf), "patientonsetage")
+
+
+@register("etl_top_reactions", _EV + """
+SELECT reaction, count(*) AS count FROM ev GROUP BY reaction
+ORDER BY count DESC, reaction NULLS LAST LIMIT 10""")
+def etl_top_reactions(spark, sf):
+    from ..operators.aggregates import top_counts
+    return top_counts(_events(spark, sf), "reaction", 10)
+
+
+@register("etl_top_products", _EV + """
+SELECT lower(medicinalproduct) AS drug_name, count(*) AS count FROM ev GROUP BY 1
+ORDER BY count DESC, drug_name NULLS LAST LIMIT 10""")
+def etl_top_products(spark, sf):
+    from ..operators.aggregates import top_products
+    return top_products(_events(spark, sf))
+
+
+@register("etl_reports_by_month", _EV + """
+SELECT strftime(strptime(receivedate, '%Y%m%d'), '%Y-%m') AS month, count(*) AS reports FROM ev GROUP BY 1""")
+def etl_reports_by_month(spark, sf):
+    from ..operators.aggregates import monthly_counts
+    return monthly_counts(_events(spark, sf))
+
+
+@register("etl_sex_distribution", _EV + """
+SELECT CASE patientsex WHEN '1' THEN 'Male' WHEN '2' THEN 'Female' ELSE 'Unknown' END AS sex,
+       count(*) AS count FROM ev GROUP BY 1""")
+def etl_sex_distribution(spark, sf):
+    from ..operators.aggregates import count_by_decoded
+    return count_by_decoded(_events(spark, sf))
+
+
+@register("etl_demographic_summary", _EV + """
+SELECT patientonsetage, patientsex, count(*) AS event_count,
+       sum(TRY_CAST(serious AS BIGINT)) AS serious_count,
+       count(*) FILTER (WHERE TRY_CAST(serious AS BIGINT) = 1) AS serious_true_count,
+       min(receivedate) AS first_event, max(receivedate) AS last_event
+FROM ev GROUP BY patientonsetage, patientsex
+ORDER BY event_count DESC, patientonsetage NULLS LAST, patientsex NULLS LAST LIMIT 50""")
+def etl_demographic_summary(spark, sf):
+    from ..operators.aggregates import group_summary
+    return group_summary(_events(spark, sf), ["patientonsetage", "patientsex"], n=50)
+
+
+@register("etl_trend", _EV + """
+SELECT patientsex AS group_key, strftime(strptime(receivedate, '%Y%m%d'), '%Y-%m-%d') AS date,
+       round(avg(TRY_CAST(serious AS DOUBLE)), 6) AS avg_value
+FROM ev GROUP BY 1, 2 ORDER BY date DESC, group_key LIMIT 500""")
+def etl_trend(spark, sf):
+    from ..operators.aggregates import trend
+    from .registry import r6
+    out = trend(_events(spark, sf))  # defaults: receivedate / serious / patientsex, limit 500
+    return out.select("group_key", F.date_format("date", "yyyy-MM-dd").alias("date"),
+                      r6("avg_value").alias("avg_value"))

@@ -263,3 +263,18 @@ def test_report_sinks(spark):
     DR.write_monitoring_report(pts, mout)
     assert spark.read.json(f"{mout}/summary").first().performance_trend == "declining"
     assert spark.read.json(f"{mout}/points").where("drift_detected").count() == 1
+
+
+def test_empty_reaction_is_null_and_text_codes(spark):
+    rows = [_report("r1", ["", "  ", "Rash"], [_drug("A", "1", ["B"])])]
+    flat = FL.flatten_reports(spark.createDataFrame(rows, schemas.REPORT))
+    assert sorted([r.reaction for r in flat.collect()], key=str) == ["", "Rash", None]
+    ev = spark.createDataFrame([("30", "1", "1", "20240101"), ("31", "1", "2", "20240102"),
+                                ("abc", "1", "x", "20240103")],
+                               "patientonsetage string, patientsex string, serious string, receivedate string")
+    h = {r.age_group: r["count"] for r in A.age_histogram(ev).collect()}
+    assert h == {30: 2}  # unparsable age is left out, no ANSI error
+    r = A.group_summary(ev, ["patientsex"], n=None).first()
+    assert (r.event_count, r.serious_count, r.serious_true_count) == (3, 3, 1)
+    t = {row.date.isoformat(): row.avg_value for row in A.trend(ev, limit=None).collect()}
+    assert t["2024-01-02"] == 2.0 and t["2024-01-03"] is None
