@@ -268,7 +268,7 @@ def test_report_sinks(spark):
 def test_empty_reaction_is_null_and_text_codes(spark):
     rows = [_report("r1", ["", "  ", "Rash"], [_drug("A", "1", ["B"])])]
     flat = FL.flatten_reports(spark.createDataFrame(rows, schemas.REPORT))
-    assert sorted([r.reaction for r in flat.collect()], key=str) == ["", "Rash", None]
+    assert sorted([r.reaction for r in flat.collect()], key=str) == ["", None, "Rash"]
     ev = spark.createDataFrame([("30", "1", "1", "20240101"), ("31", "1", "2", "20240102"),
                                 ("abc", "1", "x", "20240103")],
                                "patientonsetage string, patientsex string, serious string, receivedate string")
