@@ -11,7 +11,6 @@ rows is still spread over many tasks.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -80,7 +79,3 @@ def class_weights(df: DataFrame, target: str, col: str = "weight") -> DataFrame:
         target, (F.sum("_nc").over(everything) /
                  (F.count(F.lit(1)).over(everything) * F.col("_nc"))).alias(col))
     return df.join(stats, target, "left")
-
-
-def ceil_test(n: int, test_size: float) -> int:
-    return int(math.ceil(n * test_size))

@@ -7,7 +7,6 @@ keep-first dedup.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import ArrayType
 
 from ..functions import parse_timestamp, strip_ws, first_value, strip_prefix
 from ..schemas import EVENT_COLUMNS

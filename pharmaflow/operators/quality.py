@@ -14,9 +14,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import NumericType, StringType
 
-RESULT_FIELDS = ["position", "check", "column", "success", "element_count",
-                 "unexpected_count", "observed"]
-
 
 @dataclass(frozen=True)
 class Check:

@@ -54,3 +54,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint dir for intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "pharmaflow", name)
+
+
+def scale_conf(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024,
+               max_partitions: int = 500_000) -> dict:
+    """Settings sized from the input: scan splits and shuffle partitions of
+    about ``partition_bytes`` each, so a task's data fits executor memory.
+    AQE then coalesces small shuffle partitions and splits skewed ones, so
+    the initial count only has to be large enough, never exact.
+
+    For 100 TB at 256 MB: about 410k initial shuffle partitions.
+    """
+    parts = max(1, min(max_partitions, -(-int(input_bytes) // partition_bytes)))
+    size = str(partition_bytes)
+    return {
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        # automatic broadcasts stay below a fixed bound whatever the data size
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }

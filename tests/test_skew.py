@@ -42,3 +42,11 @@ def test_bracketed_quantiles_hot_value_without_fallback(spark, monkeypatch):
     monkeypatch.setattr(QT, "_exact", no_fallback)
     got = QT.quantiles(df, probs, exact_limit=0, accuracy=40).first()
     assert [got[f"q{i}"] for i in range(len(probs))] == pytest.approx(ref, rel=0, abs=1e-9)
+
+
+def test_scale_conf_sizes_partitions():
+    from pharmaflow.session import scale_conf
+    c = scale_conf(100 * 1024 ** 4)
+    assert c["spark.sql.shuffle.partitions"] == "409600"
+    assert int(c["spark.sql.autoBroadcastJoinThreshold"]) == 64 * 1024 * 1024
+    assert scale_conf(10)["spark.sql.shuffle.partitions"] == "1"

@@ -8,12 +8,11 @@ import tempfile
 
 import pytest
 from pyspark.sql import Observation, functions as F
-from pyspark.sql.types import (ArrayType, DoubleType, LongType, StringType, StructField,
-                               StructType)
+from pyspark.sql.types import LongType, StructField, StructType
 
 from pharmaflow import schemas
-from pharmaflow.functions import (age_bucket, decode, display_date, first_value, parse_yyyymmdd,
-                                  strip_ws, year_month)
+from pharmaflow.functions import (decode, display_date, first_value, parse_yyyymmdd, strip_ws,
+                                  year_month)
 from pharmaflow.ml import evaluate as EV, split as SP
 from pharmaflow.operators import aggregates as A, drift as DR, flatten as FL, quality as Q
 from pharmaflow.operators import select as S, windows as W
