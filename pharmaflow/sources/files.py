@@ -190,6 +190,20 @@ def read_resource(spark: SparkSession, resource: str, input_dir: str,
     return spark.createDataFrame([], schema)
 
 
+def prepare_resource(spark: SparkSession, resource: str, input_dir: str, schema: StructType,
+                     output_path: str | None = None, json_layout: str = "ndjson") -> str:
+    """S5 + S8: normalize ``resource`` to JSON records at ``output_path``
+    (default ``input_dir/<resource>.json``) and return that path. An
+    existing output is reused as is, like the reference's flow."""
+    out = output_path or f"{input_dir.rstrip('/')}/{resource}.json"
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(out)
+    if hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath):
+        return out
+    write_json(read_resource(spark, resource, input_dir, schema, json_layout), out)
+    return out
+
+
 # ---------------------------------------------------------------- S7 / S8
 def write_csv(df: DataFrame, path: str, skip_empty: bool = True) -> bool:
     """Replace ``path`` with ``df`` as CSV with a header. Returns False (and

@@ -277,3 +277,21 @@ def test_empty_reaction_is_null_and_text_codes(spark):
     assert (r.event_count, r.serious_count, r.serious_true_count) == (3, 3, 1)
     t = {row.date.isoformat(): row.avg_value for row in A.trend(ev, limit=None).collect()}
     assert t["2024-01-02"] == 2.0 and t["2024-01-03"] is None
+
+
+def test_prepare_resource_and_pretty_document(spark):
+    import json
+    d = tempfile.mkdtemp(prefix="pf-res-")
+    os.makedirs(os.path.join(d, "patients"))
+    open(os.path.join(d, "patients", "a.csv"), "w").write("id,birthDate,gender\np1,1970-01-01,female\np2,,male\n")
+    out = FS.prepare_resource(spark, "patients", d, schemas.PATIENT_ROW)
+    got = sorted((r.id, r.birthDate) for r in spark.read.schema(schemas.PATIENT_ROW).json(out).collect())
+    assert got == [("p1", "1970-01-01"), ("p2", None)]
+    assert FS.prepare_resource(spark, "patients", d, schemas.PATIENT_ROW) == out  # reused
+    doc = {"results": [{"safetyreportid": "9", "receivedate": "20240101", "serious": "1",
+                        "patient": {"patientsex": "2", "reaction": [{"reactionmeddrapt": "Rash"}],
+                                    "drug": [{"medicinalproduct": "X", "drugauthorizationnumb": "1"}]}}]}
+    path = os.path.join(tempfile.mkdtemp(prefix="pf-doc-"), "events.json")
+    open(path, "w").write(json.dumps(doc, indent=2))
+    ev = FL.reports_to_events(FS.read_report_files(spark, path, multi_line=True)).collect()
+    assert [(r.safetyreportid, r.reaction, r.medicinalproduct, r.brand_name) for r in ev] == [("9", "Rash", "X", None)]
