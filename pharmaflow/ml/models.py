@@ -74,14 +74,16 @@ def prepare_label(df: DataFrame, target: str, label: str = "label") -> DataFrame
 
 
 def train(df: DataFrame, target: str, numeric: Sequence[str], categorical: Sequence[str],
-          algorithm: str, params: Mapping | None = None, seed: int = 42) -> PipelineModel:
+          algorithm: str, params: Mapping | None = None, seed: int = 42,
+          encoding: str = "onehot") -> PipelineModel:
     """M5-M7: fit preprocessor + classifier as one PipelineModel on ``df``
-    (rows with a NULL target are dropped; balanced weights added)."""
+    (rows with a NULL target are dropped; balanced weights added).
+    ``encoding="hash"`` hashes categorical columns (see ``prep``)."""
     data = df.where(F.col(target).isNotNull())
     data, classes = prepare_label(data, target)
     data = class_weights(data, "label")
     n = data.count()
-    stages = preprocessor_stages(data, numeric, categorical)
+    stages = preprocessor_stages(data, numeric, categorical, encoding=encoding)
     est = estimator(algorithm, n, len(classes), params, seed=seed)
     return _persisted(Pipeline(stages=stages + [est]).fit(data), algorithm)
 

@@ -16,7 +16,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (FeatureHasher, OneHotEncoder, SQLTransformer, StringIndexer,
+                                VectorAssembler)
 from pyspark.sql import DataFrame, functions as F
 
 
@@ -69,8 +70,15 @@ def categorical_modes(df: DataFrame, cols: Sequence[str]) -> dict:
 
 
 def preprocessor_stages(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
-                        features_col: str = "features", approx: bool = False) -> list:
-    """M4: fitted constants + stages producing ``features_col``."""
+                        features_col: str = "features", approx: bool = False,
+                        encoding: str = "onehot", hash_features: int = 1 << 18) -> list:
+    """M4: fitted constants + stages producing ``features_col``.
+
+    ``encoding="onehot"`` (default) matches the reference: one slot per
+    training category, unseen -> zeros. Fitting it collects each column's
+    distinct values to the driver, so for high-cardinality columns use
+    ``encoding="hash"``: ``FeatureHasher`` into ``hash_features`` slots, with
+    no fitted vocabulary (unseen values simply hash)."""
     numeric, categorical = list(numeric), list(categorical)
     stats = numeric_stats(df, numeric, approx)
     modes = categorical_modes(df, categorical)
@@ -85,7 +93,12 @@ def preprocessor_stages(df: DataFrame, numeric: Sequence[str], categorical: Sequ
     if exprs:
         stages.append(SQLTransformer(statement="SELECT *, " + ", ".join(exprs) + " FROM __THIS__"))
     inputs = [f"num__{c}" for c in numeric]
-    if categorical:
+    if categorical and encoding == "hash":
+        cats = [f"cat__{c}" for c in categorical]
+        stages.append(FeatureHasher(inputCols=cats, categoricalCols=cats, outputCol="hashed__cat",
+                                    numFeatures=hash_features))
+        inputs.append("hashed__cat")
+    elif categorical:
         idx = [f"idx__{c}" for c in categorical]
         ohe = [f"ohe__{c}" for c in categorical]
         stages.append(StringIndexer(inputCols=[f"cat__{c}" for c in categorical], outputCols=idx,

@@ -295,3 +295,19 @@ def test_prepare_resource_and_pretty_document(spark):
     open(path, "w").write(json.dumps(doc, indent=2))
     ev = FL.reports_to_events(FS.read_report_files(spark, path, multi_line=True)).collect()
     assert [(r.safetyreportid, r.reaction, r.medicinalproduct, r.brand_name) for r in ev] == [("9", "Rash", "X", None)]
+
+
+def test_hashed_categoricals(spark):
+    from pharmaflow.ml import models as MD
+    from pharmaflow.ml.prep import fit_preprocessor, preprocessor_stages
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+    df = spark.createDataFrame([(float(i), f"v{i % 50}", i % 2) for i in range(200)],
+                               "x double, c string, y int")
+    stages = preprocessor_stages(df, ["x"], ["c"], encoding="hash", hash_features=64)
+    out = Pipeline(stages=stages).fit(df).transform(df)
+    assert out.select(F.size(vector_to_array("features")).alias("n")).first().n == 65
+    unseen = spark.createDataFrame([(1.0, "never-seen", 0)], "x double, c string, y int")
+    assert Pipeline(stages=stages).fit(df).transform(unseen).count() == 1
+    model = MD.train(df, "y", ["x"], ["c"], "logistic_regression", encoding="hash")
+    assert MD.score_check(MD.score(model, df, "lr", classes=[0, 1])).first().bad_sum == 0
