@@ -264,8 +264,25 @@ def bundles_text(spark, sf) -> DataFrame:
 
 
 def parsed_resources(spark, sf) -> DataFrame:
-    b = bundles_text(spark, sf).select(F.from_json("json", schemas.BUNDLE)["entry"].alias("entry"))
-    return FL.explode_resources(b)
+    """Bundles written as files (one bundle per line) and read back through
+    the FHIR directory source (S4), then exploded into resources."""
+    path = fresh_dir(spark, "fhir_bundles")
+    bundles_text(spark, sf).select("json").write.mode("overwrite").option(
+        "compression", "none").text(path)
+    # Spark names text output part-*.txt; expose it as *.json bundles.
+    _rename_suffix(spark, path, ".txt", ".json")
+    return FL.explode_resources(FS.read_fhir_dir(spark, path, multi_line=False))
+
+
+def _rename_suffix(spark, path, old, new):
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    base = jvm.org.apache.hadoop.fs.Path(path)
+    fs = base.getFileSystem(conf)
+    for st in fs.listStatus(base):
+        name = st.getPath().getName()
+        if name.endswith(old):
+            fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(f"{path}/{name[:-len(old)]}{new}"))
 
 
 _FHIR_BASE = """
