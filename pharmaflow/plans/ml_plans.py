@@ -290,7 +290,10 @@ def m7_gradient_boosting_multiclass(spark, sf):
         F.count_if(F.col("confidence") != F.array_max("probabilities")).alias("bad_confidence"))
 
 
-@register("m8_train_all")
+@register("m8_train_all", """
+SELECT * FROM (VALUES ('logistic_regression', 'ok'), ('random_forest', 'ok'),
+                      ('gradient_boosting', 'ok'), ('not_an_algorithm', 'failed'))
+  AS t(model_name, status)""")
 def m8_train_all(spark, sf):
     """M8 (rows): every configured algorithm plus one that fails; the failure
     is recorded and the others still train."""
@@ -309,7 +312,11 @@ def m17_random_search(spark, sf):
     return hist.withColumn("best_params", F.lit(json.dumps(best, sort_keys=True)))
 
 
-@register("m19_model_index")
+@register("m19_model_index", """
+SELECT * FROM (VALUES
+  ('quality_logistic_regression', 'logistic_regression', '["n_chars", "lang", "source"]'),
+  ('quality_random_forest', 'random_forest', '["n_chars", "lang", "source"]'))
+  AS t(model_name, algorithm, features)""")
 def m19_model_index(spark, sf):
     """M19 (rows): save two models, list the index (latest row per name)."""
     root = fresh_dir(spark, "models")
