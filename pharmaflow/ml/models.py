@@ -108,14 +108,16 @@ def _persisted(model: PipelineModel, label: str) -> PipelineModel:
 
 
 def train_all(df: DataFrame, target: str, numeric, categorical,
-              algorithms: Mapping[str, Mapping] | None = None, seed: int = 42):
+              algorithms: Mapping[str, Mapping] | None = None, seed: int = 42, fit=None):
     """M8: fit every configured algorithm; a failure is recorded and the
-    others go on. Returns ({name: model}, [(name, status, error, seconds)])."""
+    others go on. Returns ({name: model}, [(name, status, error, seconds)]).
+    ``fit`` replaces ``train`` (same arguments), e.g. to reuse earlier fits."""
+    fit = fit or train
     models, log = {}, []
     for name, params in (algorithms or ALGORITHMS).items():
         t0 = time.time()
         try:
-            models[name] = train(df, target, numeric, categorical, name, params, seed)
+            models[name] = fit(df, target, numeric, categorical, name, params, seed)
             log.append((name, "ok", None, time.time() - t0))
         except Exception as e:  # recorded, not raised
             log.append((name, "failed", f"{type(e).__name__}: {e}"[:500], time.time() - t0))
