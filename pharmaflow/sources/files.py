@@ -51,18 +51,24 @@ def read_report_files(spark: SparkSession, path: str,
 
 
 def write_report_documents(reports: DataFrame, path: str, doc_key,
-                           order_cols: list[str]) -> None:
+                           order_cols: list[str], max_reports: int = 1000) -> None:
     """Write reports as ``{"results": [...]}`` documents, one per line.
 
-    ``doc_key`` groups reports into documents; it must bound the size of a
-    document (e.g. a key range), since one document is built by one task.
-    Reports inside a document are sorted by ``order_cols``.
+    ``doc_key`` groups reports into documents; reports inside a document are
+    sorted by ``order_cols``. A document never holds more than about
+    ``max_reports`` reports, whatever the key: per-key sizes come from a
+    small count table, and an oversized key is split into
+    ``ceil(n / max_reports)`` sub-documents by a hash of ``order_cols[0]``
+    (so one report id never spans two documents).
     """
-    report_cols = [c for c in reports.columns]
+    report_cols = list(reports.columns)
+    keyed = reports.withColumn("_doc", doc_key)
+    sizes = keyed.groupBy("_doc").agg(F.count(F.lit(1)).alias("_n"))
+    n_sub = F.ceil(F.col("_n") / F.lit(max_reports))
+    keyed = (keyed.join(sizes, "_doc")
+                  .withColumn("_sub", F.pmod(F.xxhash64(F.col(order_cols[0])), n_sub)))
     sort_struct = F.struct(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(order_cols)])
-    docs = (reports
-            .withColumn("_doc", doc_key)
-            .groupBy("_doc")
+    docs = (keyed.groupBy("_doc", "_sub")
             .agg(F.array_sort(F.collect_list(
                 F.struct(sort_struct.alias("k"),
                          F.struct(*report_cols).alias("r")))).alias("items"))

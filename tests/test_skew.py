@@ -50,3 +50,16 @@ def test_scale_conf_sizes_partitions():
     assert c["spark.sql.shuffle.partitions"] == "409600"
     assert int(c["spark.sql.autoBroadcastJoinThreshold"]) == 64 * 1024 * 1024
     assert scale_conf(10)["spark.sql.shuffle.partitions"] == "1"
+
+
+def test_report_documents_are_bounded(spark):
+    """A single document key holding every report is still split."""
+    from pharmaflow.plans.registry import fresh_dir
+    from pharmaflow.sources import files as FS
+    reports = spark.range(2500).select(F.col("id").cast("string").alias("safetyreportid"),
+                                       F.lit("20240101").alias("receivedate"))
+    path = fresh_dir(spark, "docs")
+    FS.write_report_documents(reports, path, F.lit(0), ["safetyreportid"], max_reports=500)
+    docs = spark.read.json(path)
+    sizes = [r[0] for r in docs.select(F.size("results")).collect()]
+    assert sum(sizes) == 2500 and len(sizes) == 5 and max(sizes) < 1000
