@@ -63,3 +63,17 @@ def test_report_documents_are_bounded(spark):
     docs = spark.read.json(path)
     sizes = [r[0] for r in docs.select(F.size("results")).collect()]
     assert sum(sizes) == 2500 and len(sizes) == 5 and max(sizes) < 1000
+
+
+def test_split_reports_give_the_same_events(spark, monkeypatch):
+    """Orders split into several report entries (2 drugs each) flatten and
+    dedup to exactly the oracle's events."""
+    from oracle_check import compare, duck
+    from pharmaflow.plans import etl as E
+    monkeypatch.setattr(E, "MAX_DRUGS", 2)
+    sf = "/root/testdata/sf0.001"
+    fn, sql = E.etl_report_events, E._EVENTS_SQL
+    r = compare(spark, duck(sf), "split", fn, sql, sf)
+    assert r["ok"], r
+    reports = E.FS.read_report_files(spark, E.report_documents(spark, sf))
+    assert reports.count() > reports.select("safetyreportid").distinct().count()  # really split
