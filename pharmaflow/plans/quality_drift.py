@@ -289,6 +289,30 @@ def d6_categorical_drift(spark, sf):
     return d.withColumn("drift_score", r6("drift_score"))
 
 
+@register("d6_categorical_drift_compat", f"""
+WITH bu AS (SELECT 'o_orderpriority' AS feature, o_orderpriority AS value FROM orders WHERE o_orderdate < TIMESTAMP '{_OSPLIT}'
+            UNION ALL SELECT 'o_orderstatus', o_orderstatus FROM orders WHERE o_orderdate < TIMESTAMP '{_OSPLIT}'),
+cu AS (SELECT 'o_orderpriority' AS feature, o_orderpriority AS value FROM orders WHERE o_orderdate >= TIMESTAMP '{_OSPLIT}'
+       UNION ALL SELECT 'o_orderstatus', o_orderstatus FROM orders WHERE o_orderdate >= TIMESTAMP '{_OSPLIT}'),
+bc AS (SELECT feature, value, CAST(count(*) AS DOUBLE) AS b,
+              row_number() OVER (PARTITION BY feature ORDER BY count(*) DESC, value) AS rk
+       FROM bu WHERE value IS NOT NULL GROUP BY 1, 2),
+bd AS (SELECT feature, value, b FROM bc WHERE rk <= 10),
+cd AS (SELECT feature, value, count(*) / sum(count(*)) OVER (PARTITION BY feature) AS c
+       FROM cu WHERE value IS NOT NULL GROUP BY 1, 2),
+j AS (SELECT coalesce(bd.feature, cd.feature) AS feature, coalesce(b, 0.0001) AS b, coalesce(c, 0.0001) AS c
+      FROM bd FULL OUTER JOIN cd ON bd.feature = cd.feature AND bd.value = cd.value),
+p AS (SELECT feature, sum((c - b) * ln(c / b)) AS psi FROM j GROUP BY feature)
+SELECT feature, 'distribution' AS drift_type, round(psi, 6) AS drift_score, psi > 0.2 AS drift_detected FROM p""")
+def d6_categorical_drift_compat(spark, sf):
+    """D6 with ``compat=True``: the reference's PSI of current shares against
+    the baseline's top-10 raw counts."""
+    o = t(spark, sf, "orders")
+    base = DR.baseline(o.where(F.col("o_orderdate") < F.lit(_OSPLIT)), [], _OCAT, compat=True)
+    d = DR.categorical_drift(base, o.where(F.col("o_orderdate") >= F.lit(_OSPLIT)), _OCAT)
+    return d.withColumn("drift_score", r6("drift_score"))
+
+
 @register("d7_overall_drift", _PSI_SQL + f""",
 nb AS (SELECT avg(o_totalprice) AS bm, stddev_samp(o_totalprice) AS bsd FROM orders WHERE o_orderdate < TIMESTAMP '{_OSPLIT}'),
 nc AS (SELECT avg(o_totalprice) AS cm, stddev_samp(o_totalprice) AS csd FROM orders WHERE o_orderdate >= TIMESTAMP '{_OSPLIT}'),
