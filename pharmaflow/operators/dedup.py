@@ -53,6 +53,10 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence,
 
 
 def _keep_first_window(df, keys, spec, cols):
+    """Fallback for orders that mix directions on non-numeric columns (they
+    cannot be negated into one ordering struct). A window sends all rows of
+    a key to one task, so a hot key is not combined map-side here; prefer a
+    single direction, or numeric tie-breakers, on skewed data."""
     w = Window.partitionBy(*keys).orderBy(
         *[F.col(n).asc() if a else F.col(n).desc() for n, a in spec])
     return (df.withColumn("_rn", F.row_number().over(w))

@@ -15,6 +15,7 @@ from pyspark.sql.types import DoubleType, FloatType
 from .quantiles import quantiles
 from .windows import history_mean, trend_label
 
+# The reference's drift thresholds (defaults of the parameters).
 NUMERIC_THRESHOLD = 0.1   # mean/std shift in baseline std units
 PSI_THRESHOLD = 0.2
 ACCURACY_DROP = 0.05
