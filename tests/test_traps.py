@@ -311,3 +311,17 @@ def test_hashed_categoricals(spark):
     assert Pipeline(stages=stages).fit(df).transform(unseen).count() == 1
     model = MD.train(df, "y", ["x"], ["c"], "logistic_regression", encoding="hash")
     assert MD.score_check(MD.score(model, df, "lr", classes=[0, 1])).first().bad_sum == 0
+
+
+def test_table_sinks(spark):
+    from pharmaflow.plans.registry import fresh_dir
+    from pharmaflow.sources.tables import Catalog, save_table
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    path = fresh_dir(spark, "tbl")
+    assert save_table(df, path, table_name="pf_test_table") == 2
+    assert save_table(df.limit(1), path, table_name="pf_test_table") == 1  # replace
+    cat = Catalog(spark, {"t": "table:pf_test_table", "p": path})
+    assert cat.table("t").count() == 1 and cat.table("p").count() == 1
+    with pytest.raises(ValueError):
+        cat.table("nope")
+    assert FS.write_csv(df.limit(0), fresh_dir(spark, "csv")) is False  # empty input: skipped
