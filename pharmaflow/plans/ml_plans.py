@@ -209,10 +209,10 @@ def m3_one_hot_counts(spark, sf):
     return sums.select(F.col("slot").cast("int").alias("slot"), names.alias("category"), "count")
 
 
-@register("m4_pipeline_shape", """
+@register("m4_preprocessor_shape", """
 SELECT count(*) AS rows, 1 + count(DISTINCT lang) + count(DISTINCT source) AS vector_size
 FROM labels l JOIN documents d ON d.doc_id = l.doc_id""")
-def m4_pipeline_shape(spark, sf):
+def m4_preprocessor_shape(spark, sf):
     data = labeled(spark, sf)
     model = PP.fit_preprocessor(data, NUMERIC, CATEGORICAL)
     out = model.transform(data)
