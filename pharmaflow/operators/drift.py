@@ -45,25 +45,40 @@ def numeric_stats(df: DataFrame, cols: Sequence[str], approx: bool = False,
     missing ratio, rows. Quartiles are exact and linear-interpolated
     (``operators.quantiles``: ``percentile`` for small groups, a bracketed
     distributed method for large ones); ``approx=True`` uses
-    ``percentile_approx`` with the given accuracy instead."""
+    ``percentile_approx`` with the given accuracy instead.
+
+    Two scans: the moments aggregate (which also gives each feature's value
+    count, so the quantiles need no counting pass of their own), then the
+    quantiles. The result has one row per feature, assembled from the two
+    small collected results."""
+    from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
     long = _unpivot(df, cols, "double")
     v = F.col("value")
-    base = long.groupBy("feature").agg(
+    base = {r["feature"]: r for r in long.groupBy("feature").agg(
         F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
         F.min(v).alias("min"), F.max(v).alias("max"),
         (F.count_if(v.isNull()) / F.count(F.lit(1))).alias("missing_ratio"),
-        F.count(F.lit(1)).alias("rows"))
+        F.count(F.lit(1)).alias("rows"), F.count(v).alias("_nn")).collect()}
     if approx:
-        q = long.groupBy("feature").agg(F.percentile_approx(v, [0.25, 0.5, 0.75], accuracy).alias("_q")) \
-            .select("feature", *[F.col("_q")[i].cast("double").alias(f"q{i}") for i in range(3)])
+        qrows = long.groupBy("feature").agg(
+            F.percentile_approx(v, [0.25, 0.5, 0.75], accuracy).alias("_q")).collect()
+        q = {r["feature"]: [float(x) if x is not None else None for x in (r["_q"] or [None] * 3)]
+             for r in qrows}
     else:
-        q = (quantiles(long, [0.25, 0.5, 0.75]) if exact_limit is None
-             else quantiles(long, [0.25, 0.5, 0.75], exact_limit=exact_limit))
-    # Both sides hold one row per feature; features without values get NULLs.
-    return (base.join(q, "feature", "left")
-                .select("feature", "mean", "std", "min", "max",
-                        F.col("q1").alias("median"), F.col("q0").alias("q25"), F.col("q2").alias("q75"),
-                        "missing_ratio", "rows"))
+        kw = {} if exact_limit is None else {"exact_limit": exact_limit}
+        qdf = quantiles(long, [0.25, 0.5, 0.75], sizes={f: r["_nn"] for f, r in base.items()}, **kw)
+        q = {r["feature"]: [r["q0"], r["q1"], r["q2"]] for r in qdf.collect()}
+    rows = []
+    for f in cols:
+        r = base[f]
+        q25, med, q75 = q.get(f, [None, None, None])
+        rows.append((f, r["mean"], r["std"], r["min"], r["max"], med, q25, q75,
+                     float(r["missing_ratio"]), int(r["rows"])))
+    schema = StructType([StructField("feature", StringType())] +
+                        [StructField(c, DoubleType()) for c in
+                         ["mean", "std", "min", "max", "median", "q25", "q75", "missing_ratio"]] +
+                        [StructField("rows", LongType())])
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 # ---------------------------------------------------------------- D2

@@ -33,7 +33,8 @@ BRACKET_ROWS = 1_000_000
 
 def quantiles(long: DataFrame, probs: Sequence[float], group: str = "feature",
               value: str = "value", exact_limit: int = EXACT_LIMIT,
-              bracket_rows: int = BRACKET_ROWS, accuracy: int | None = None) -> DataFrame:
+              bracket_rows: int = BRACKET_ROWS, accuracy: int | None = None,
+              sizes: dict | None = None) -> DataFrame:
     """(group, q0, q1, ...) exact quantiles of ``value`` per ``group`` for
     ``probs`` (NULL values ignored; groups without values are absent).
     Groups up to ``exact_limit`` values use ``percentile``; larger ones the
@@ -43,7 +44,15 @@ def quantiles(long: DataFrame, probs: Sequence[float], group: str = "feature",
     names = [f"q{i}" for i in range(len(probs))]
     data = (long.select(F.col(group).alias("_g"), F.col(value).cast("double").alias("_v"))
                 .where(F.col("_v").isNotNull()))
-    counts = data.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
+    if sizes is not None:
+        # non-NULL value counts per group already known (e.g. from the
+        # caller's own aggregate): no counting pass over the data
+        from pyspark.sql.types import LongType, StructField, StructType
+        counts = data.sparkSession.createDataFrame(
+            [(g, int(n)) for g, n in sizes.items() if n],
+            StructType([StructField("_g", data.schema["_g"].dataType), StructField("_n", LongType())]))
+    else:
+        counts = data.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
     big = F.col("_n") > F.lit(exact_limit)
     st = counts.agg(F.count_if(~big).alias("small"), F.count_if(big).alias("large"),
                     F.max(F.when(big, F.col("_n"))).alias("n_max"),
