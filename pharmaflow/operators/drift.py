@@ -143,13 +143,19 @@ def _materialized_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 # ---------------------------------------------------------------- D3 / D4
 def prediction_stats(df: DataFrame, col: str) -> DataFrame:
     """D3: mean, population std, min, max, exact median of predictions (one row)."""
+    from pyspark.sql.types import DoubleType, StructField, StructType
     v = F.col(col).cast("double")
-    base = df.agg(F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"),
-                  F.min(v).alias("min"), F.max(v).alias("max"))
-    med = quantiles(df.select(F.lit(0).alias("_k"), v.alias("value")), [0.5], group="_k")
-    # Two one-row frames combined by union + first(), not by a join.
-    both = base.unionByName(med.select(F.col("q0").alias("median")), allowMissingColumns=True)
-    return both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in ["mean", "std", "min", "max", "median"]])
+    # scan 1: moments and the value count; scan 2: the exact median
+    b = df.agg(F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"),
+               F.min(v).alias("min"), F.max(v).alias("max"), F.count(v).alias("_n")).first()
+    med = None
+    if b["_n"]:
+        med = quantiles(df.select(F.lit(0).alias("_k"), v.alias("value")), [0.5], group="_k",
+                        sizes={0: b["_n"]}).first()["q0"]
+    names = ["mean", "std", "min", "max", "median"]
+    return df.sparkSession.createDataFrame(
+        [(b["mean"], b["std"], b["min"], b["max"], med)],
+        StructType([StructField(c, DoubleType()) for c in names]))
 
 
 def prediction_histogram(df: DataFrame, col: str) -> DataFrame:
