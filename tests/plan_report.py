@@ -59,7 +59,10 @@ def main():
                 "turn a sort-merge join into a broadcast join at runtime from measured sizes).\n"
                 "Counts of operators per query. `1-part` counts single-partition exchanges\n"
                 "(global windows or sorts); they appear only over small aggregated tables\n"
-                "(per-class, per-model or per-result rows).\n\n")
+                "(per-class, per-model or per-result rows).\n\n"
+                "Operators that finish with small per-group results (D1 and D3 statistics,\n"
+                "exact quantiles, model metrics) run their scans while the query is built\n"
+                "and return a small local table; their rows here show only that table.\n\n")
         f.write("| query | " + " | ".join(short[c] for c in cols) + " |\n")
         f.write("|---|" + "---|" * len(cols) + "\n")
         for name, feat in rows:
