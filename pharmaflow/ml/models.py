@@ -180,35 +180,36 @@ def sample_space(space: Mapping[str, tuple], n_trials: int, seed: int = 42) -> l
     return trials
 
 
+_METRIC_COLUMNS = {"accuracy": "accuracy", "f1": "f1_macro", "precision": "precision_macro",
+                   "recall": "recall_macro"}
+
+
 def random_search(df: DataFrame, target: str, numeric, categorical, algorithm: str,
                   space: Mapping[str, tuple], n_trials: int = 10, folds: int = 3,
-                  key_cols: Sequence[str] = (), seed: int = 42, metric: str = "accuracy",
-                  parallelism: int = 2):
-    """Random search maximizing the mean CV score; stratified folds by
-    hash (M9) passed to ``CrossValidator(foldCol=...)``.
+                  key_cols: Sequence[str] = (), seed: int = 42, metric: str = "accuracy"):
+    """Random search maximizing the mean CV score over stratified hash
+    folds (M9). Each fold is fitted with ``train`` (so fitted models never
+    carry a session-holding training summary) and scored from that fold's
+    predictions.
 
     Returns (history DataFrame (trial, value, std, state, params), best params).
     """
-    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-    from pyspark.ml.tuning import CrossValidator
+    from . import evaluate as EV
     from .split import fold_ids
+    import statistics
+    col = _METRIC_COLUMNS[metric]
     data = df.where(F.col(target).isNotNull())
-    data, classes = prepare_label(data, target)
-    data = class_weights(data, "label")
-    data = fold_ids(data, "label", list(key_cols) or [target], k=folds, seed=seed)
-    n = data.count()
-    prep = preprocessor_stages(data, numeric, categorical)
+    data = fold_ids(data, target, list(key_cols) or [target], k=folds, seed=seed).checkpoint(eager=True)
     trials = sample_space(space, n_trials, seed)
-    ests = [estimator(algorithm, n, len(classes), p, seed=seed) for p in trials]
     results = []
-    evaluator = MulticlassClassificationEvaluator(labelCol="label", metricName=metric)
-    for i, (p, est) in enumerate(zip(trials, ests)):
+    for i, p in enumerate(trials):
         try:
-            cv = CrossValidator(estimator=Pipeline(stages=prep + [est]), estimatorParamMaps=[{}],
-                                evaluator=evaluator, foldCol="fold", numFolds=folds,
-                                parallelism=parallelism, seed=seed)
-            m = cv.fit(data)
-            results.append((i, float(m.avgMetrics[0]), float(m.stdMetrics[0]), "COMPLETE",
+            scores = []
+            for f in range(folds):
+                model = train(data.where(F.col("fold") != f), target, numeric, categorical, algorithm, p, seed)
+                test = prepare_label(data.where(F.col("fold") == f), target)[0]
+                scores.append(float(EV.classification_metrics(model.transform(test)).first()[col]))
+            results.append((i, statistics.fmean(scores), statistics.pstdev(scores), "COMPLETE",
                             json.dumps(p, sort_keys=True)))
         except Exception as e:  # a failed trial is recorded
             results.append((i, None, None, "FAIL", json.dumps({"error": str(e)[:200], **p}, default=str)))
