@@ -325,3 +325,13 @@ def test_table_sinks(spark):
     with pytest.raises(ValueError):
         cat.table("nope")
     assert FS.write_csv(df.limit(0), fresh_dir(spark, "csv")) is False  # empty input: skipped
+
+
+def test_random_search_after_observation(spark):
+    from pharmaflow.ml import models as MD
+    df = spark.createDataFrame([(i, float(i % 7), "a" if i % 2 else "b", i % 2) for i in range(60)],
+                               "id long, x double, c string, y int")
+    df.observe(Observation("o2"), F.count(F.lit(1)).alias("n")).collect()
+    hist, best = MD.random_search(df, "y", ["x"], ["c"], "logistic_regression",
+                                  {"C": ("log", 0.1, 10.0)}, n_trials=2, folds=2, key_cols=["id"])
+    assert [r.state for r in hist.collect()] == ["COMPLETE", "COMPLETE"] and best is not None
