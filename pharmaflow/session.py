@@ -39,11 +39,16 @@ def get_spark(master: str | None = None, app: str = "pharmaflow",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared folder and is used as is. Only when
-    it is unset (local tests) a scratch folder is created.
+    On a cluster the setting names a shared folder and is used as is. Only for a
+    ``local`` master (tests) an unset folder becomes a temporary one; elsewhere
+    every executor would write to its own disk, so an unset folder is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by driver and executors "
+                             f"(master {master})")
         path = tempfile.mkdtemp(prefix="pharmaflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
