@@ -6,4 +6,4 @@ Nothing outside this subpackage imports it, but for ``__spark_entry__`` and
 """
 
 from .common import REGISTRY  # noqa: F401
-from . import quality_rules, line_dedup, minhash, mixing, sentencepiece_scan, embedding_dedup, warc  # noqa: F401
+from . import quality_rules, line_dedup, minhash, mixing, sentencepiece_scan, embedding_dedup, warc, pii  # noqa: F401
