@@ -34,7 +34,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def words(text: Column) -> Column:
     """Words of a text: maximal runs without white space; NULL text has none."""
     spaced = F.translate(F.coalesce(text, F.lit("")), WS, " " * len(WS))
-    return F.filter(F.split(spaced, " "), lambda w: w != "")
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def n_words(text: Column) -> Column:
@@ -55,6 +55,12 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def broadcast_if(df: DataFrame, rows: int = 200_000) -> DataFrame:
+    """A broadcast hint for a written table of narrow rows, once they are counted and
+    few; beyond ``rows`` Spark plans a shuffled join."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def carry(df: DataFrame, *extra: Column) -> DataFrame:
     """All input columns packed into ``row`` beside ``extra``, so that no input
     name can clash with a working column; ``unpack`` restores them."""

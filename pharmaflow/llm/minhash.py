@@ -32,18 +32,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
-from .common import carry, register, saved, table, words
+from .common import broadcast_if, carry, register, saved, table, words
 from .components import connected_components
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 20, 4  # a pair at 0.8 shares no band with probability 3e-5
-PIVOTS = 8  # members per bucket and round that are compared with the whole bucket
+PIVOTS = 64  # members per bucket and round that are compared with the whole bucket
 CHUNK = 1_000_000  # shingles handled at once in a task
 
 _U = np.uint64
 _K1, _K2, _K3 = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)  # fixed: splitmix64
 
 
+def _step(i: int) -> np.uint64:
+    """The i-th offset of a shingle's random stream."""
+    return _U(int(_K1) * i % 2 ** 64)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> _U(30))) * _K2
     x = (x ^ (x >> _U(27))) * _K3
@@ -82,9 +87,9 @@ def signatures(shingles: np.ndarray, doc: np.ndarray, n_docs: int, registers: in
     sig = np.zeros(n_docs * registers, dtype=_U)
     t, turn = np.zeros(len(el)), 0
     while len(el):
-        u = mix(el + _K1 * _U(2 * turn + 1))
+        u = mix(el + _step(2 * turn + 1))
         t = t - np.log(((u >> _U(11)).astype(np.float64) + 1.0) * 2.0 ** -53) / rate
-        slot = doc * registers + (mix(el + _K1 * _U(2 * turn + 2)) % _U(registers)).astype(np.int64)
+        slot = doc * registers + (mix(el + _step(2 * turn + 2)) % _U(registers)).astype(np.int64)
         early = np.flatnonzero(t < best[slot])
         early = early[np.argsort(-t[early])]  # the earliest arrival is written last
         best[slot[early]], sig[slot[early]] = t[early], el[early]
@@ -142,14 +147,13 @@ def _shingle_batches(batches):
             yield pa.RecordBatch.from_arrays([part.column("node"), arr], ["node", "s"])
 
 
-def _node(text: Column) -> Column:
+def _node(ws: Column) -> Column:
     """Digest of a text's words; NULL without words."""
-    w = words(text)
-    return F.when(F.size(w) > 0, F.unhex(F.md5(F.array_join(w, " "))))
+    return F.when(F.size(ws) > 0, F.unhex(F.md5(F.array_join(ws, " "))))
 
 
-def _word_hashes(text: Column) -> Column:
-    return F.transform(words(text), lambda x: F.xxhash64(x))
+def _hashes(ws: Column) -> Column:
+    return F.transform(ws, lambda x: F.xxhash64(x))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -200,7 +204,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ``class_node`` (the words of the document that stays) and ``kept``."""
     spark, kind = df.sparkSession, df.schema[id_col].dataType.simpleString()
     base = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-    hashed = base.select("id", _node(F.col("t")).alias("node"), _word_hashes(F.col("t")).alias("h"))
+    hashed = base.select("id", words(F.col("t")).alias("w")).select(
+        "id", _node(F.col("w")).alias("node"), _hashes(F.col("w")).alias("h"))
     rows_ = saved(hashed.mapInArrow(_band_batches(bands, rows), f"id {kind}, node binary, bands array<bigint>"), "near-rows")
     nodes = saved(rows_.where("node IS NOT NULL").groupBy("node").agg(
         F.min("id").alias("rep"), F.first("bands").alias("bands")), "near-nodes")
@@ -208,14 +213,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     buckets = saved(members.join(shared, "key").select("key", "node"), "near-buckets")
 
-    # shingle sets of one row per node that has company; keyed by id too, so that
-    # copies of one text do not meet in one task
-    wanted = nodes.join(buckets.select("node").distinct(), "node").select(F.col("rep").alias("id"), "node")
-    w = wanted.alias("w")
-    texts = base.select("id", "t", _node(F.col("t")).alias("node")).alias("d").join(
-        w, F.col("d.id").eqNullSafe(F.col("w.id")) & (F.col("d.node") == F.col("w.node")), "left_semi")
-    texts = texts.groupBy("node").agg(F.first("t").alias("t"))
-    sets = saved(texts.select("node", _word_hashes(F.col("t")).alias("h")).mapInArrow(
+    # shingle sets of one row per node that has company; found by id, so that copies of
+    # one text do not meet in one task
+    wanted = saved(nodes.join(buckets.select("node").distinct(), "node").select(F.col("rep").alias("id"), "node"), "near-wanted")
+    texts = base.alias("d").join(broadcast_if(wanted).alias("w"), F.col("d.id").eqNullSafe(F.col("w.id"))).select(
+        "w.node", words(F.col("t")).alias("w"))
+    texts = texts.where(_node(F.col("w")) == F.col("node")).dropDuplicates(["node"])
+    sets = saved(texts.select("node", _hashes(F.col("w")).alias("h")).mapInArrow(
         _shingle_batches, "node binary, s array<bigint>"), "near-sets")
     comps = _components(buckets, sets, threshold, pivots)
 
@@ -238,10 +242,10 @@ def without_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str
     """One input row of each class, with all its columns. Texts without words stay."""
     gone = saved(near_duplicates(df, id_col, text_col, **options).groupBy("id", "node").agg(
         F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")).where("NOT kept OR (n > 1 AND node IS NOT NULL)"), "near-gone")
-    rows = carry(df, F.col(id_col).alias("id"), _node(F.col(text_col)).alias("node")).alias("d")
-    g = gone.alias("g")
-    d = rows.join(g, F.col("d.id").eqNullSafe(F.col("g.id")) & (F.col("d.node") == F.col("g.node")), "left")
-    d = d.select("row", "d.id", "d.node", "kept")
+    rows = carry(df, F.col(id_col).alias("id"), F.col(text_col).alias("t")).alias("d")
+    # the words are only digested where the id is in question
+    d = rows.join(broadcast_if(gone).alias("g"), F.col("d.id").eqNullSafe(F.col("g.id"))
+                  & (_node(words(F.col("t"))) == F.col("g.node")), "left").select("row", "g.id", "g.node", "kept")
     once = (d.where("kept").groupBy("id", "node").agg(F.first("row").alias("row")).select("row"))
     return d.where("kept IS NULL").select("row").unionByName(once).select("row.*")
 
