@@ -61,6 +61,14 @@ def broadcast_if(df: DataFrame, rows: int = 200_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def where_once(df: DataFrame, condition: Column) -> DataFrame:
+    """``df.where(condition)`` without moving the condition below the projections it
+    reads from: there it would repeat their expressions, once for each mention. A filter is
+    not moved below a project with a nondeterministic column."""
+    return df.withColumn("_fence", F.monotonically_increasing_id()).where(
+        condition & (F.col("_fence") >= 0)).drop("_fence")
+
+
 def carry(df: DataFrame, *extra: Column) -> DataFrame:
     """All input columns packed into ``row`` beside ``extra``, so that no input
     name can clash with a working column; ``unpack`` restores them."""

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import WS, has_word, register, table, words
+from .common import WS, has_word, register, table, where_once, words
 
 # The ten most frequent function words of each language served.
 STOP_WORDS = (
@@ -117,7 +117,7 @@ def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def passing(df: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The input rows that the rules keep, with all their columns."""
     packed = df.select(F.struct("*").alias("row"), F.col(text_col).alias("t"))
-    return quality_rules(packed, "row", "t", **options).where("kept").select("row.*")
+    return where_once(quality_rules(packed, "row", "t", **options), F.col("kept")).select("row.*")
 
 
 _STOP_SQL = ", ".join(f"'{w}'" for w in STOP_WORDS)
