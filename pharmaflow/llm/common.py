@@ -61,12 +61,11 @@ def broadcast_if(df: DataFrame, rows: int = 200_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
-def where_once(df: DataFrame, condition: Column) -> DataFrame:
-    """``df.where(condition)`` without moving the condition below the projections it
-    reads from: there it would repeat their expressions, once for each mention. A filter is
-    not moved below a project with a nondeterministic column."""
-    return df.withColumn("_fence", F.monotonically_increasing_id()).where(
-        condition & (F.col("_fence") >= 0)).drop("_fence")
+def evaluated(df: DataFrame) -> DataFrame:
+    """``df`` behind an explode of one struct. Spark moves a later filter below
+    projections by repeating their expressions at every mention, which for nested
+    array functions is worse than linear; it does not move one below a generator."""
+    return df.select(F.explode(F.array(F.struct("*"))).alias("_row")).select("_row.*")
 
 
 def carry(df: DataFrame, *extra: Column) -> DataFrame:

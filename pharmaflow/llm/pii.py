@@ -28,7 +28,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import register, saved, table, where_once
+from .common import evaluated, register, saved, table
 
 SECRET = "pii-demo-key"  # give your own to ``surrogates``
 ATTEMPTS = 64
@@ -184,10 +184,10 @@ def _laid_out() -> Column:
 def replace_pii(df: DataFrame, text_col: str = "text", secret: str = SECRET) -> DataFrame:
     """``row`` (the input row as a struct), the ``text`` with surrogates, and ``n_replaced``."""
     rows = df.select(F.struct("*").alias("row"), F.col(text_col).alias("t"))
-    rows = rows.withColumn("found", F.when(F.col("t").rlike(SIGNS), F.regexp_extract_all("t", F.lit(ANY), F.lit(0))))
+    rows = evaluated(rows.withColumn("found", F.when(F.col("t").rlike(SIGNS), F.regexp_extract_all("t", F.lit(ANY), F.lit(0)))))
     hit = F.coalesce(F.size("found"), F.lit(0)) > 0
-    plain = where_once(rows, ~hit).select("row", F.col("t").alias("text"), F.lit(0).cast("long").alias("n_replaced"))
-    hits = saved(where_once(rows, hit).withColumn("key", F.monotonically_increasing_id()), "pii-hits")
+    plain = rows.where(~hit).select("row", F.col("t").alias("text"), F.lit(0).cast("long").alias("n_replaced"))
+    hits = saved(rows.where(hit).withColumn("key", F.monotonically_increasing_id()), "pii-hits")
     said = saved(_mentions(hits), "pii-mentions")
     forms = saved(said.select("kind", "form").distinct(), "pii-forms")
     known = surrogates(forms, secret)

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import WS, has_word, register, table, where_once, words
+from .common import WS, evaluated, has_word, register, table, words
 
 # The ten most frequent function words of each language served.
 STOP_WORDS = (
@@ -99,8 +99,8 @@ def measures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     covered = F.aggregate(
         F.transform("p", lambda x, i: F.least(F.coalesce(F.get("p", i + 1) - x, F.lit(3)), F.lit(3))),
         F.lit(0).cast("long"), lambda a, x: a + x)
-    return d.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_words"), *counts,
-                    covered.alias("n_repeat_words"))
+    return evaluated(d.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_words"), *counts,
+                              covered.alias("n_repeat_words")))
 
 
 def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -117,7 +117,7 @@ def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def passing(df: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The input rows that the rules keep, with all their columns."""
     packed = df.select(F.struct("*").alias("row"), F.col(text_col).alias("t"))
-    return where_once(quality_rules(packed, "row", "t", **options), F.col("kept")).select("row.*")
+    return quality_rules(packed, "row", "t", **options).where("kept").select("row.*")
 
 
 _STOP_SQL = ", ".join(f"'{w}'" for w in STOP_WORDS)
