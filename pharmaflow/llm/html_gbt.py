@@ -4,7 +4,7 @@ A page becomes a tree of its block elements; inline markup only contributes its
 Every node gets features of its subtree (text and link density, words, punctuation, tags),
 its attributes' tokens, depth, siblings, ancestors and place. Boosted trees give the
 evidence that it is article text. Decoding chooses for every node "all of it", "none of it"
-or "by its children", the last at a price, so that the total evidence is largest; a
+or "by its children", the last at a price where it has several, so that the total evidence is largest; a
 node under a kept or a dropped one has no say, hence no contradictions.
 
 The trees are learnt here from pages composed by a generator out of marked parts (article
@@ -45,6 +45,7 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
                    "small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIP = frozenset("script style template noscript svg math iframe object select textarea button title datalist canvas audio video".split())
+PHRASE = INLINE | SKIP  # these leave the block they stand in open
 HEAD = frozenset("title meta link style script base noscript template head".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"tr", "td", "th", "thead"}, "tfoot": {"tr", "td", "th", "tbody"}}
@@ -88,7 +89,7 @@ class Page(HTMLParser):
 
     def _pop(self):
         tag, _ = self.open[-1]
-        if tag not in INLINE:
+        if tag not in PHRASE:
             self._flush()
         self.open.pop()
         if tag in SKIP:
@@ -117,7 +118,7 @@ class Page(HTMLParser):
             return
         if tag == "a":
             self._close_to({"a"}, {t for t, _ in self.open if t not in INLINE})
-        if tag not in INLINE:
+        if tag not in PHRASE:
             if tag in CLOSES:
                 self._close_to(CLOSES[tag], SCOPES.get(tag, ()))
             self._close_to({"p"}, {"td", "th", "li", "div", "article", "section", "main", "table", "button", "form"})
@@ -125,7 +126,7 @@ class Page(HTMLParser):
         if tag in VOID:
             return
         at = self.open[-1][1]
-        if tag not in INLINE:
+        if tag not in PHRASE:
             a = dict(attrs)
             words = " ".join(str(a.get(k) or "") for k in ("class", "id", "role", "aria-label", "itemprop", "data-type")).lower()
             if "hidden" in a or a.get("aria-hidden") == "true" or HIDDEN.search(a.get("style") or ""):
@@ -278,15 +279,16 @@ def decode(page: Page, evidence: np.ndarray, price: float = SPLIT_PRICE) -> list
     own, whole, kids, textful = np.zeros(n, bool), np.clip(evidence, -6, 6), np.zeros(n), np.zeros(n, bool)
     for owner, _, _ in page.blocks:
         own[owner] = textful[owner] = True
-    alone = whole.copy()
+    alone, parts = whole.copy(), own.astype(int)
     for v in range(n - 1, 0, -1):
         if textful[v]:
             textful[page.parent[v]] = True
+            parts[page.parent[v]] += 1
     whole[~textful] = 0
     best = np.zeros(n)
     for v in range(n - 1, -1, -1):  # children come after their parents
         if textful[v]:
-            split = kids[v] + (max(alone[v], 0.0) if own[v] else 0.0) - price
+            split = kids[v] + (max(alone[v], 0.0) if own[v] else 0.0) - (price if parts[v] > 1 else 0.0)
             best[v] = max(whole[v], 0.0, split)
             if v:
                 kids[page.parent[v]] += best[v]

