@@ -2,10 +2,10 @@
 
 from .text import strip_ws, first_value, blank_to_null, WS_PATTERN
 from .dates import parse_yyyymmdd, year_month, display_date, parse_timestamp, year_of
-from .codes import decode, strip_prefix, nan_to_null, age_bucket, yes_no
+from .codes import decode, strip_prefix, nan_to_null, missing, age_bucket, yes_no
 
 __all__ = [
     "strip_ws", "first_value", "blank_to_null", "WS_PATTERN",
     "parse_yyyymmdd", "year_month", "display_date", "parse_timestamp", "year_of",
-    "decode", "strip_prefix", "nan_to_null", "age_bucket", "yes_no",
+    "decode", "strip_prefix", "nan_to_null", "missing", "age_bucket", "yes_no",
 ]

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 
 def _col(c) -> Column:
@@ -33,12 +34,19 @@ def nan_to_null(c) -> Column:
     return F.nanvl(_col(c), F.lit(None).cast("double"))
 
 
+def missing(df: DataFrame, c: str) -> Column:
+    """Whether a value is missing: NULL, or NaN in a float column."""
+    null = F.col(c).isNull()
+    return null | F.isnan(c) if isinstance(df.schema[c].dataType, (DoubleType, FloatType)) else null
+
+
 def age_bucket(c, width: int = 10) -> Column:
     """Round half to even to an integer, then floor to ``width`` buckets.
 
     Matches a SQL ``x::int / 10 * 10`` on a float column (cast rounds).
     """
-    n = F.rint(_col(c).try_cast("double")).cast("int")  # text ages; unparsable -> NULL
+    # text ages; unparsable or out of range -> NULL
+    n = F.rint(_col(c).try_cast("double")).try_cast("int")
     # n - n % w truncates toward zero, like SQL integer division.
     return n - (n % F.lit(width))
 

@@ -103,23 +103,23 @@ def auc_table(df: DataFrame, label: str = "label", score: str = "score") -> Data
 def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Mse, rmse, mae, r2 and mape (%) in one aggregate.
 
-    r2 = 1 - SSE / (sum(y^2) - n * mean(y)^2). mape is +inf when some
-    y = 0 with a non-zero error, like numpy.
+    r2 = 1 - SSE / (n * population variance of y), which does not cancel. mape
+    is +inf when some y = 0 with a non-zero error; rows with y = 0 and no error
+    (0/0) count neither above nor below the line.
     """
     y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
     e = y - p
     agg = df.agg(F.count(F.lit(1)).alias("n"), F.sum(e * e).alias("sse"), F.sum(F.abs(e)).alias("sae"),
-                 F.sum(y).alias("sy"), F.sum(y * y).alias("syy"),
-                 F.sum(F.when(y != 0, F.abs(e / y))).alias("sape"),
+                 F.var_pop(y).alias("var"), F.avg(F.when(y != 0, F.abs(e / y))).alias("ape"),
                  F.count_if((y == 0) & (e != 0)).alias("zero_y"))
     n = F.col("n")
-    sst = F.col("syy") - F.col("sy") * F.col("sy") / n
+    sst = n * F.col("var")
     mse = F.col("sse") / n
     return agg.select(
         mse.alias("mse"), F.sqrt(mse).alias("rmse"), (F.col("sae") / n).alias("mae"),
         F.when(sst != 0, F.lit(1.0) - F.col("sse") / sst).alias("r2"),
         F.when(F.col("zero_y") > 0, F.lit(float("inf")))
-         .otherwise(F.col("sape") / n * 100).alias("mape"))
+         .otherwise(F.col("ape") * 100).alias("mape"))
 
 
 def residuals(df: DataFrame, label: str = "label", prediction: str = "prediction",

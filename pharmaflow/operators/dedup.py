@@ -1,9 +1,8 @@
 """Keep-first / keep-best row per key.
 
-Implemented as a grouped ``min_by``/``max_by`` over an ordering struct rather
-than a ``row_number()`` window: the aggregate is combined map-side, so a hot
-key contributes one candidate row per input partition to the shuffle instead
-of sending all of its rows to a single sorted task.
+A ``row_number() = 1`` window: Spark plans a partial group limit before the
+shuffle, so a hot key sends one candidate row per input partition, and another
+one behind it.
 """
 
 from __future__ import annotations
@@ -11,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
-from pyspark.sql.types import NumericType
 
 
 def _norm(order) -> list[tuple[str, bool]]:
@@ -30,35 +28,9 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence,
     ``drop_duplicates``). The order must be total within a key for the
     result to be deterministic.
     """
-    keys = list(keys)
-    spec = _norm(order)
-    cols = list(keep_columns or df.columns)
-    primary_asc = spec[0][1]
-    types = {f.name: f.dataType for f in df.schema.fields}
-    parts = []
-    for name, asc in spec:
-        c = F.col(name)
-        if asc != primary_asc:
-            if not isinstance(types[name], NumericType):
-                return _keep_first_window(df, keys, spec, cols)
-            c = -c
-        parts.append(c.alias(f"_o{len(parts)}"))
-    ordering = F.struct(*parts)
-    payload = F.struct(*[F.col(c) for c in cols if c not in keys])
-    pick = F.min_by if primary_asc else F.max_by
-    picked = (df.groupBy(*keys)
-                .agg(pick(payload, ordering).alias("_row"))
-                .select(*keys, "_row.*"))
-    return picked.select(*cols)
-
-
-def _keep_first_window(df, keys, spec, cols):
-    """Fallback for orders that mix directions on non-numeric columns (they
-    cannot be negated into one ordering struct). A window sends all rows of
-    a key to one task, so a hot key is not combined map-side here; prefer a
-    single direction, or numeric tie-breakers, on skewed data."""
     w = Window.partitionBy(*keys).orderBy(
-        *[F.col(n).asc() if a else F.col(n).desc() for n, a in spec])
+        *[F.col(n).asc() if a else F.col(n).desc() for n, a in _norm(order)])
+    cols = list(keep_columns or df.columns)
     return (df.withColumn("_rn", F.row_number().over(w))
               .where(F.col("_rn") == 1).select(*cols))
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from ..functions import missing
 
 from .quantiles import quantiles
 from .windows import history_mean, trend_label
@@ -24,11 +24,7 @@ PSI_FLOOR = 0.0001        # share used for a value absent on one side
 
 def _clean(df: DataFrame, c: str) -> Column:
     """Float NaN counts as missing, like pandas."""
-    t = df.schema[c].dataType
-    col = F.col(c)
-    if isinstance(t, (DoubleType, FloatType)):
-        return F.nanvl(col, F.lit(None).cast("double"))
-    return col
+    return F.when(~missing(df, c), F.col(c))
 
 
 def _unpivot(df: DataFrame, cols: Sequence[str], cast: str) -> DataFrame:
@@ -98,13 +94,14 @@ def value_dist(df: DataFrame, cols: Sequence[str], top: int | None = None,
 
 def dist_from_counts(vc: DataFrame, top: int | None = None, normalize: bool = True) -> DataFrame:
     """``value_dist`` from a (feature, value, count) table."""
-    from pyspark.sql import Window
     vc = vc.where(F.col("value").isNotNull())
     if normalize:
-        out = vc.withColumn("ratio", F.col("count") / F.sum("count").over(Window.partitionBy("feature")))
+        totals = vc.groupBy("feature").agg(F.sum("count").alias("_all"))
+        out = vc.join(totals, "feature").withColumn("ratio", F.col("count") / F.col("_all")).drop("_all")
     else:
         out = vc.withColumn("ratio", F.col("count").cast("double"))
     if top:
+        from pyspark.sql import Window  # the top rows are cut before the shuffle too
         w = Window.partitionBy("feature").orderBy(F.col("count").desc(), F.col("value"))
         out = out.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= top).drop("_r")
     return out
@@ -160,10 +157,13 @@ def prediction_stats(df: DataFrame, col: str) -> DataFrame:
 
 def prediction_histogram(df: DataFrame, col: str) -> DataFrame:
     """D3: counts per integer prediction 0..max, gaps filled with 0
-    (``bincount``). The bin range is generated from the max, then joined
-    with the counts (both at most max+1 rows)."""
+    (``bincount``). The bins are a distributed range up to the max, joined with
+    the counts. A negative prediction raises."""
     counts = df.groupBy(F.col(col).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    bins = counts.agg(F.max("bin").alias("_m")).select(F.explode(F.sequence(F.lit(0), F.col("_m"))).alias("bin"))
+    low, high = counts.agg(F.min("bin"), F.max("bin")).first()
+    if low is not None and low < 0:
+        raise ValueError(f"negative prediction {low}")
+    bins = df.sparkSession.range(0 if high is None else high + 1).select(F.col("id").cast("int").alias("bin"))
     return (bins.join(counts, "bin", "left")
                 .select("bin", F.coalesce("count", F.lit(0)).alias("count")))
 

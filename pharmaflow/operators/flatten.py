@@ -13,26 +13,26 @@ from ..schemas import EVENT_COLUMNS
 from .dedup import keep_first
 
 DEDUP_KEYS = ["safetyreportid", "reaction", "medicinalproduct", "drugauthorizationnumb"]
-ORDER_COLS = ["_file", "_report_pos", "_reaction_pos", "_drug_pos"]
+DOCUMENT_COLS = ["_file", "_block", "_line", "_report_pos"]
+ORDER_COLS = [*DOCUMENT_COLS, "_reaction_pos", "_drug_pos"]
 
 
 def flatten_reports(reports: DataFrame, keep_order: bool = True) -> DataFrame:
     """One row per (report, reaction, drug), reactions x drugs per report.
 
-    Input: rows from ``read_report_files`` (report fields + ``_file``,
-    ``_report_pos``). A report with no reactions or no drugs gives no rows
+    Input: rows from ``read_report_files`` (report fields and the
+    document's place). A report with no reactions or no drugs gives no rows
     (``explode``, not ``explode_outer``). Text fields are whitespace-stripped;
     a missing product/authorization becomes '' like the reference's default;
     the drug-label list fields keep their first item (N2).
     """
-    if "_file" not in reports.columns:
-        reports = reports.withColumn("_file", F.lit(""))
-    if "_report_pos" not in reports.columns:
-        reports = reports.withColumn("_report_pos", F.lit(0))
+    for c in DOCUMENT_COLS:
+        if c not in reports.columns:
+            reports = reports.withColumn(c, F.lit("" if c == "_file" else 0))
     label_t = (reports.schema["patient"].dataType["drug"].dataType
                  .elementType["openfda"].dataType)
     r = reports.select(
-        "_file", "_report_pos", "safetyreportid", "receivedate", "serious",
+        *DOCUMENT_COLS, "safetyreportid", "receivedate", "serious",
         F.col("patient.patientonsetage").alias("patientonsetage"),
         F.col("patient.patientsex").alias("patientsex"),
         F.col("patient.drug").alias("_drugs"),

@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import NumericType, StringType
 
+from ..functions import missing
+
 
 @dataclass(frozen=True)
 class Check:
@@ -112,7 +114,7 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
         else:
             c = F.col(ck.column)
             if ck.kind == "not_null":
-                bad = add(F.count_if(c.isNull()))
+                bad = add(F.count_if(missing(df, ck.column)))
                 res = (_ratio_ok(bad, rows, ck.mostly), rows, bad, null_d)
             elif ck.kind == "values_between":
                 num = c.try_cast("double")
@@ -163,7 +165,7 @@ def basic_quality(df: DataFrame, target: str, min_rows: int = 100,
     """
     cols = df.columns
     has_target = target in cols
-    nulls = [F.count_if(F.col(c).isNull()).alias(f"_m{i}") for i, c in enumerate(cols)]
+    nulls = [F.count_if(missing(df, c)).alias(f"_m{i}") for i, c in enumerate(cols)]
     if has_target:
         g = df.groupBy(F.col(target).alias("_t")).agg(F.count(F.lit(1)).alias("_n"), *nulls)
         one = g.agg(F.sum("_n").alias("_rows"),
@@ -211,7 +213,7 @@ def quality_report(df: DataFrame) -> DataFrame:
     the table shape (rows, columns). One aggregate."""
     fields = df.schema.fields
     one = df.agg(F.count(F.lit(1)).alias("rows"),
-                 *[F.count_if(F.col(f.name).isNull()).alias(f"_m{i}") for i, f in enumerate(fields)])
+                 *[F.count_if(missing(df, f.name)).alias(f"_m{i}") for i, f in enumerate(fields)])
     items = [F.struct(F.lit(i + 1).alias("position"), F.lit(f.name).alias("column"),
                       F.lit(f.dataType.simpleString()).alias("type"),
                       F.col(f"_m{i}").alias("missing"),

@@ -18,9 +18,6 @@ from ..sources import files as FS
 from ..sources.tables import save_table
 from .registry import fresh_dir, register, t
 
-DOC_SIZE = 1000   # reports per document (enforced by write_report_documents)
-MAX_DRUGS = 1000  # drugs per report entry
-
 
 def _str(c):
     return F.col(c).cast("string")
@@ -29,15 +26,9 @@ def _str(c):
 def nested_reports(spark, sf) -> DataFrame:
     """Orders as safety reports: two reactions (priority, status with stray
     whitespace), one drug per lineitem sorted by (linenumber, partkey,
-    suppkey). Orders without lineitems get an empty drug list."""
+    suppkey). Orders without lineitems get an empty drug list. A report is one
+    record of the source, so an order's lines are gathered whatever their number."""
     li = t(spark, sf, "lineitem")
-    # A report carries at most MAX_DRUGS drugs: an order with more lines is
-    # split into several report entries with the same id, chunked by a hash
-    # of (part, supplier) so every keep-first group stays inside one chunk.
-    per_order = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
-    li = (li.join(per_order, "l_orderkey")
-            .withColumn("_chunk", F.pmod(F.xxhash64("l_partkey", "l_suppkey"),
-                                         F.ceil(F.col("_n") / F.lit(MAX_DRUGS)))))
     drug = F.struct(
         F.concat(F.lit(" part-"), _str("l_partkey"), F.lit(" ")).alias("medicinalproduct"),
         _str("l_suppkey").alias("drugauthorizationnumb"),
@@ -45,11 +36,11 @@ def nested_reports(spark, sf) -> DataFrame:
                  F.array().cast(ArrayType(StringType())).alias("manufacturer_name"),
                  F.array(F.concat_ws("-", _str("l_linenumber"), F.col("l_linestatus")))
                  .alias("product_ndc")).alias("openfda"))
-    drugs = (li.groupBy("l_orderkey", "_chunk")
+    drugs = (li.groupBy("l_orderkey")
                .agg(F.array_sort(F.collect_list(F.struct(
                    F.struct("l_linenumber", "l_partkey", "l_suppkey").alias("k"),
                    drug.alias("d")))).alias("items"))
-               .select(F.col("l_orderkey").alias("o_orderkey"), "_chunk",
+               .select(F.col("l_orderkey").alias("o_orderkey"),
                        F.transform("items", lambda x: x["d"]).alias("drugs")))
     o = t(spark, sf, "orders").join(drugs, "o_orderkey", "left")
     drug_t = schemas.PATIENT["drug"].dataType
@@ -70,11 +61,7 @@ def nested_reports(spark, sf) -> DataFrame:
 def report_documents(spark, sf) -> str:
     """Write the nested reports as ``{"results": [...]}`` documents."""
     path = fresh_dir(spark, "reports")
-    reports = nested_reports(spark, sf)
-    FS.write_report_documents(
-        reports, path,
-        doc_key=F.floor(F.col("safetyreportid").cast("long") / F.lit(DOC_SIZE)),
-        order_cols=["safetyreportid"])
+    FS.write_report_documents(nested_reports(spark, sf), path)
     return path
 
 

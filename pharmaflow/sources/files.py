@@ -36,8 +36,10 @@ def read_report_files(spark: SparkSession, path: str,
                       multi_line: bool = False) -> DataFrame:
     """Report documents ``{"results": [report, ...]}`` -> one row per report.
 
-    Adds ``_file`` (source path) and ``_report_pos`` (0-based position in
-    ``results``) so later keep-first dedup can follow document order.
+    Adds ``_file`` (source path), ``_block`` and ``_line`` (the document's place in
+    the file: where its split starts, and an id that grows within the split) and
+    ``_report_pos`` (0-based position in ``results``): together the order of the
+    documents, for a later keep-first dedup.
     ``multi_line=False`` expects one document per line, which keeps large
     inputs splittable; set it for pretty-printed single documents.
     """
@@ -45,35 +47,16 @@ def read_report_files(spark: SparkSession, path: str,
     raw = (spark.read.schema(file_schema)
            .option("multiLine", multi_line)
            .json(path)
-           .select(F.col("_metadata.file_path").alias("_file"),
-                   F.posexplode("results").alias("_report_pos", "report")))
-    return raw.select("_file", "_report_pos", "report.*")
+           .select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                   F.monotonically_increasing_id().alias("_line"), "results")
+           .select("_file", "_block", "_line", F.posexplode("results").alias("_report_pos", "report")))
+    return raw.select("_file", "_block", "_line", "_report_pos", "report.*")
 
 
-def write_report_documents(reports: DataFrame, path: str, doc_key,
-                           order_cols: list[str], max_reports: int = 1000) -> None:
-    """Write reports as ``{"results": [...]}`` documents, one per line.
-
-    ``doc_key`` groups reports into documents; reports inside a document are
-    sorted by ``order_cols``. A document never holds more than about
-    ``max_reports`` reports, whatever the key: per-key sizes come from a
-    small count table, and an oversized key is split into
-    ``ceil(n / max_reports)`` sub-documents by a hash of ``order_cols[0]``
-    (so one report id never spans two documents).
-    """
-    report_cols = list(reports.columns)
-    keyed = reports.withColumn("_doc", doc_key)
-    sizes = keyed.groupBy("_doc").agg(F.count(F.lit(1)).alias("_n"))
-    n_sub = F.ceil(F.col("_n") / F.lit(max_reports))
-    keyed = (keyed.join(sizes, "_doc")
-                  .withColumn("_sub", F.pmod(F.xxhash64(F.col(order_cols[0])), n_sub)))
-    sort_struct = F.struct(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(order_cols)])
-    docs = (keyed.groupBy("_doc", "_sub")
-            .agg(F.array_sort(F.collect_list(
-                F.struct(sort_struct.alias("k"),
-                         F.struct(*report_cols).alias("r")))).alias("items"))
-            .select(F.transform("items", lambda x: x["r"]).alias("results")))
-    docs.write.mode("overwrite").json(path)
+def write_report_documents(reports: DataFrame, path: str) -> None:
+    """Write every report as a ``{"results": [report]}`` document on a line of its
+    own: a map without shuffle, and no document grows with the data."""
+    reports.select(F.array(F.struct(*reports.columns)).alias("results")).write.mode("overwrite").json(path)
 
 
 # ---------------------------------------------------------------- S2
