@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators.quality import basic_quality, is_valid
 from . import evaluate as EV
-from .models import ALGORITHMS, prepare_label, train
+from .models import ALGORITHMS, class_values, prepare_label, train
 from .split import train_test_split
 
 
 def run(df: DataFrame, target: str, numeric: Sequence[str], categorical: Sequence[str],
         key_cols: Sequence[str], algorithms: Mapping[str, Mapping] | None = None,
-        test_size: float = 0.2, seed: int = 42, primary: str = "accuracy") -> dict:
+        test_size: float = 0.2, seed: int = 42, primary: str = "accuracy", encoding: str = "onehot") -> dict:
     """Returns {"quality": DataFrame, "results": DataFrame (per model metrics,
     ranked), "models": {name: PipelineModel}, "best": name or None}."""
     cols = list(dict.fromkeys([*key_cols, *numeric, *categorical, target]))
@@ -26,18 +26,18 @@ def run(df: DataFrame, target: str, numeric: Sequence[str], categorical: Sequenc
     ckpt = split.checkpoint(eager=True)  # cut lineage; reused by every model
     train_df = ckpt.where(F.col("split") == "train")
     test_df = ckpt.where(F.col("split") == "test")
-    _, classes = prepare_label(train_df, target)
+    classes = class_values(ckpt, target)  # of both parts: a part may lack one
     rows, models = [], {}
     for name, params in (algorithms or ALGORITHMS).items():
         try:
-            model = train(train_df, target, numeric, categorical, name, params, seed)
+            model = train(train_df, target, numeric, categorical, name, params, seed, encoding, classes)
             models[name] = model
-            pred = model.transform(prepare_label(test_df, target)[0])
+            pred = model.transform(prepare_label(test_df, target, classes=classes)[0])
             m = EV.classification_metrics(pred, "label", "prediction").first().asDict()
             rows.append((name, "classification", int(m["support"]), m["accuracy"], m["f1_macro"],
                          m["precision_macro"], m["recall_macro"], "ok"))
         except Exception as e:  # M8: a failed model is recorded, others go on
-            rows.append((name, "classification", 0, None, None, None, None, f"failed: {e}"[:300]))
+            rows.append((name, "classification", 0, None, None, None, None, f"failed: {e}"))
     spark = df.sparkSession
     res = spark.createDataFrame(rows, "model_name string, task_type string, test_size long, accuracy double, "
                                       "f1_macro double, precision_macro double, recall_macro double, status string")

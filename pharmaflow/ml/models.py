@@ -19,7 +19,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from .prep import preprocessor_stages
 from .split import class_weights
 
-MAX_TREE_DEPTH = 30  # Spark's limit; the reference's "unlimited" depth is capped here
+MAX_TREE_DEPTH = 30  # Spark's limit, taken for "unlimited"; an explicit depth beyond it raises
 
 # The configured algorithms and their parameters.
 ALGORITHMS = {
@@ -29,17 +29,43 @@ ALGORITHMS = {
 }
 
 
+#: Parameters that each algorithm takes; any other name is refused.
+KNOWN = {
+    "logistic_regression": {"max_iter", "class_weight", "C"},
+    "random_forest": {"n_estimators", "max_depth", "class_weight", "min_samples_leaf", "min_samples_split"},
+    "gradient_boosting": {"n_estimators", "learning_rate", "max_depth", "min_samples_leaf", "min_samples_split"},
+}
+
+
+def _tree_params(p: Mapping) -> dict:
+    """Leaf size for Spark's trees. ``min_samples_split`` rows in a node are needed
+    for a cut; a cut leaves two leaves, so half of them is the leaf size that
+    implies it (the larger of the two parameters counts)."""
+    leaf, split = int(p.get("min_samples_leaf", 1)), int(p.get("min_samples_split", 2))
+    return {"minInstancesPerNode": max(leaf, -(-split // 2), 1)}
+
+
+def _depth(depth) -> int:
+    if depth is None:
+        return MAX_TREE_DEPTH
+    if int(depth) > MAX_TREE_DEPTH:
+        raise ValueError(f"max_depth {depth} is beyond {MAX_TREE_DEPTH}, the engine's limit")
+    return int(depth)
+
+
 def estimator(name: str, n_rows: int, n_classes: int, params: Mapping | None = None,
               label: str = "label", features: str = "features", weight: str | None = "weight",
               seed: int = 42):
     """M5-M7: the Spark estimator for a configured algorithm.
 
     Logistic regression: sklearn's C -> ``regParam = 1 / (C * n)`` with
-    unstandardized L2. Random forest: depth capped at 30. Gradient boosting:
+    unstandardized L2. Random forest: unlimited depth is 30. Gradient boosting:
     binary ``GBTClassifier``; more classes go through ``OneVsRest``.
     """
     p = dict(ALGORITHMS.get(name, {}))
     p.update(params or {})
+    if name in KNOWN and set(p) - KNOWN[name]:
+        raise ValueError(f"{name} takes no {sorted(set(p) - KNOWN[name])}")
     if name == "logistic_regression":
         est = LogisticRegression(maxIter=int(p.get("max_iter", 100)),
                                  regParam=1.0 / (float(p.get("C", 1.0)) * max(n_rows, 1)),
@@ -49,38 +75,47 @@ def estimator(name: str, n_rows: int, n_classes: int, params: Mapping | None = N
             est.setWeightCol(weight)
         return est
     if name == "random_forest":
-        depth = p.get("max_depth")
         est = RandomForestClassifier(numTrees=int(p.get("n_estimators", 100)),
-                                     maxDepth=MAX_TREE_DEPTH if depth is None else min(int(depth), MAX_TREE_DEPTH),
+                                     maxDepth=_depth(p.get("max_depth")), **_tree_params(p),
                                      seed=seed, labelCol=label, featuresCol=features)
         if weight and p.get("class_weight") == "balanced":
             est.setWeightCol(weight)
         return est
     if name == "gradient_boosting":
         gbt = GBTClassifier(maxIter=int(p.get("n_estimators", 100)), stepSize=float(p.get("learning_rate", 0.1)),
-                            maxDepth=int(p.get("max_depth", 3)), seed=seed, labelCol=label, featuresCol=features)
+                            maxDepth=_depth(p.get("max_depth", 3)), **_tree_params(p), seed=seed, labelCol=label, featuresCol=features)
         return gbt if n_classes <= 2 else OneVsRest(classifier=gbt, labelCol=label, featuresCol=features,
                                                     parallelism=min(n_classes, 4))
     raise ValueError(f"unknown algorithm {name}")
 
 
-def prepare_label(df: DataFrame, target: str, label: str = "label") -> DataFrame:
-    """Target -> double label 0..k-1 in sorted class order (GBT needs {0,1})."""
-    # the distinct class values (a handful) are the only thing collected
-    classes = [r[0] for r in df.where(F.col(target).isNotNull()).select(target).distinct()
-               .orderBy(target).collect()]
+def class_values(df: DataFrame, target: str) -> list:
+    """The classes of ``target`` in order; their number is the model's own size."""
+    return [r[0] for r in df.where(F.col(target).isNotNull()).select(target).distinct()
+            .orderBy(target).collect()]
+
+
+def prepare_label(df: DataFrame, target: str, label: str = "label", classes: list | None = None):
+    """Target -> double label 0..k-1 in sorted class order (GBT needs {0,1}), and
+    the classes. Give the ``classes`` of the full data when ``df`` is a part of
+    it: a part that lacks a class must not number the others anew."""
+    if classes is None:
+        classes = class_values(df, target)
+    if not classes:
+        return df.withColumn(label, F.lit(None).cast("double")), classes
     m = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(c), F.lit(float(i)))])
-    return df.withColumn(label, m[F.col(target)]), classes
+    return df.withColumn(label, F.try_element_at(m, F.col(target))), classes
 
 
 def train(df: DataFrame, target: str, numeric: Sequence[str], categorical: Sequence[str],
           algorithm: str, params: Mapping | None = None, seed: int = 42,
-          encoding: str = "onehot") -> PipelineModel:
+          encoding: str = "onehot", classes: list | None = None) -> PipelineModel:
     """M5-M7: fit preprocessor + classifier as one PipelineModel on ``df``
     (rows with a NULL target are dropped; balanced weights added).
-    ``encoding="hash"`` hashes categorical columns (see ``prep``)."""
+    ``encoding="hash"`` hashes categorical columns (see ``prep``); ``classes``
+    as for ``prepare_label``."""
     data = df.where(F.col(target).isNotNull())
-    data, classes = prepare_label(data, target)
+    data, classes = prepare_label(data, target, classes=classes)
     data = class_weights(data, "label")
     n = data.count()
     stages = preprocessor_stages(data, numeric, categorical, encoding=encoding)
@@ -120,7 +155,7 @@ def train_all(df: DataFrame, target: str, numeric, categorical,
             models[name] = fit(df, target, numeric, categorical, name, params, seed)
             log.append((name, "ok", None, time.time() - t0))
         except Exception as e:  # recorded, not raised
-            log.append((name, "failed", f"{type(e).__name__}: {e}"[:500], time.time() - t0))
+            log.append((name, "failed", f"{type(e).__name__}: {e}", time.time() - t0))
     return models, log
 
 
@@ -186,7 +221,8 @@ _METRIC_COLUMNS = {"accuracy": "accuracy", "f1": "f1_macro", "precision": "preci
 
 def random_search(df: DataFrame, target: str, numeric, categorical, algorithm: str,
                   space: Mapping[str, tuple], n_trials: int = 10, folds: int = 3,
-                  key_cols: Sequence[str] = (), seed: int = 42, metric: str = "accuracy"):
+                  key_cols: Sequence[str] = (), seed: int = 42, metric: str = "accuracy",
+                  encoding: str = "onehot"):
     """Random search maximizing the mean CV score over stratified hash
     folds (M9). Each fold is fitted with ``train`` (so fitted models never
     carry a session-holding training summary) and scored from that fold's
@@ -201,18 +237,20 @@ def random_search(df: DataFrame, target: str, numeric, categorical, algorithm: s
     data = df.where(F.col(target).isNotNull())
     data = fold_ids(data, target, list(key_cols) or [target], k=folds, seed=seed).checkpoint(eager=True)
     trials = sample_space(space, n_trials, seed)
+    classes = class_values(data, target)
     results = []
     for i, p in enumerate(trials):
         try:
             scores = []
             for f in range(folds):
-                model = train(data.where(F.col("fold") != f), target, numeric, categorical, algorithm, p, seed)
-                test = prepare_label(data.where(F.col("fold") == f), target)[0]
+                model = train(data.where(F.col("fold") != f), target, numeric, categorical, algorithm, p, seed,
+                              encoding, classes)
+                test = prepare_label(data.where(F.col("fold") == f), target, classes=classes)[0]
                 scores.append(float(EV.classification_metrics(model.transform(test)).first()[col]))
             results.append((i, statistics.fmean(scores), statistics.pstdev(scores), "COMPLETE",
                             json.dumps(p, sort_keys=True)))
         except Exception as e:  # a failed trial is recorded
-            results.append((i, None, None, "FAIL", json.dumps({"error": str(e)[:200], **p}, default=str)))
+            results.append((i, None, None, "FAIL", json.dumps({"error": str(e), **p}, default=str)))
     spark = df.sparkSession
     hist = spark.createDataFrame(results, "trial int, value double, std double, state string, params string")
     done = [r for r in results if r[1] is not None]
@@ -293,7 +331,8 @@ CV_SCORES = ("accuracy", "precision", "recall", "f1", "roc_auc")
 
 def cross_validate(df: DataFrame, target: str, numeric, categorical, algorithm: str,
                    key_cols: Sequence[str], folds: int = 5, seed: int = 42,
-                   params: Mapping | None = None, scores: Sequence[str] = CV_SCORES) -> DataFrame:
+                   params: Mapping | None = None, scores: Sequence[str] = CV_SCORES,
+                   encoding: str = "onehot") -> DataFrame:
     """M9: stratified k-fold scores, one fit per fold, every score from that
     fold's predictions. precision/recall/f1 are macro averages; roc_auc is
     binary only (skipped otherwise). Returns (score, mean, std) with the
@@ -303,11 +342,12 @@ def cross_validate(df: DataFrame, target: str, numeric, categorical, algorithm:
     data = df.where(F.col(target).isNotNull())
     data = fold_ids(data, target, list(key_cols), k=folds, seed=seed)
     data = data.checkpoint(eager=True)  # every fold reads the same assignment
-    _, classes = prepare_label(data, target)
+    classes = class_values(data, target)
     rows = []
     for i in range(folds):
-        model = train(data.where(F.col("fold") != i), target, numeric, categorical, algorithm, params, seed)
-        test = prepare_label(data.where(F.col("fold") == i), target)[0]
+        model = train(data.where(F.col("fold") != i), target, numeric, categorical, algorithm, params, seed,
+                      encoding, classes)
+        test = prepare_label(data.where(F.col("fold") == i), target, classes=classes)[0]
         pred = model.transform(test)
         m = EV.classification_metrics(pred, "label", "prediction").first()
         vals = {"accuracy": m["accuracy"], "precision": m["precision_macro"],

@@ -87,3 +87,16 @@ def test_values_that_oracles_do_not_hold(spark):
         prediction_histogram(spark.createDataFrame([(-1,), (2,)], "p int"), "p")
     ages = spark.createDataFrame([("99999999999",), ("34",), ("x",)], "a string")
     assert [r[0] for r in ages.select(age_bucket("a")).collect()] == [None, 30, None]
+
+
+def test_a_part_without_a_class_keeps_the_numbers(spark):
+    from pharmaflow.ml.models import class_values, estimator, prepare_label
+    full = spark.createDataFrame([("a",), ("b",), ("c",)], "y string")
+    part = full.where("y <> 'a'")
+    got = prepare_label(part, "y", classes=class_values(full, "y"))[0].collect()
+    assert sorted((r.y, r.label) for r in got) == [("b", 1.0), ("c", 2.0)]
+    with pytest.raises(ValueError):
+        estimator("random_forest", 10, 2, {"max_depth": 31})
+    with pytest.raises(ValueError):
+        estimator("random_forest", 10, 2, {"max_leafs": 3})
+    assert estimator("random_forest", 10, 2, {"min_samples_leaf": 4}).getMinInstancesPerNode() == 4
