@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import logging
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType, StringType
 
@@ -16,6 +18,8 @@ from .. import schemas
 
 log = logging.getLogger(__name__)
 
+READ_ERRORS = (PySparkException, Py4JJavaError)  # what a failed read raises
+
 # Bundle files with these names hold no patient data and are
 # skipped when a FHIR directory is read.
 FHIR_SKIP_NAMES = ["hospitalInformation", "practitionerInformation"]
@@ -30,10 +34,28 @@ JSON_SUFFIXES = (".json", ".ndjson", ".ndjsonl")
 CSV_SUFFIXES = (".csv",)
 
 
+def _strict_json(spark: SparkSession, path, schema: StructType, on_bad: str = "raise",
+                 bad_records=None, **options) -> DataFrame:
+    """JSON whose malformed records raise (``on_bad="raise"``) or are skipped and
+    counted as ``bad_lines`` of an Observation (``"skip"``)."""
+    if on_bad not in ("raise", "skip"):
+        raise ValueError(f"on_bad is raise or skip, not {on_bad}")
+    if on_bad == "raise":
+        return spark.read.schema(schema).options(mode="FAILFAST", **options).json(path)
+    corrupt = "_corrupt_record"
+    wide = StructType(list(schema.fields) + [StructField(corrupt, StringType(), True)])
+    df = spark.read.schema(wide).options(
+        mode="PERMISSIVE", columnNameOfCorruptRecord=corrupt, **options).json(path)
+    if bad_records is not None:
+        df = df.observe(bad_records, F.count_if(F.col(corrupt).isNotNull()).alias("bad_lines"))
+    return df.where(F.col(corrupt).isNull()).drop(corrupt)
+
+
 # ---------------------------------------------------------------- S1
 def read_report_files(spark: SparkSession, path: str,
                       report_schema: StructType = schemas.REPORT,
-                      multi_line: bool = False) -> DataFrame:
+                      multi_line: bool = False, on_bad: str = "raise",
+                      bad_records=None) -> DataFrame:
     """Report documents ``{"results": [report, ...]}`` -> one row per report.
 
     Adds ``_file`` (source path), ``_block`` and ``_line`` (the document's place in
@@ -41,12 +63,12 @@ def read_report_files(spark: SparkSession, path: str,
     ``_report_pos`` (0-based position in ``results``): together the order of the
     documents, for a later keep-first dedup.
     ``multi_line=False`` expects one document per line, which keeps large
-    inputs splittable; set it for pretty-printed single documents.
+    inputs splittable; set it for pretty-printed single documents. A malformed
+    document raises, or with ``on_bad="skip"`` is left out and counted by the
+    Observation ``bad_records``.
     """
     file_schema = StructType([StructField("results", ArrayType(report_schema), True)])
-    raw = (spark.read.schema(file_schema)
-           .option("multiLine", multi_line)
-           .json(path)
+    raw = (_strict_json(spark, path, file_schema, on_bad, bad_records, multiLine=multi_line)
            .select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
                    F.monotonically_increasing_id().alias("_line"), "results")
            .select("_file", "_block", "_line", F.posexplode("results").alias("_report_pos", "report")))
@@ -60,33 +82,40 @@ def write_report_documents(reports: DataFrame, path: str) -> None:
 
 
 # ---------------------------------------------------------------- S2
+def detect_layout(spark: SparkSession, path) -> str:
+    """``document`` or ``ndjson`` by the first line with text: an array, or an object
+    that its line does not close, makes the file a document. Only that line's
+    ends are read."""
+    t = F.trim("value")
+    line = spark.read.text(path).where(t != "").select(
+        F.substring(t, 1, 1), F.substring(t, -1, 1)).first()
+    if line is None or (line[0] == "{" and line[1] == "}"):
+        return "ndjson"
+    return "document" if line[0] in "[{" else "ndjson"
+
+
 def read_json(spark: SparkSession, path, schema: StructType,
-              layout: str = "ndjson", bad_records=None) -> DataFrame:
+              layout: str = "auto", bad_records=None) -> DataFrame:
     """JSON records with a fixed schema.
 
     ``layout="ndjson"``: one object per line; malformed lines are skipped and
     counted through ``bad_records`` (a ``pyspark.sql.Observation``) without a
     second pass. ``layout="document"``: each file is one JSON array (each
-    element a row) or one object (one row). Empty files give no rows.
+    element a row) or one object (one row); a malformed file raises. ``auto``
+    tells them apart by the first line. Empty files give no rows.
     """
+    if layout == "auto":
+        layout = detect_layout(spark, path)
     if layout == "document":
-        return spark.read.schema(schema).option("multiLine", True).json(path)
+        return _strict_json(spark, path, schema, multiLine=True)
     if layout != "ndjson":
         raise ValueError(f"unknown JSON layout: {layout}")
     if bad_records is None:
         # Spark drops (and logs) malformed lines itself.
         return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
-    # Counting bad lines needs the corrupt-record column; the count rides on
-    # the same scan through the Observation. (Spark rejects a query whose only
-    # referenced column is that internal column, so callers then select data.)
-    corrupt = "_corrupt_record"
-    wide = StructType(list(schema.fields) + [StructField(corrupt, StringType(), True)])
-    df = (spark.read.schema(wide)
-          .option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", corrupt)
-          .json(path))
-    df = df.observe(bad_records, F.count_if(F.col(corrupt).isNotNull()).alias("bad_lines"))
-    return df.where(F.col(corrupt).isNull()).drop(corrupt)
+    # (Spark rejects a query whose only referenced column is the internal
+    # corrupt-record column, so callers then select data.)
+    return _strict_json(spark, path, schema, "skip", bad_records)
 
 
 # ---------------------------------------------------------------- S3
@@ -102,15 +131,15 @@ def read_csv(spark: SparkSession, path, schema: StructType | None = None) -> Dat
 
 
 # ---------------------------------------------------------------- S4
-def read_fhir_dir(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_fhir_dir(spark: SparkSession, path: str, multi_line: bool = True, on_bad: str = "raise",
+                  bad_records=None) -> DataFrame:
     """All ``*.json`` bundles under ``path`` except the skip-listed names.
 
-    Returns one row per bundle with ``_file`` and ``entry``.
+    Returns one row per bundle with ``_file`` and ``entry``. Malformed bundles
+    as in ``read_report_files``.
     """
-    df = (spark.read.schema(schemas.BUNDLE)
-          .option("multiLine", multi_line)
-          .option("pathGlobFilter", "*.json")
-          .json(path))
+    df = _strict_json(spark, path, schemas.BUNDLE, on_bad, bad_records,
+                      multiLine=multi_line, pathGlobFilter="*.json")
     keep = F.lit(True)
     for name in FHIR_SKIP_NAMES:
         keep = keep & ~F.col("_metadata.file_name").contains(name)
@@ -134,44 +163,45 @@ def _is_dir(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath) and fs.getFileStatus(hpath).isDirectory()
 
 
+def _candidates(spark: SparkSession, resource: str, base: str):
+    """(paths, suffix) of the datasets that may hold ``resource``, in order."""
+    files = [p for p, is_file in _list_files(spark, f"{base}/{resource}") if is_file] \
+        if _is_dir(spark, f"{base}/{resource}") else []
+    seen = []
+    for p in files:
+        found = next((x for x in JSON_SUFFIXES + CSV_SUFFIXES if p.lower().endswith(x)), None)
+        if found is None:
+            log.warning("skipping unsupported candidate %s", p)
+        elif found not in seen:
+            seen.append(found)
+            yield [q for q in files if q.lower().endswith(found)], found
+    names = {f"{resource}.json", f"{resource}.ndjson", f"{resource}.csv"}
+    for p, _is_file in _list_files(spark, base):
+        if p.rstrip("/").rsplit("/", 1)[-1].lower() in names:
+            yield [p], "." + p.rsplit(".", 1)[-1].lower()
+
+
 def read_resource(spark: SparkSession, resource: str, input_dir: str,
-                  schema: StructType, json_layout: str = "ndjson") -> DataFrame:
-    """Read ``resource`` from the first supported candidate, by suffix.
-
-    Candidates: the files of ``input_dir/<resource>/`` in sorted order, else
-    an entry ``input_dir/<resource>.{json,ndjson,csv}``. The first candidate
-    with a supported suffix decides the format; all files of the folder with
-    that suffix are read as one dataset (a Spark-written table is a folder of
-    part files). Nothing found: the two sample rows for ``patients``, else an
-    empty frame.
+                  schema: StructType, json_layout: str = "auto") -> DataFrame:
+    """Read ``resource`` from the first readable candidate, by suffix.
+
+    Candidates: the files of ``input_dir/<resource>/`` in sorted order, then
+    the entries ``input_dir/<resource>.{json,ndjson,csv}``. All files of the
+    folder with a candidate's suffix are read as one dataset (a Spark-written
+    table is a folder of part files). A candidate whose first row cannot be read
+    is logged and the next one is tried. Nothing found: the two sample rows
+    for ``patients``, else an empty frame.
     """
-    base = input_dir.rstrip("/")
-    sub = f"{base}/{resource}"
-    paths: list[str] = []
-    suffix = None
-    if _is_dir(spark, sub):
-        files = [p for p, is_file in _list_files(spark, sub) if is_file]
-        for p in files:
-            low = p.lower()
-            found = next((s for s in JSON_SUFFIXES + CSV_SUFFIXES if low.endswith(s)), None)
-            if found is None:
-                log.warning("skipping unsupported candidate %s", p)
-                continue
-            suffix = found
-            break
-        if suffix:
-            paths = [p for p in files if p.lower().endswith(suffix)]
-    if not paths:
-        names = {f"{resource}.json", f"{resource}.ndjson", f"{resource}.csv"}
-        for p, _is_file in _list_files(spark, base):
-            if p.rstrip("/").rsplit("/", 1)[-1].lower() in names:
-                paths, suffix = [p], "." + p.rsplit(".", 1)[-1].lower()
-                break
-    if paths:
-        if suffix in CSV_SUFFIXES:
-            return read_csv(spark, paths, schema)
-        layout = json_layout if suffix == ".json" else "ndjson"
-        return read_json(spark, paths, schema, layout=layout)
+    for paths, suffix in _candidates(spark, resource, input_dir.rstrip("/")):
+        try:
+            if suffix in CSV_SUFFIXES:
+                df = read_csv(spark, paths, schema)
+            else:
+                df = read_json(spark, paths, schema, layout=json_layout if suffix == ".json" else "ndjson")
+            df.limit(1).collect()
+            return df
+        except READ_ERRORS as e:
+            log.warning("skipping unreadable candidate %s: %s", paths[0], e)
     if resource == "patients":
         rows = [dict(zip(["id", "birthDate", "gender"], r)) for r in SAMPLE_PATIENTS]
         return spark.createDataFrame(
@@ -180,7 +210,7 @@ def read_resource(spark: SparkSession, resource: str, input_dir: str,
 
 
 def prepare_resource(spark: SparkSession, resource: str, input_dir: str, schema: StructType,
-                     output_path: str | None = None, json_layout: str = "ndjson") -> str:
+                     output_path: str | None = None, json_layout: str = "auto") -> str:
     """S5 + S8: normalize ``resource`` to JSON records at ``output_path``
     (default ``input_dir/<resource>.json``) and return that path. An
     existing output is reused as is, like the reference's flow."""
