@@ -36,7 +36,7 @@ from .common import broadcast_if, carry, register, saved, table, words
 from .components import connected_components
 
 SHINGLE, THRESHOLD = 5, 0.8
-BANDS, ROWS = 20, 4  # a pair at 0.8 shares no band with probability 3e-5
+BANDS, ROWS = 32, 7  # a pair at 0.8 shares no band with probability 5e-4, one at 0.4 shares one with 0.05
 PIVOTS = 64  # members per bucket and round that are compared with the whole bucket
 CHUNK = 1_000_000  # shingles handled at once in a task
 
