@@ -13,7 +13,7 @@ exact Jaccard of their shingle sets (``threshold``), and links make classes.
 Scale. Equal texts are one node from the start. A bucket never emits all its
 pairs: its members are verified against one member, components are formed, and only
 members outside the bucket's largest component are compared further, a few per
-bucket and round against the whole bucket, until every bucket has been compared across
+bucket (more in each round) against the whole bucket, until every bucket has been compared across
 components in full. A group of n near copies costs about n comparisons, no link
 between components is lost, and no bucket has a cap.
 
@@ -37,7 +37,7 @@ from .components import connected_components
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 32, 7  # a pair at 0.8 shares no band with probability 5e-4, one at 0.4 shares one with 0.05
-PIVOTS = 64  # members per bucket and round that are compared with the whole bucket
+PIVOTS = 4  # members per bucket compared with the whole bucket in the first round; four times as many in each next one
 CHUNK = 1_000_000  # shingles handled at once in a task
 
 _U = np.uint64
@@ -194,6 +194,7 @@ def _components(buckets: DataFrame, sets: DataFrame, threshold: float, pivots: i
         turn = saved(turn, "near-pivots")
         pairs = _pairs(rest.join(turn, "key").where("comp <> pcomp"))
         links = saved(links.unionByName(_verified(pairs, sets, threshold)), "near-links")
+        pivots *= 4
         done = turn.select("key", F.col("pivot").alias("node"))
         members = saved(rest.select("key", "node").join(done, ["key", "node"], "left_anti"), "near-members")
 
