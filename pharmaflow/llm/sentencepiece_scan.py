@@ -28,23 +28,25 @@ an empty table gives an empty result; the input's further columns travel inside
 from __future__ import annotations
 
 import re
+from array import array
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from .common import register, saved, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-CHUNK = 16_384  # characters; at least 64
+CHUNK = 65_536  # characters; at least 64
 SPACE = "▁"
 _UNIT = re.compile(r" *[^ \n]+| +|\n")
+_IDS = StructField("ids", ArrayType(IntegerType()))
 _CUT = re.compile(r"(?<=[^ ])(?= )|(?=\n)|(?<=\n)")
-_CACHED = 100_000  # distinct units kept by a Python worker
-_FLUSH = 4_000_000  # pieces or characters gathered before a batch goes out
+_CACHED = 300_000  # distinct units kept by a Python worker
+_FLUSH = 2_000_000  # pieces or characters gathered before a batch goes out
 
 
 class Model:
@@ -63,7 +65,7 @@ class Model:
         self.bytes = [n.replace(SPACE, " ").encode() if plain[i] else
                       bytes([int(n[3:5], 16)]) if self.sp.is_byte(i) else b"" for i, n in enumerate(names)]
         self.lead = len(self.sp.encode("\n"))
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.cache: dict[str, bytes] = {}
 
     def ids(self, text: str) -> list[int]:
         """Pieces of a stretch inside a text (no space is put before it)."""
@@ -72,12 +74,18 @@ class Model:
     def inner(self, text: str) -> np.ndarray:
         """``ids`` of a stretch between cuts, unit by unit."""
         units, cache = _UNIT.findall(text), self.cache
-        if len(cache) > _CACHED:
-            cache.clear()
         new = [u for u in set(units) if u not in cache]
-        for u, got in zip(new, self.sp.encode(["\n" + u for u in new])):
-            cache[u] = tuple(got[self.lead:])
-        return np.fromiter(chain.from_iterable(map(cache.__getitem__, units)), dtype=np.int32)
+        if len(cache) + len(new) > _CACHED:
+            cache.clear()
+            new = list(set(units))
+        # the model itself puts a space before a text that follows none
+        spaced = [u for u in new if u[0] == " " and len(u) > 1]
+        for u, got in zip(spaced, self.sp.encode([u[1:] for u in spaced], num_threads=1)):
+            cache[u] = array("i", got).tobytes()
+        for u in new:
+            if u not in cache:
+                cache[u] = array("i", self.ids(u)).tobytes()
+        return np.frombuffer(b"".join(map(cache.__getitem__, units)), dtype=np.int32)
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")[1:]
@@ -265,14 +273,14 @@ def encode(df: DataFrame, text_col: str = "text", path: str = MODEL, chunk: int
     rows = df.select(F.struct("*").alias("row"), F.col(text_col).alias("t"))
     # the model sees a space before the text: one chunk holds chunk - 1 characters
     over = F.coalesce(F.length("t") >= chunk, F.lit(False))
-    schema = f"row {rows.schema['row'].dataType.simpleString()}, ids array<int>"
+    schema = StructType([rows.schema["row"], _IDS])
     return rows.where(~over).mapInArrow(_encoder(path), schema).unionByName(_long(rows.where(over), path, chunk))
 
 
 def decode(encoded: DataFrame, path: str = MODEL) -> DataFrame:
     """``row`` and ``ids`` of ``encode`` with the ``decoded`` text."""
     d = encoded.select("row", "ids")
-    return d.mapInArrow(_decoder(path), f"row {d.schema['row'].dataType.simpleString()}, ids array<int>, decoded string")
+    return d.mapInArrow(_decoder(path), StructType([d.schema["row"], _IDS, StructField("decoded", StringType())]))
 
 
 @register("op7_sentencepiece")
