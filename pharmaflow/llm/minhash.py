@@ -7,8 +7,12 @@ arrival. Two texts agree on a register with the probability Jaccard of their
 weighted shingles. Arrivals of a shingle only get later, so it stops as soon as one
 comes after the text's slowest register (early termination).
 
-``bands`` x ``rows`` registers are banded. Texts that share a band are verified by the
-exact Jaccard of their shingle sets (``threshold``), and links make classes.
+``bands`` x ``rows`` registers are banded. So are as many registers of the same process with
+all weights 1, which agree with the plain Jaccard: links are defined by that, and a
+shingle that only one text repeats can make the weighted measure as small as it likes.
+Without repeated shingles both are the same registers and bands. Texts that share a band
+are verified by the exact Jaccard of their shingle sets (``threshold``), and links make
+classes.
 
 Scale. Equal texts are one node from the start. A bucket never emits all its
 pairs: its members are verified against one member, components are formed, and only
@@ -36,7 +40,8 @@ from .common import broadcast_if, carry, register, saved, table, words
 from .components import connected_components
 
 SHINGLE, THRESHOLD = 5, 0.8
-BANDS, ROWS = 32, 7  # a pair at 0.8 shares no band with probability 5e-4, one at 0.4 shares one with 0.05
+# by the bands with weights 1, a pair at 0.8 shares no band with probability 5e-4, one at 0.4 shares one with 0.05
+BANDS, ROWS = 32, 7
 PIVOTS = 4  # members per bucket compared with the whole bucket in the first round; four times as many in each next one
 CHUNK = 1_000_000  # shingles handled at once in a task
 
@@ -73,16 +78,17 @@ def shingles_of(hashes: np.ndarray, ends: np.ndarray, size: int = SHINGLE) -> tu
     return out, doc
 
 
-def signatures(shingles: np.ndarray, doc: np.ndarray, n_docs: int, registers: int) -> np.ndarray:
-    """ProbMinHash registers (n_docs x registers) of weighted shingles; rows of texts
-    without shingles are 0."""
+def _distinct(shingles: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct shingles of each text, their texts, and how often the text holds each."""
     key = shingles ^ mix(doc.astype(_U) + _K1)
     order = np.argsort(key)
     key = key[order]
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, int)
     tf = np.diff(np.append(first, len(key)))
-    el, doc = shingles[order[first]], doc[order[first]]
-    rate = 1.0 + np.log(tf)
+    return shingles[order[first]], doc[order[first]], tf
+
+
+def _registers(el: np.ndarray, doc: np.ndarray, rate: np.ndarray, n_docs: int, registers: int) -> np.ndarray:
     best = np.full(n_docs * registers, np.inf)
     sig = np.zeros(n_docs * registers, dtype=_U)
     t, turn = np.zeros(len(el)), 0
@@ -99,6 +105,13 @@ def signatures(shingles: np.ndarray, doc: np.ndarray, n_docs: int, registers: in
     return sig.reshape(n_docs, registers)
 
 
+def signatures(shingles: np.ndarray, doc: np.ndarray, n_docs: int, registers: int) -> np.ndarray:
+    """ProbMinHash registers (n_docs x registers) of weighted shingles; rows of texts
+    without shingles are 0."""
+    el, doc, tf = _distinct(shingles, doc)
+    return _registers(el, doc, 1.0 + np.log(tf), n_docs, registers)
+
+
 def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     out = np.zeros((len(sig), bands), dtype=_U) + _K1 * np.arange(1, bands + 1, dtype=_U)
     for j in range(rows):
@@ -106,6 +119,19 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+def all_band_keys(shingles: np.ndarray, doc: np.ndarray, n_docs: int, bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """The band keys of the weighted registers and, where they differ, of those with all
+    weights 1; the texts' keys end to end, and each text's number of keys."""
+    el, doc, tf = _distinct(shingles, doc)
+    weighted = band_keys(_registers(el, doc, 1.0 + np.log(tf), n_docs, bands * rows), bands, rows)
+    plain, repeats = weighted.copy(), np.bincount(doc[tf > 1], minlength=n_docs) > 0
+    if repeats.any():  # without repeated shingles both are equal
+        some, at = repeats[doc], np.cumsum(repeats) - 1
+        plain[repeats] = band_keys(_registers(el[some], at[doc[some]], np.ones(int(some.sum())), int(repeats.sum()), bands * rows), bands, rows)
+    new = np.concatenate([np.ones(weighted.shape, bool), plain != weighted], axis=1)
+    return np.concatenate([weighted, plain], axis=1)[new], new.sum(axis=1)
+
+
 def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     ends = lists.offsets.to_numpy().astype(np.int64)
     return lists.values.to_numpy(zero_copy_only=False)[ends[0]:ends[-1]].view(_U), ends[1:] - ends[0]
@@ -130,8 +156,8 @@ def _band_batches(bands: int, rows: int):
     def run(batches):
         for batch in batches:
             for part, sh, doc, n in _each_block(batch):
-                keys = band_keys(signatures(sh, doc, n, bands * rows), bands, rows)
-                arr = pa.ListArray.from_arrays(np.arange(0, n * bands + 1, bands, dtype=np.int32), keys.ravel())
+                keys, k = all_band_keys(sh, doc, n, bands, rows)
+                arr = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(k)]).astype(np.int32), keys)
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("node"), arr], ["id", "node", "bands"])
     return run
 
