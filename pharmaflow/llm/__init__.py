@@ -7,4 +7,4 @@ Nothing outside this subpackage imports it, but for ``__spark_entry__`` and
 
 from .common import REGISTRY  # noqa: F401
 from . import (quality_rules, line_dedup, minhash, mixing, sentencepiece_scan, embedding_dedup, warc, pii, quality_gam,  # noqa: F401
-               html_gbt, exact_dedup, periodic_runs)  # noqa: F401
+               html_gbt, filter_audit, exact_dedup, periodic_runs)  # noqa: F401
