@@ -131,12 +131,19 @@ def _label_flags(labels: DataFrame) -> DataFrame:
     return labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("label_id")).agg(F.bit_or(flag).alias("label"))
 
 
+def _stream_path(spark: SparkSession, path: str) -> str:
+    """``path`` for a file stream, which takes folders and patterns: one file is a pattern that only it matches."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return f"{path[:-1]}[{path[-1]}]" if fs.getFileStatus(at).isFile() else path
+
+
 def failure_counters(spark: SparkSession, path: str, labels: DataFrame, batches: int = BATCHES, id_col: str = "doc_id",
                      text_col: str = "text", part_col: str = "lang") -> DataFrame:
     """(part, flags, n): documents by part and by failed filters and labels, of the Parquet files under ``path``."""
     given = spark.read.parquet(path)
     files = len(given.inputFiles())
-    stream = (spark.readStream.schema(given.schema).option("maxFilesPerTrigger", max(1, -(-files // batches))).parquet(path)
+    stream = (spark.readStream.schema(given.schema).option("maxFilesPerTrigger", max(1, -(-files // batches))).parquet(_stream_path(spark, path))
               .select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"),
                       F.coalesce(F.col(text_col), F.lit("")).alias("t")))
     rows = stream.select("id", "part", F.unhex(F.sha2("t", 256)).alias("key"), text_failures(F.col("t")).alias("mask"))
