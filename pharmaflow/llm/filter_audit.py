@@ -5,8 +5,10 @@ which filters a document fails, so the audit keeps counters of (part, set of fai
 filters, labels). Four failures follow from the text alone. The fifth (E: the text is that
 of a smaller id) depends on documents that may not have been read yet.
 
-All files are processed as available-now micro-batches of a file stream. The state is keyed
-by text (SHA-256): the smallest id seen and the counted documents that have it. A
+All files are processed as available-now micro-batches of a file stream. The state holds for every
+text (by SHA-256) the smallest id seen and the counted documents that have it. Texts are kept
+about ``TEXTS`` to a state row, by a hash of their digest: a call per text costs ten times the
+work it does. A
 document with a larger id is counted as a copy. When a smaller id arrives, what was
 counted for the former smallest one is retracted from its part's counter and counted
 anew as copies. Counter changes are written by an append-only file sink; their sum after
@@ -15,7 +17,8 @@ the last batch holds for the whole table, whatever the order of files.
 Scale. Texts never move: after one scan a document is a digest, an id and a few flags. Before
 the shuffle every Arrow batch settles its own copies of a text, so one that a third of
 all rows hold sends one row per batch, whatever is settled goes as counts, and the
-state of a text is one id with a count per (part, flags). State and progress live in a
+state of a text is one id with a count per (part, flags). The number of state rows follows
+from the row count in the files' footers. State and progress live in a
 checkpoint in the shared folder, from which lost executors' partitions are restored. The
 default state store keeps the digests on the executors' heaps; for more than they hold set
 ``spark.sql.streaming.stateStore.providerClass`` to Spark's RocksDB store. The orders are
@@ -29,9 +32,8 @@ table gives an empty result; the input's further columns are not read.
 
 from __future__ import annotations
 
-import json
+import pickle
 import uuid
-import zlib
 from collections import Counter
 from itertools import permutations
 
@@ -45,7 +47,7 @@ FILTERS = "ABCDE"
 COPY = 1 << FILTERS.index("E")
 GOOD, TOXIC = 32, 64
 BATCHES = 4  # micro-batches for the files there are
-_LOOSE = 1024  # keys that settled counts are spread over; a digest is longer
+TEXTS = 256  # texts whose state is one row, on average
 
 
 def text_failures(text: Column) -> Column:
@@ -76,42 +78,50 @@ class Least:
         self.changes[code] += n
 
 
-def _settled(batches):
-    """(key, v) rows of a batch: for each text its smallest id, and counts of all other rows."""
-    for b in batches:
-        texts, settled = {}, Counter()
-        for key, i, part, flags in zip(*(b.column(c).to_pylist() for c in ("key", "id", "part", "flags"))):
-            if i is None:
-                settled[part, flags] += 1
-            else:
-                texts.setdefault(key, Least(settled)).add(i, (part, flags), 1)
-        keys, values = [], []
-        for key, least in texts.items():
-            for code, n in least.held.items():
-                settled[code] -= n  # the state counts these
-                keys.append(key)
-                values.append(json.dumps([least.low, *code, n]))
-        for code, n in settled.items():
-            if n:
-                keys.append((zlib.crc32(repr(code).encode()) % _LOOSE).to_bytes(2, "big"))
-                values.append(json.dumps([None, *code, n]))
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(values, pa.string())], ["key", "v"])
-
-
-def _counted(key, frames, state):
-    """Counter changes of a text's new rows; the state keeps its smallest id."""
+_ROWS = pa.schema([("bucket", pa.int64()), ("key", pa.binary()), ("id", pa.int64()), ("part", pa.string()), ("flags", pa.int32()),
+                   ("n", pa.int64())])
+
+
+def _settled(buckets: int):
+    """Of a batch, for each text its smallest id with the counts of its rows, and counts of all
+    other rows (without a key)."""
+    def run(batches):
+        for b in batches:
+            texts, settled = {}, Counter()
+            for key, i, part, flags in zip(*(b.column(c).to_pylist() for c in ("key", "id", "part", "flags"))):
+                if i is None:
+                    settled[part, flags] += 1
+                else:
+                    texts.setdefault(key, Least(settled)).add(i, (part, flags), 1)
+            rows = []
+            for key, least in texts.items():
+                for code, n in least.held.items():
+                    settled[code] -= n  # the state counts these
+                    rows.append((int.from_bytes(key[:7], "big") % buckets, key, least.low, *code, n))
+            rows += [(hash(code[1]) % buckets, b"", 0, *code, n) for code, n in settled.items() if n]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows), _ROWS)] if rows
+                                             else [pa.array([], f.type) for f in _ROWS], schema=_ROWS)
+    return run
+
+
+def _counted(bucket, frames, state):
+    """Counter changes of the new rows of a bucket's texts; the state keeps each text's smallest id."""
     import pandas as pd
     changes: Counter = Counter()
-    low, held = state.get if state.exists else (None, "[]")
-    least = Least(changes, low, {(part, flags): n for part, flags, n in json.loads(held)})
+    texts: dict[bytes, tuple] = pickle.loads(state.get[0]) if state.exists else {}
+    new: dict[bytes, Least] = {}
     for f in frames:
-        for i, part, flags, n in map(json.loads, f["v"]):
-            if i is None:
+        for key, i, part, flags, n in zip(f["key"], f["id"].tolist(), f["part"], f["flags"].tolist(), f["n"].tolist()):
+            if not key:
                 changes[part, flags] += n
-            else:
-                least.add(i, (part, flags), n)
-    if least.low is not None:
-        state.update((least.low, json.dumps([[*code, n] for code, n in least.held.items()])))
+                continue
+            if (least := new.get(key)) is None:
+                low, held = texts.get(key, (None, ()))
+                least = new[key] = Least(changes, low, dict(held))
+            least.add(i, (part, flags), n)
+    if new:
+        texts.update((key, (least.low, tuple(least.held.items()))) for key, least in new.items())
+        state.update((pickle.dumps(texts),))
     rows = [(*code, n) for code, n in changes.items() if n]
     yield pd.DataFrame(rows, columns=["part", "flags", "delta"])
 
@@ -143,6 +153,7 @@ def failure_counters(spark: SparkSession, path: str, labels: DataFrame, batches:
     """(part, flags, n): documents by part and by failed filters and labels, of the Parquet files under ``path``."""
     given = spark.read.parquet(path)
     files = len(given.inputFiles())
+    buckets = max(1, given.count() // TEXTS)  # from the files' footers
     stream = (spark.readStream.schema(given.schema).option("maxFilesPerTrigger", max(1, -(-files // batches))).parquet(_stream_path(spark, path))
               .select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"),
                       F.coalesce(F.col(text_col), F.lit("")).alias("t")))
@@ -151,8 +162,8 @@ def failure_counters(spark: SparkSession, path: str, labels: DataFrame, batches:
     rows = rows.join(known, F.col("id") == F.col("label_id"), "left").select(
         "key", "id", "part", F.col("mask").bitwiseOR(F.coalesce("label", F.lit(0))).cast("int").alias("flags"))
     out = "part string, flags int, delta long"
-    changes = (rows.mapInArrow(_settled, "key binary, v string").groupBy("key")
-               .applyInPandasWithState(_counted, out, "low long, held string", "append", "NoTimeout")
+    changes = (rows.mapInArrow(_settled(buckets), "bucket long, key binary, id long, part string, flags int, n long").groupBy("bucket")
+               .applyInPandasWithState(_counted, out, "texts binary", "append", "NoTimeout")
                .mapInArrow(_summed, out))
     base = scratch_path(spark, f"audit-{uuid.uuid4().hex[:12]}")
     query = (changes.writeStream.format("parquet").option("path", f"{base}/changes").option("checkpointLocation", f"{base}/progress")

@@ -31,9 +31,10 @@ def table_of(df):
                                               "good_lost", "toxic_lost", "shapley").collect())
 
 
-@pytest.mark.parametrize("turn, files, batches", [(1, 7, 7), (-1, 7, 3), (1, 1, 4)])
-def test_any_order_of_files(spark, tmp_path, turn, files, batches):
+@pytest.mark.parametrize("turn, files, batches, texts", [(1, 7, 7, 4), (-1, 7, 3, 256), (1, 1, 4, 1)])
+def test_any_order_of_files(spark, tmp_path, monkeypatch, turn, files, batches, texts):
     data = rows()[::turn]
+    monkeypatch.setattr(A, "TEXTS", texts)
     written(spark, f"{tmp_path}/documents.parquet", data, files)
     labels = [(9, 1, 0, 1), (9, 0, 0, 1), (5, 1, 1, 1), (1, 0, 1, 1), (None, 1, 1, 1), (6, None, None, None), (8, 1, 1, 0)]
     spark.createDataFrame(labels, LABELS).write.parquet(f"{tmp_path}/labels.parquet")
