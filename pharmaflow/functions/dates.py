@@ -19,10 +19,6 @@ def year_month(d) -> Column:
     return F.date_format(_col(d), "yyyy-MM")
 
 
-def year_of(d) -> Column:
-    return F.year(_col(d))
-
-
 def parse_timestamp(c) -> Column:
     """ISO text -> naive timestamp (TIMESTAMP_NTZ, like a parsed ISO string
     without zone); NULL or unparsable -> NULL. Independent of the session

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..operators.prefix import prefix_sums
+
 
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """(label, prediction, count) for the observed pairs."""
@@ -83,15 +85,26 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> float:
     return float(ev.evaluate(data))
 
 
-def roc_auc_ovr(df: DataFrame, label: str, prob_cols: dict) -> float:
-    """M11 (multi-class): macro average of one-vs-rest AUCs; ``prob_cols``
-    maps each class value to its probability column."""
-    aucs = []
-    for cls, col in prob_cols.items():
-        binary = df.select((F.col(label) == F.lit(cls)).cast("double").alias("_y"),
-                           F.col(col).alias("_s"))
-        aucs.append(roc_auc(binary, "_y", "_s"))
-    return sum(aucs) / len(aucs)
+def auc_per_class(df: DataFrame, label: str = "label", probabilities: str = "probabilities") -> DataFrame:
+    """M11 (multi-class): (class, roc_auc) of every class against the rest, from an array of scores whose
+    i-th item is the score of the rows labelled i.
+
+    One histogram holds the scores of all classes (rows of a class and score, those of the class and
+    others counted apart). With the number of other rows below each score, by prefix sums over ranges
+    of scores, the area is the rank sum ``sum(own * (others below + others equal / 2)) / (own * others)``. A
+    class that no row or every row has gives NULL."""
+    own = F.col("_y") == F.col("_i")
+    scores = df.where(F.col(label).isNotNull()).select(F.col(label).cast("double").alias("_y"), F.posexplode(probabilities).alias("_i", "_s"))
+    hist = scores.groupBy("_i", "_s").agg(F.count_if(own).alias("_own"), F.count_if(~own).alias("_other"))
+    ranked = prefix_sums(hist, ["_i"], ["_s"], {"_other": "_below"})
+    n = F.sum("_own") * F.sum("_other")
+    area = F.sum(F.col("_own") * (F.col("_below") + F.col("_other") / 2))
+    return ranked.groupBy(F.col("_i").alias("class")).agg(F.when(n > 0, area / n).alias("roc_auc"))
+
+
+def roc_auc_ovr(df: DataFrame, label: str = "label", probabilities: str = "probabilities") -> DataFrame:
+    """M11 (multi-class): the mean of the classes' areas (``auc_per_class``), one row."""
+    return auc_per_class(df, label, probabilities).agg(F.avg("roc_auc").alias("roc_auc_macro"))
 
 
 def auc_table(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:

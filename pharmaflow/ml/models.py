@@ -1,23 +1,36 @@
-"""Classifiers, training loop, importance, search, scoring, persistence
-(M5-M8, M16-M19). All fits are Spark ML estimators (distributed); only
-parameters and metrics reach the driver."""
+"""Models, training loop, importance, search, scoring, persistence
+(M5-M9, M16-M19). All fits are Spark ML estimators (distributed); only
+parameters and metrics reach the driver.
+
+Classes are a table (value, label) that is joined, never a list of literals, so a target
+may have any number of them. Cross-validation and search prepare every fold once
+(``prepared_folds``); all trials read the prepared rows.
+"""
 
 from __future__ import annotations
 
 import json
 import random
+import statistics
 import time
+import uuid
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, OneVsRest,
                                        RandomForestClassifier)
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from .prep import preprocessor_stages
-from .split import class_weights
+from ..operators.prefix import dense_ids
+from ..operators.small import small
+from ..session import ensure_checkpoint_dir, scratch_path
+from .fits import PARALLELISM, run_fits
+from .prep import TableEncoder, preprocessor_stages
+from .split import class_weights, fold_ids, weight_table
 
 MAX_TREE_DEPTH = 30  # Spark's limit, taken for "unlimited"; an explicit depth beyond it raises
 
@@ -28,12 +41,30 @@ ALGORITHMS = {
     "gradient_boosting": {"n_estimators": 300, "learning_rate": 0.1, "max_depth": 3},
 }
 
+# The predefined search spaces, by algorithm.
+PARAM_SPACES = {
+    "logistic_regression": {"C": ("log", 0.001, 100), "max_iter": ("int", 100, 2000), "class_weight": ("choice", [None, "balanced"])},
+    "random_forest": {"n_estimators": ("int", 50, 500), "max_depth": ("int", 3, 20), "min_samples_split": ("int", 2, 20),
+                      "min_samples_leaf": ("int", 1, 10), "class_weight": ("choice", [None, "balanced"])},
+    "gradient_boosting": {"n_estimators": ("int", 50, 500), "learning_rate": ("float", 0.01, 0.3), "max_depth": ("int", 2, 10),
+                          "min_samples_split": ("int", 2, 20), "min_samples_leaf": ("int", 1, 10)},
+}
+
+#: Algorithms whose target is a number; the others predict classes.
+REGRESSORS = {
+    "linear_regression": {"alpha": 0.0, "max_iter": 100},
+    "random_forest_regressor": {"n_estimators": 100, "max_depth": None},
+    "gradient_boosting_regressor": {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 3},
+}
 
 #: Parameters that each algorithm takes; any other name is refused.
 KNOWN = {
-    "logistic_regression": {"max_iter", "class_weight", "C"},
+    "logistic_regression": {"max_iter", "class_weight", "C", "tol"},
     "random_forest": {"n_estimators", "max_depth", "class_weight", "min_samples_leaf", "min_samples_split"},
     "gradient_boosting": {"n_estimators", "learning_rate", "max_depth", "min_samples_leaf", "min_samples_split"},
+    "linear_regression": {"alpha", "max_iter"},
+    "random_forest_regressor": {"n_estimators", "max_depth", "min_samples_leaf", "min_samples_split"},
+    "gradient_boosting_regressor": {"n_estimators", "learning_rate", "max_depth", "min_samples_leaf", "min_samples_split"},
 }
 
 
@@ -60,16 +91,17 @@ def estimator(name: str, n_rows: int, n_classes: int, params: Mapping | None = N
 
     Logistic regression: sklearn's C -> ``regParam = 1 / (C * n)`` with
     unstandardized L2. Random forest: unlimited depth is 30. Gradient boosting:
-    binary ``GBTClassifier``; more classes go through ``OneVsRest``.
+    binary ``GBTClassifier``; more classes go through ``OneVsRest``. Linear
+    regression: the squared error plus ``alpha`` times the squared norm, as a sum over the rows.
     """
-    p = dict(ALGORITHMS.get(name, {}))
+    p = dict(ALGORITHMS.get(name, REGRESSORS.get(name, {})))
     p.update(params or {})
     if name in KNOWN and set(p) - KNOWN[name]:
         raise ValueError(f"{name} takes no {sorted(set(p) - KNOWN[name])}")
     if name == "logistic_regression":
         est = LogisticRegression(maxIter=int(p.get("max_iter", 100)),
                                  regParam=1.0 / (float(p.get("C", 1.0)) * max(n_rows, 1)),
-                                 elasticNetParam=0.0, standardization=False,
+                                 elasticNetParam=0.0, standardization=False, tol=float(p.get("tol", 1e-6)),
                                  labelCol=label, featuresCol=features)
         if weight and p.get("class_weight") == "balanced":
             est.setWeightCol(weight)
@@ -86,76 +118,135 @@ def estimator(name: str, n_rows: int, n_classes: int, params: Mapping | None = N
                             maxDepth=_depth(p.get("max_depth", 3)), **_tree_params(p), seed=seed, labelCol=label, featuresCol=features)
         return gbt if n_classes <= 2 else OneVsRest(classifier=gbt, labelCol=label, featuresCol=features,
                                                     parallelism=min(n_classes, 4))
+    if name == "linear_regression":
+        return LinearRegression(maxIter=int(p["max_iter"]), regParam=float(p["alpha"]) / max(n_rows, 1),
+                                elasticNetParam=0.0, standardization=False, labelCol=label, featuresCol=features)
+    if name == "random_forest_regressor":
+        return RandomForestRegressor(numTrees=int(p["n_estimators"]), maxDepth=_depth(p["max_depth"]), **_tree_params(p),
+                                     seed=seed, labelCol=label, featuresCol=features)
+    if name == "gradient_boosting_regressor":
+        return GBTRegressor(maxIter=int(p["n_estimators"]), stepSize=float(p["learning_rate"]), maxDepth=_depth(p["max_depth"]),
+                            **_tree_params(p), seed=seed, labelCol=label, featuresCol=features)
     raise ValueError(f"unknown algorithm {name}")
 
 
 def class_values(df: DataFrame, target: str) -> list:
-    """The classes of ``target`` in order; their number is the model's own size."""
+    """The classes of ``target`` in order, for a caller that knows them to be few."""
     return [r[0] for r in df.where(F.col(target).isNotNull()).select(target).distinct()
             .orderBy(target).collect()]
 
 
-def prepare_label(df: DataFrame, target: str, label: str = "label", classes: list | None = None):
-    """Target -> double label 0..k-1 in sorted class order (GBT needs {0,1}), and
-    the classes. Give the ``classes`` of the full data when ``df`` is a part of
-    it: a part that lacks a class must not number the others anew."""
+def class_table(df: DataFrame, target: str) -> DataFrame:
+    """(value, label): the classes of ``target`` numbered 0.0, 1.0, ... in order, by prefix counts
+    over ranges of values; written once."""
+    values = df.where(F.col(target).isNotNull()).select(F.col(target).alias("value"))
+    ids = dense_ids(values, [], ["value"], "label").select("value", F.col("label").cast("double").alias("label"))
+    path = scratch_path(df.sparkSession, f"classes-{uuid.uuid4().hex[:12]}")
+    ids.write.parquet(path)
+    return df.sparkSession.read.schema(ids.schema).parquet(path)
+
+
+def _as_table(df: DataFrame, target: str, classes) -> DataFrame:
     if classes is None:
-        classes = class_values(df, target)
-    if not classes:
-        return df.withColumn(label, F.lit(None).cast("double")), classes
-    m = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(c), F.lit(float(i)))])
-    return df.withColumn(label, F.try_element_at(m, F.col(target))), classes
+        return class_table(df, target)
+    if isinstance(classes, DataFrame):
+        return classes
+    schema = StructType([StructField("value", df.schema[target].dataType), StructField("label", DoubleType())])
+    return df.sparkSession.createDataFrame([(c, float(i)) for i, c in enumerate(classes)], schema)
 
 
-def train(df: DataFrame, target: str, numeric: Sequence[str], categorical: Sequence[str],
-          algorithm: str, params: Mapping | None = None, seed: int = 42,
-          encoding: str = "onehot", classes: list | None = None) -> PipelineModel:
-    """M5-M7: fit preprocessor + classifier as one PipelineModel on ``df``
-    (rows with a NULL target are dropped; balanced weights added).
-    ``encoding="hash"`` hashes categorical columns (see ``prep``); ``classes``
-    as for ``prepare_label``."""
+def prepare_label(df: DataFrame, target: str, label: str = "label", classes=None):
+    """Target -> double label 0..k-1 in sorted class order (GBT needs {0,1}), and
+    the classes as a table (``class_table``). Give the ``classes`` of the full data, as a table or
+    a list, when ``df`` is a part of it: a part that lacks a class must not number the others anew. A
+    value that is no class has no label."""
+    classes = _as_table(df, target, classes)
+    named = small(classes.select(F.col("value").alias("_class"), F.col("label").alias("_number")))
+    out = df.drop(label).join(named, F.col(target) == F.col("_class"), "left").withColumn(label, F.col("_number"))
+    return out.drop("_class", "_number"), classes
+
+
+class EncodedModel:
+    """A fitted model behind a ``TableEncoder``; used like a ``PipelineModel``."""
+
+    def __init__(self, encoder: TableEncoder, model):
+        self.encoder, self.model, self.stages = encoder, model, [model]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.model.transform(self.encoder.transform(df))
+
+    def save(self, df: DataFrame, path: str) -> None:
+        self.encoder.save(df, f"{path}/encoder")
+        PipelineModel([self.model]).write().overwrite().save(f"{path}/model")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "EncodedModel":
+        return cls(TableEncoder.load(spark, f"{path}/encoder"), PipelineModel.load(f"{path}/model").stages[0])
+
+
+def _labelled(df: DataFrame, target: str, algorithm: str, classes) -> tuple[DataFrame, int]:
+    """Rows with a target, its number as ``label`` and balanced weights; and the number of classes."""
     data = df.where(F.col(target).isNotNull())
+    if algorithm in REGRESSORS:
+        return data.withColumn("label", F.col(target).cast("double")), 0
     data, classes = prepare_label(data, target, classes=classes)
-    data = class_weights(data, "label")
-    n = data.count()
-    stages = preprocessor_stages(data, numeric, categorical, encoding=encoding)
-    est = estimator(algorithm, n, len(classes), params, seed=seed)
-    return _persisted(Pipeline(stages=stages + [est]).fit(data), algorithm)
+    return class_weights(data, "label"), classes.count()
 
 
-def _persisted(model: PipelineModel, label: str) -> PipelineModel:
-    """Save the fitted classifier under the shared checkpoint dir and reload it.
+def train(df: DataFrame, target: str, numeric: Sequence[str], categorical: Sequence[str],
+          algorithm: str, params: Mapping | None = None, seed: int = 42,
+          encoding: str = "onehot", classes=None):
+    """M5-M7: fit preprocessor + model as one PipelineModel on ``df``
+    (rows with a NULL target are dropped; balanced weights added). The rows are prepared once
+    and kept while the constants and the model are fitted.
+    ``encoding="hash"`` hashes categorical columns, ``"table"`` keeps their vocabularies as
+    tables (see ``prep``; the model is then an ``EncodedModel``); ``classes`` as for ``prepare_label``."""
+    ensure_checkpoint_dir(df.sparkSession)
+    data, k = _labelled(df, target, algorithm, classes)
+    used = dict.fromkeys([*numeric, *categorical, "label", *(["weight"] if "weight" in data.columns else [])])
+    data = data.select(*used).persist()
+    try:
+        n = data.count()
+        est = estimator(algorithm, n, k, params, seed=seed)
+        if encoding == "table":
+            encoder = TableEncoder.fit(data, numeric, categorical)
+            return EncodedModel(encoder, _without_summary(df.sparkSession, est.fit(encoder.transform(data)), algorithm))
+        stages = preprocessor_stages(data, numeric, categorical, encoding=encoding)
+        fitted = Pipeline(stages=stages + [est]).fit(data)
+        return PipelineModel(fitted.stages[:-1] + [_without_summary(df.sparkSession, fitted.stages[-1], algorithm)])
+    finally:
+        data.unpersist()
+
+
+def _without_summary(spark: SparkSession, model, label: str):
+    """Save the fitted model under the shared checkpoint dir and reload it.
 
     A reloaded model carries no training summary. The summary holds the
     session, and once a session has used an ``Observation`` it can no longer
-    be serialized into the model's prediction tasks. Only the last stage has
-    a summary, so only that stage is saved and reloaded.
+    be serialized into the model's prediction tasks.
     """
-    import uuid
-    from ..session import scratch_path
-    last = model.stages[-1]
-    if not getattr(last, "hasSummary", False):
+    if not getattr(model, "hasSummary", False):
         return model
-    spark = SparkSession.getActiveSession()
     path = scratch_path(spark, f"fitted-{label}-{uuid.uuid4().hex[:12]}")
-    last.write().overwrite().save(path)
-    return PipelineModel(model.stages[:-1] + [type(last).load(path)])
+    model.write().overwrite().save(path)
+    return type(model).load(path)
 
 
 def train_all(df: DataFrame, target: str, numeric, categorical,
-              algorithms: Mapping[str, Mapping] | None = None, seed: int = 42, fit=None):
-    """M8: fit every configured algorithm; a failure is recorded and the
-    others go on. Returns ({name: model}, [(name, status, error, seconds)]).
-    ``fit`` replaces ``train`` (same arguments), e.g. to reuse earlier fits."""
-    fit = fit or train
+              algorithms: Mapping[str, Mapping] | None = None, seed: int = 42, parallelism: int = PARALLELISM):
+    """M8: fit every configured algorithm, several at a time (``fits``); a failure is recorded and the
+    others go on. Returns ({name: model}, [(name, status, error, seconds)])."""
+    algorithms = algorithms or ALGORITHMS
+    classes = None if all(a in REGRESSORS for a in algorithms) else class_table(df, target)
+
+    def fit(name: str):
+        return lambda: train(df, target, numeric, categorical, name, algorithms[name], seed, classes=classes)
+
     models, log = {}, []
-    for name, params in (algorithms or ALGORITHMS).items():
-        t0 = time.time()
-        try:
-            models[name] = fit(df, target, numeric, categorical, name, params, seed)
-            log.append((name, "ok", None, time.time() - t0))
-        except Exception as e:  # recorded, not raised
-            log.append((name, "failed", f"{type(e).__name__}: {e}", time.time() - t0))
+    for name, (model, error, seconds) in run_fits(df.sparkSession, {n: fit(n) for n in algorithms}, parallelism).items():
+        if error is None:
+            models[name] = model
+        log.append((name, "ok" if error is None else "failed", error and f"{type(error).__name__}: {error}", seconds))
     return models, log
 
 
@@ -215,54 +306,134 @@ def sample_space(space: Mapping[str, tuple], n_trials: int, seed: int = 42) -> l
     return trials
 
 
-_METRIC_COLUMNS = {"accuracy": "accuracy", "f1": "f1_macro", "precision": "precision_macro",
-                   "recall": "recall_macro"}
+CV_SCORES = ("accuracy", "precision", "recall", "f1", "roc_auc")
+REGRESSION_SCORES = ("mse", "mae", "r2")
+SCORING = {"neg_mean_squared_error": ("mse", -1.0), "neg_mean_absolute_error": ("mae", -1.0)}
+
+
+@dataclass
+class Folds:
+    """Prepared folds: for each one, all rows as the constants of its training part encode them."""
+    spark: SparkSession
+    path: str
+    folds: int
+    classes: int  # 0 for regression
+    rows: list[int]  # training rows of each fold
+
+    def part(self, fold: int) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/fold={fold}")
+
+
+def prepared_folds(df: DataFrame, target: str, numeric, categorical, key_cols: Sequence[str], folds: int = 5,
+                   seed: int = 42, encoding: str = "onehot", regression: bool = False) -> Folds:
+    """M9: assign folds (stratified by class, plain for regression) and write, for every fold, label,
+    weight, features and whether the row is tested. Imputation, scaling and encoding are fitted on the
+    fold's training rows, once, whatever is tried on them afterwards."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    algorithm = next(iter(REGRESSORS if regression else ALGORITHMS))
+    classes = None if regression else class_table(df, target)
+    kept = df.where(F.col(target).isNotNull()).select(*dict.fromkeys([*key_cols, *numeric, *categorical, target]))
+    data = fold_ids(kept, None if regression else target, list(key_cols), k=folds, seed=seed, col="_fold").checkpoint(eager=True)
+    path, counts = scratch_path(spark, f"folds-{uuid.uuid4().hex[:12]}"), []
+    for f in range(folds):
+        rows = data.withColumn("_test", F.col("_fold") == f)
+        rows, _ = _labelled(rows, target, algorithm, classes) if regression else (prepare_label(rows, target, classes=classes)[0], 0)
+        train_rows = rows.where(~F.col("_test"))
+        if encoding == "table":
+            out = TableEncoder.fit(train_rows, numeric, categorical).transform(rows)
+        else:
+            out = Pipeline(stages=preprocessor_stages(train_rows, numeric, categorical, encoding=encoding)).fit(train_rows).transform(rows)
+        if regression:
+            out = out.withColumn("weight", F.lit(1.0))
+        else:
+            out = out.join(weight_table(train_rows, "label"), "label", "left")
+        out.select("label", "weight", "features", "_test").write.parquet(f"{path}/fold={f}")
+        counts.append(spark.read.parquet(f"{path}/fold={f}").where("NOT _test").count())
+    return Folds(spark, path, folds, 0 if regression else classes.count(), counts)
+
+
+def _fold_scores(folds: Folds, f: int, algorithm: str, params: Mapping | None, seed: int, scores: Sequence[str]) -> dict[str, float]:
+    """Fit on the training part of a fold; all scores from the predictions of the rest."""
+    from . import evaluate as EV
+    part = folds.part(f)
+    est = estimator(algorithm, folds.rows[f], folds.classes, params, seed=seed)
+    pred = _without_summary(folds.spark, est.fit(part.where("NOT _test")), algorithm).transform(part.where("_test"))
+    if algorithm in REGRESSORS:
+        vals = EV.regression_metrics(pred).first().asDict()
+    else:
+        m = EV.classification_metrics(pred, "label", "prediction").first()
+        vals = {"accuracy": m["accuracy"], "precision": m["precision_macro"], "recall": m["recall_macro"], "f1": m["f1_macro"]}
+        if "roc_auc" in scores and "probability" in pred.columns:
+            probs = pred.select("label", vector_to_array("probability").alias("p"))
+            vals["roc_auc"] = EV.roc_auc(probs.select("label", F.col("p")[1].alias("s")), "label", "s") if folds.classes == 2 \
+                else EV.roc_auc_ovr(probs, "label", "p").first()[0]
+    return {k: float(vals[k]) for k in scores if vals.get(k) is not None}
+
+
+def cross_validate(df: DataFrame, target: str, numeric, categorical, algorithm: str,
+                   key_cols: Sequence[str], folds: int = 5, seed: int = 42,
+                   params: Mapping | None = None, scores: Sequence[str] | None = None,
+                   encoding: str = "onehot", parallelism: int = PARALLELISM) -> DataFrame:
+    """M9: k-fold scores, one fit per fold, every score from that fold's predictions. Classes: stratified
+    folds; precision/recall/f1 are macro averages, roc_auc is the mean over the classes when there are more
+    than two. Regressors: plain folds; mse, mae and r2. Returns (score, mean, std, folds) with the
+    population std."""
+    regression = algorithm in REGRESSORS
+    scores = scores or (REGRESSION_SCORES if regression else CV_SCORES)
+    data = prepared_folds(df, target, numeric, categorical, key_cols, folds, seed, encoding, regression)
+
+    def fit(f: int):
+        return lambda: _fold_scores(data, f, algorithm, params, seed, scores)
+
+    rows = []
+    for f, (vals, error, _) in run_fits(df.sparkSession, {f: fit(f) for f in range(folds)}, parallelism).items():
+        if error is not None:
+            raise error
+        rows += [(f, k, v) for k, v in vals.items()]
+    per_fold = df.sparkSession.createDataFrame(rows, "fold int, score string, value double")
+    return per_fold.groupBy("score").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"),
+                                         F.count(F.lit(1)).alias("folds"))
 
 
 def random_search(df: DataFrame, target: str, numeric, categorical, algorithm: str,
-                  space: Mapping[str, tuple], n_trials: int = 10, folds: int = 3,
-                  key_cols: Sequence[str] = (), seed: int = 42, metric: str = "accuracy",
-                  encoding: str = "onehot"):
-    """Random search maximizing the mean CV score over stratified hash
-    folds (M9). Each fold is fitted with ``train`` (so fitted models never
-    carry a session-holding training summary) and scored from that fold's
-    predictions.
+                  space: Mapping[str, tuple] | None = None, n_trials: int = 10, folds: int = 3,
+                  key_cols: Sequence[str] = (), seed: int = 42, metric: str | None = None,
+                  encoding: str = "onehot", parallelism: int = PARALLELISM):
+    """Random search maximizing the mean CV score (accuracy for classes, the negative mean squared
+    error for regressors) over ``space`` (default: the predefined one of the algorithm). The folds are
+    prepared once; trials run several at a time and a failed one is recorded.
 
     Returns (history DataFrame (trial, value, std, state, params), best params).
     """
-    from . import evaluate as EV
-    from .split import fold_ids
-    import statistics
-    col = _METRIC_COLUMNS[metric]
-    data = df.where(F.col(target).isNotNull())
-    data = fold_ids(data, target, list(key_cols) or [target], k=folds, seed=seed).checkpoint(eager=True)
-    trials = sample_space(space, n_trials, seed)
-    classes = class_values(data, target)
+    regression = algorithm in REGRESSORS
+    metric = metric or ("neg_mean_squared_error" if regression else "accuracy")
+    score, sign = SCORING.get(metric, (metric, 1.0))
+    if score not in (REGRESSION_SCORES if regression else CV_SCORES):
+        raise ValueError(f"no score {metric} for {algorithm}")
+    trials = sample_space(PARAM_SPACES[algorithm] if space is None else space, n_trials, seed)
+    data = prepared_folds(df, target, numeric, categorical, list(key_cols) or [target], folds, seed, encoding, regression)
+
+    def fit(p: Mapping):
+        return lambda: [sign * _fold_scores(data, f, algorithm, p, seed, (score,))[score] for f in range(folds)]
+
     results = []
-    for i, p in enumerate(trials):
-        try:
-            scores = []
-            for f in range(folds):
-                model = train(data.where(F.col("fold") != f), target, numeric, categorical, algorithm, p, seed,
-                              encoding, classes)
-                test = prepare_label(data.where(F.col("fold") == f), target, classes=classes)[0]
-                scores.append(float(EV.classification_metrics(model.transform(test)).first()[col]))
-            results.append((i, statistics.fmean(scores), statistics.pstdev(scores), "COMPLETE",
-                            json.dumps(p, sort_keys=True)))
-        except Exception as e:  # a failed trial is recorded
-            results.append((i, None, None, "FAIL", json.dumps({"error": str(e), **p}, default=str)))
-    spark = df.sparkSession
-    hist = spark.createDataFrame(results, "trial int, value double, std double, state string, params string")
+    for i, (vals, error, _) in run_fits(df.sparkSession, {i: fit(p) for i, p in enumerate(trials)}, parallelism).items():
+        if error is None:
+            results.append((i, statistics.fmean(vals), statistics.pstdev(vals), "COMPLETE", json.dumps(trials[i], sort_keys=True)))
+        else:
+            results.append((i, None, None, "FAIL", json.dumps({"error": str(error), **trials[i]}, default=str)))
+    hist = df.sparkSession.createDataFrame(results, "trial int, value double, std double, state string, params string")
     done = [r for r in results if r[1] is not None]
     best = json.loads(max(done, key=lambda r: (r[1], -r[0]))[4]) if done else None
     return hist, best
 
 
 # ---------------------------------------------------------------- M18
-def score(model: PipelineModel, df: DataFrame, model_name: str,
-          classes: Sequence | None = None) -> DataFrame:
+def score(model, df: DataFrame, model_name: str, classes=None) -> DataFrame:
     """Prediction, probability per class, confidence = max probability,
-    model name and scoring time, for every row of ``df``."""
+    model name and scoring time, for every row of ``df``. ``classes`` (a table or a list) turns the
+    predicted number back into its class, as text."""
     out = model.transform(df)
     if "probability" in out.columns:
         probs = vector_to_array(F.col("probability"))
@@ -275,9 +446,11 @@ def score(model: PipelineModel, df: DataFrame, model_name: str,
         total = F.aggregate(ex, F.lit(0.0), lambda a, x: a + x)
         probs = F.transform(ex, lambda x: x / total)
     pred = F.col("prediction")
-    if classes:
-        m = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(float(i)), F.lit(c).cast("string"))])
-        pred = m[F.col("prediction")]
+    if classes is not None:
+        if not isinstance(classes, DataFrame):
+            classes = df.sparkSession.createDataFrame([(str(c), float(i)) for i, c in enumerate(classes)], "value string, label double")
+        named = small(classes.select(F.col("value").cast("string").alias("_class"), F.col("label").alias("_number")))
+        out, pred = out.join(named, F.col("prediction") == F.col("_number"), "left"), F.col("_class")
     return out.select(*df.columns, pred.alias("predicted"), probs.alias("probabilities"),
                       F.array_max(probs).alias("confidence"), F.lit(model_name).alias("model_name"),
                       F.current_timestamp().alias("scored_at"))
@@ -299,11 +472,14 @@ MODEL_META = StructType([StructField("model_name", StringType()), StructField("a
                          StructField("saved_at", LongType())])
 
 
-def save_model(spark: SparkSession, model: PipelineModel, root: str, name: str, algorithm: str,
+def save_model(spark: SparkSession, model, root: str, name: str, algorithm: str,
                features: Sequence[str]) -> str:
     """Overwrite-save the pipeline and append its metadata row."""
     path = f"{root.rstrip('/')}/models/{name}"
-    model.write().overwrite().save(path)
+    if isinstance(model, EncodedModel):
+        model.save(spark.range(0), path)
+    else:
+        model.write().overwrite().save(path)
     meta = spark.createDataFrame([(name, algorithm, json.dumps(list(features)), path, int(time.time()))],
                                  MODEL_META)
     meta.write.mode("append").parquet(f"{root.rstrip('/')}/model_index")
@@ -319,44 +495,3 @@ def list_models(spark: SparkSession, root: str) -> DataFrame:
     from ..operators.dedup import latest_per_group
     idx = spark.read.schema(MODEL_META).parquet(f"{root.rstrip('/')}/model_index")
     return latest_per_group(idx, ["model_name"], "saved_at", tie=["path"])
-
-
-__all__ = ["estimator", "train", "train_all", "feature_importance", "random_search", "score",
-           "score_check", "save_model", "load_model", "list_models", "sample_space"]
-
-
-# ---------------------------------------------------------------- M9 scores
-CV_SCORES = ("accuracy", "precision", "recall", "f1", "roc_auc")
-
-
-def cross_validate(df: DataFrame, target: str, numeric, categorical, algorithm: str,
-                   key_cols: Sequence[str], folds: int = 5, seed: int = 42,
-                   params: Mapping | None = None, scores: Sequence[str] = CV_SCORES,
-                   encoding: str = "onehot") -> DataFrame:
-    """M9: stratified k-fold scores, one fit per fold, every score from that
-    fold's predictions. precision/recall/f1 are macro averages; roc_auc is
-    binary only (skipped otherwise). Returns (score, mean, std) with the
-    population std, plus one row per (fold, score) as ``fold_scores``."""
-    from . import evaluate as EV
-    from .split import fold_ids
-    data = df.where(F.col(target).isNotNull())
-    data = fold_ids(data, target, list(key_cols), k=folds, seed=seed)
-    data = data.checkpoint(eager=True)  # every fold reads the same assignment
-    classes = class_values(data, target)
-    rows = []
-    for i in range(folds):
-        model = train(data.where(F.col("fold") != i), target, numeric, categorical, algorithm, params, seed,
-                      encoding, classes)
-        test = prepare_label(data.where(F.col("fold") == i), target, classes=classes)[0]
-        pred = model.transform(test)
-        m = EV.classification_metrics(pred, "label", "prediction").first()
-        vals = {"accuracy": m["accuracy"], "precision": m["precision_macro"],
-                "recall": m["recall_macro"], "f1": m["f1_macro"]}
-        if "roc_auc" in scores and len(classes) == 2 and "probability" in pred.columns:
-            vals["roc_auc"] = EV.roc_auc(pred.select("label", vector_to_array("probability")[1].alias("s")),
-                                         "label", "s")
-        rows += [(i, k, float(v)) for k, v in vals.items() if k in scores and v is not None]
-    spark = df.sparkSession
-    per_fold = spark.createDataFrame(rows, "fold int, score string, value double")
-    return per_fold.groupBy("score").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"),
-                                         F.count(F.lit(1)).alias("folds"))

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..operators.dedup import best_per_group, latest_per_group
+from ..session import path_exists
 
 RUNS = StructType([StructField(n, t) for n, t in [
     ("run_id", StringType()), ("experiment", StringType()), ("status", StringType()),
@@ -67,11 +68,11 @@ class RunLog:
         return self.spark.read.schema(RUNS).parquet(self.runs_path)
 
     def versions(self) -> DataFrame | None:
-        try:
-            raw = self.spark.read.schema(VERSIONS).parquet(self.versions_path)
-            return latest_per_group(raw, ["name", "version"], "updated_at")
-        except Exception:
+        """The latest row of every version; None before the first one."""
+        if not path_exists(self.spark, self.versions_path):
             return None
+        raw = self.spark.read.schema(VERSIONS).parquet(self.versions_path)
+        return latest_per_group(raw, ["name", "version"], "updated_at")
 
 
 def metric(col: str, name: str):

@@ -85,14 +85,18 @@ def group_summary(df: DataFrame, keys: Sequence[str], serious_col: str = "seriou
                   serious_true=1) -> DataFrame:
     """Per key group: event count, SUM(serious) (a sum of codes, as the
     dashboard shipped it), count of serious = ``serious_true``, first/last
-    date; largest groups first, keys break ties."""
+    date as 'yyyyMMdd'; largest groups first, keys break ties. ``date_col`` is a
+    date or a 'yyyyMMdd' code (anything else in it is no date); dates are
+    aggregated, not their text, so a hash aggregate combines them."""
     s = _numeric(df, serious_col, "long")
+    kind = df.schema[date_col].dataType.typeName()
+    d = F.col(date_col).cast("date") if kind in ("date", "timestamp", "timestamp_ntz") else parse_yyyymmdd(date_col)
     out = (df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("event_count"),
         F.sum(s).alias("serious_count"),
         F.count_if(s == F.lit(serious_true)).alias("serious_true_count"),
-        F.min(date_col).alias("first_event"),
-        F.max(date_col).alias("last_event")))
+        F.date_format(F.min(d), "yyyyMMdd").alias("first_event"),
+        F.date_format(F.max(d), "yyyyMMdd").alias("last_event")))
     out = out.orderBy(F.col("event_count").desc(), *[F.col(k).asc_nulls_last() for k in keys])
     return out.limit(n) if n else out
 

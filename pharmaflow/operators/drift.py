@@ -35,46 +35,44 @@ def _unpivot(df: DataFrame, cols: Sequence[str], cast: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- D1
+def _per_column(df: DataFrame, cols: Sequence[str], measures: dict) -> DataFrame:
+    """(feature, measures...) from one aggregate over the columns themselves, without a row per
+    column. ``measures`` maps names to functions of a column's value."""
+    values = [_clean(df, c).cast("double") for c in cols]
+    row = df.agg(*[make(v).alias(f"{name}{i}") for i, v in enumerate(values) for name, make in measures.items()])
+    return row.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), *[F.col(f"{name}{i}").alias(name) for name in measures])
+        for i, c in enumerate(cols)])).alias("u")).select("u.*")
+
+
+def numeric_medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(feature, median): exact medians of the columns that have values."""
+    return quantiles(_unpivot(df, cols, "double"), [0.5]).withColumnRenamed("q0", "median")
+
+
+MOMENTS = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max,
+           "missing_ratio": lambda v: F.count_if(v.isNull()) / F.count(F.lit(1)),
+           "rows": lambda v: F.count(F.lit(1))}
+
+
 def numeric_stats(df: DataFrame, cols: Sequence[str], approx: bool = False,
-                  accuracy: int = 10000, exact_limit: int | None = None) -> DataFrame:
+                  accuracy: int = 10000, **options) -> DataFrame:
     """Per numeric feature: mean, sample std, min, max, median, q25, q75,
-    missing ratio, rows. Quartiles are exact and linear-interpolated
-    (``operators.quantiles``: ``percentile`` for small groups, a bracketed
-    distributed method for large ones); ``approx=True`` uses
-    ``percentile_approx`` with the given accuracy instead.
-
-    Two scans: the moments aggregate (which also gives each feature's value
-    count, so the quantiles need no counting pass of their own), then the
-    quantiles. The result has one row per feature, assembled from the two
-    small collected results."""
-    from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
-    long = _unpivot(df, cols, "double")
-    v = F.col("value")
-    base = {r["feature"]: r for r in long.groupBy("feature").agg(
-        F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"), F.max(v).alias("max"),
-        (F.count_if(v.isNull()) / F.count(F.lit(1))).alias("missing_ratio"),
-        F.count(F.lit(1)).alias("rows"), F.count(v).alias("_nn")).collect()}
+    missing ratio, rows. The moments are one aggregate over the columns. Quartiles
+    are exact and linear-interpolated (``operators.quantiles``, which takes
+    ``options``); ``approx=True`` takes ``percentile_approx`` with the given
+    accuracy in the same aggregate instead."""
+    order = ["feature", "mean", "std", "min", "max", "median", "q25", "q75", "missing_ratio", "rows"]
+    if not cols:
+        raise ValueError("no columns")
     if approx:
-        qrows = long.groupBy("feature").agg(
-            F.percentile_approx(v, [0.25, 0.5, 0.75], accuracy).alias("_q")).collect()
-        q = {r["feature"]: [float(x) if x is not None else None for x in (r["_q"] or [None] * 3)]
-             for r in qrows}
-    else:
-        kw = {} if exact_limit is None else {"exact_limit": exact_limit}
-        qdf = quantiles(long, [0.25, 0.5, 0.75], sizes={f: r["_nn"] for f, r in base.items()}, **kw)
-        q = {r["feature"]: [r["q0"], r["q1"], r["q2"]] for r in qdf.collect()}
-    rows = []
-    for f in cols:
-        r = base[f]
-        q25, med, q75 = q.get(f, [None, None, None])
-        rows.append((f, r["mean"], r["std"], r["min"], r["max"], med, q25, q75,
-                     float(r["missing_ratio"]), int(r["rows"])))
-    schema = StructType([StructField("feature", StringType())] +
-                        [StructField(c, DoubleType()) for c in
-                         ["mean", "std", "min", "max", "median", "q25", "q75", "missing_ratio"]] +
-                        [StructField("rows", LongType())])
-    return df.sparkSession.createDataFrame(rows, schema)
+        more = {"q": lambda v: F.percentile_approx(v, [0.25, 0.5, 0.75], accuracy)}
+        at = {n: F.col("q")[i] for i, n in enumerate(["q25", "median", "q75"])}
+        return _per_column(df, cols, MOMENTS | more).withColumns(at).select(*order)
+    q = quantiles(_unpivot(df, cols, "double"), [0.25, 0.5, 0.75], **options).withColumnsRenamed(
+        {"q0": "q25", "q1": "median", "q2": "q75"})
+    # one row per column on either side
+    return _per_column(df, cols, MOMENTS).join(F.broadcast(q), "feature", "left").select(*order)
 
 
 # ---------------------------------------------------------------- D2
@@ -140,19 +138,12 @@ def _materialized_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 # ---------------------------------------------------------------- D3 / D4
 def prediction_stats(df: DataFrame, col: str) -> DataFrame:
     """D3: mean, population std, min, max, exact median of predictions (one row)."""
-    from pyspark.sql.types import DoubleType, StructField, StructType
-    v = F.col(col).cast("double")
-    # scan 1: moments and the value count; scan 2: the exact median
-    b = df.agg(F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"),
-               F.min(v).alias("min"), F.max(v).alias("max"), F.count(v).alias("_n")).first()
-    med = None
-    if b["_n"]:
-        med = quantiles(df.select(F.lit(0).alias("_k"), v.alias("value")), [0.5], group="_k",
-                        sizes={0: b["_n"]}).first()["q0"]
-    names = ["mean", "std", "min", "max", "median"]
-    return df.sparkSession.createDataFrame(
-        [(b["mean"], b["std"], b["min"], b["max"], med)],
-        StructType([StructField(c, DoubleType()) for c in names]))
+    rows = df.select(F.lit(0).alias("feature"), F.col(col).cast("double").alias("value"))
+    v = F.col("value")
+    stats = rows.agg(F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"),
+                     F.lit(0).alias("feature"))
+    return stats.join(F.broadcast(quantiles(rows, [0.5])), "feature", "left").select(
+        "mean", "std", "min", "max", F.col("q0").alias("median"))
 
 
 def prediction_histogram(df: DataFrame, col: str) -> DataFrame:
@@ -199,10 +190,7 @@ def numeric_drift(base_stats: DataFrame, current: DataFrame, cols: Sequence[str]
     not > 0); drift when score > threshold. A feature whose current values
     are all missing drifts with type 'missing_data' and score 0. Features
     absent from the baseline are skipped."""
-    v = F.col("value")
-    cur = (_unpivot(current, cols, "double").groupBy("feature")
-           .agg(F.avg(v).alias("current_mean"), F.stddev_samp(v).alias("current_std"),
-                F.count(v).alias("current_n")))
+    cur = _per_column(current, cols, {"current_mean": F.avg, "current_std": F.stddev_samp, "current_n": F.count})
     b = base_stats.select("feature", F.col("mean").alias("baseline_mean"),
                           F.col("std").alias("baseline_std"))
     j = cur.join(b, "feature")  # one row per feature on both sides
@@ -319,11 +307,6 @@ def monitoring_summary(points: DataFrame, baselines: DataFrame | None = None,
     return out
 
 
-def category_dist(df: DataFrame, cols: Sequence[str], top: int | None = None) -> DataFrame:
-    """Value shares per categorical feature (see ``value_dist``)."""
-    return value_dist(df, cols, top=top)
-
-
 def drift(base_df: DataFrame, current: DataFrame, numeric: Sequence[str],
           categorical: Sequence[str], compat: bool = False) -> tuple[DataFrame, DataFrame]:
     """D5-D7 in one call: per-feature drift rows and the overall row.

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import parse_timestamp, strip_ws, first_value, strip_prefix
-from ..schemas import EVENT_COLUMNS
+from ..schemas import EVENT_COLUMNS, RESOURCE_FIELDS
 from .dedup import keep_first
 
 DEDUP_KEYS = ["safetyreportid", "reaction", "medicinalproduct", "drugauthorizationnumb"]
@@ -79,30 +79,30 @@ def _ref(c):
     return F.col(c)["reference"]
 
 
-RESOURCE_KINDS = ["Patient", "Encounter", "Condition", "Observation", "MedicationRequest"]
+#: The flat table of each resource kind: its name, and the columns it takes from a resource.
+_TABLES = {
+    "Patient": ("patients", lambda: ["id", "gender", "birthDate"]),
+    "Encounter": ("encounters", lambda: ["id", _ref("subject").alias("patient"), F.col("period.start").alias("start"),
+                                         F.col("period.end").alias("end")]),
+    "Condition": ("conditions", lambda: ["id", _ref("subject").alias("patient"), F.col("code.text").alias("code")]),
+    "Observation": ("observations", lambda: ["id", _ref("subject").alias("patient"), F.col("code.text").alias("code"),
+                                             F.col("valueQuantity.value").alias("value")]),
+    "MedicationRequest": ("medications", lambda: ["id", _ref("subject").alias("patient"),
+                                                  F.col("medicationCodeableConcept.text").alias("medication")]),
+}
+RESOURCE_KINDS = list(_TABLES)
 
 
 def fhir_tables(resources: DataFrame) -> dict[str, DataFrame]:
-    """The five flat tables from exploded resources (missing -> NULL).
+    """The flat tables from exploded resources (missing -> NULL): all five, or those of
+    the kinds whose fields were read (``schemas.bundle``).
 
-    ``resources`` should be materialized once (``stage_resources``) when all
-    five are computed, so the JSON is parsed a single time.
+    ``resources`` should be materialized once (``stage_resources``) when several
+    are computed, so the JSON is parsed a single time.
     """
-    rt = F.col("resourceType")
-    return {
-        "patients": resources.where(rt == "Patient").select("id", "gender", "birthDate"),
-        "encounters": resources.where(rt == "Encounter").select(
-            "id", _ref("subject").alias("patient"),
-            F.col("period.start").alias("start"), F.col("period.end").alias("end")),
-        "conditions": resources.where(rt == "Condition").select(
-            "id", _ref("subject").alias("patient"), F.col("code.text").alias("code")),
-        "observations": resources.where(rt == "Observation").select(
-            "id", _ref("subject").alias("patient"), F.col("code.text").alias("code"),
-            F.col("valueQuantity.value").alias("value")),
-        "medications": resources.where(rt == "MedicationRequest").select(
-            "id", _ref("subject").alias("patient"),
-            F.col("medicationCodeableConcept.text").alias("medication")),
-    }
+    return {name: resources.where(F.col("resourceType") == kind).select(*columns())
+            for kind, (name, columns) in _TABLES.items()
+            if set(RESOURCE_FIELDS[kind]) <= set(resources.columns)}
 
 
 def stage_resources(resources: DataFrame, path: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 
@@ -20,9 +22,10 @@ def profile(df: DataFrame) -> DataFrame:
               .select("c.*", "rows"))
 
 
-def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:
-    """The profile's sample rows."""
-    return df.limit(n)
+def sample_rows(df: DataFrame, n: int = 5, order: Sequence[str] = ()) -> DataFrame:
+    """The profile's sample rows; with ``order`` the first ``n`` in it (a top-n, no
+    full sort), else any ``n``."""
+    return (df.orderBy(*order) if order else df).limit(n)
 
 
 def class_check(df: DataFrame, target: str, min_classes: int = 2) -> DataFrame:

@@ -8,8 +8,9 @@ array of structs (no join, nothing collected).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, fields
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import NumericType, StringType
@@ -29,6 +30,12 @@ class Check:
     value_set: tuple = ()
     mostly: float = 1.0
 
+    def kwargs(self) -> str:
+        """The check's own settings as JSON text, by name."""
+        unset = {f.name: f.default for f in fields(self)}
+        own = {k: v for k, v in asdict(self).items() if k != "kind" and v != unset[k]}
+        return json.dumps(own, sort_keys=True, default=str)
+
 
 # The reference's expectation suites.
 EVENT_COLUMNS_EXPECTED = ["patientonsetage", "patientsex", "reaction", "brand_name", "serious"]
@@ -149,9 +156,13 @@ def summarize(results: DataFrame) -> DataFrame:
                                               F.col("total_expectations")))
 
 
-def failed_details(results: DataFrame) -> DataFrame:
-    """Q13: the failed checks."""
-    return results.where(~F.col("success"))
+def failed_details(results: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Q13: the failed rows of ``run_checks(df, checks)`` with the settings of their checks as
+    JSON (``kwargs``): the check, its column, what was asked and what was seen."""
+    asked = F.array(*[F.lit(c.kwargs()) for c in checks])
+    return results.where(~F.col("success")).select(
+        "position", "check", "column", F.element_at(asked, F.col("position")).alias("kwargs"),
+        "element_count", "unexpected_count", "observed")
 
 
 def basic_quality(df: DataFrame, target: str, min_rows: int = 100,

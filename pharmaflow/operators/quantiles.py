@@ -1,173 +1,109 @@
-"""Exact, linear-interpolated quantiles that stay distributed.
-
-Spark's exact ``percentile`` keeps every distinct value of a group in one
-aggregation buffer, which the final reducer must hold whole. That is fine for
-a few million values and hopeless for a continuous column at 100 TB. Here:
-
-1. one pass counts the non-NULL values per group. Groups up to
-   ``exact_limit`` values use ``percentile`` directly (fastest there);
-2. larger groups get value brackets from ``percentile_approx``, whose rank
-   error is at most n / accuracy; accuracy is chosen so each bracket spans
-   about ``bracket_rows`` ranks;
-3. one counting scan finds, per bracket, the rows below, equal to either end
-   and strictly inside it;
-4. only the rows strictly inside a bracket are ranked (a window over at
-   most about ``bracket_rows`` rows). A hot value that holds a third of all
-   rows lands on a bracket end, where it is counted, never sorted.
+"""Exact, linear-interpolated quantiles by nested histograms.
+
+Every double has an integer key that sorts like it (the bits of its IEEE form:
+exponent, then mantissa; negative values mirrored). One scan counts the rows of each
+group by the leading ``bits`` of the key. Prefix counts over that histogram tell
+which bucket holds each wanted rank; only rows in such a bucket are counted again by the
+next ``bits``, and so on. A bucket whose smallest and largest value are equal needs no
+refining, so at the latest the whole key has settled every rank.
+
+The method is the same at every size. Rows are only counted, combined before they move,
+and never sorted; a value that a third of all rows hold is one bucket. A level's histogram
+has at most ``2 ** bits`` rows for each bucket that is refined, and at most two are refined per
+(group, probability). Nothing is gathered on the driver.
 
 The result for rank position ``pos = p * (n - 1)`` is
 ``v[floor] + (v[ceil] - v[floor]) * (pos - floor)``, the same as ``percentile``
-and SQL ``quantile_cont``.
+and SQL ``quantile_cont``. NaN sorts after infinity.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-EXACT_LIMIT = 5_000_000
-BRACKET_ROWS = 1_000_000
+from ..session import ensure_checkpoint_dir
+from .small import small
+
+BITS = 16  # of the key per level: at most 65,536 buckets in a histogram
+_KEY = 63  # bits of a key without its sign
+
+_TINY = 2.0 ** -1022  # fixed values of the IEEE form: smallest normal double, mantissa bits, exponent bias
+_MANTISSA, _BIAS = 52, 1023
+
+
+def with_order_key(df: DataFrame, value: str, name: str) -> DataFrame:
+    """``df`` with a long that sorts like the double column ``value``: the bits of its absolute value,
+    negated below 0. Each step is a column of its own, so that none is computed twice."""
+    a, v, e, p = F.col("_abs"), F.col(value), F.col("_exp"), F.col("_pow")
+    d = df.withColumn("_abs", F.abs(v)).withColumn("_exp", F.least(F.floor(F.log2(a)), F.lit(_BIAS))).withColumn("_pow", F.pow(F.lit(2.0), e))
+    # log2 may be off by one next to a power of two
+    d = d.withColumn("_off", F.when(a < p, -1).when(a >= 2 * p, 1).otherwise(0))
+    power = F.when(F.col("_off") < 0, p / 2).when(F.col("_off") > 0, p * 2).otherwise(p)
+    normal = (e + F.col("_off") + _BIAS).cast("long") * (1 << _MANTISSA) + ((a / power - 1) * 2.0 ** _MANTISSA).cast("long")
+    below = (a * 2.0 ** 537 * 2.0 ** 537).cast("long")  # counts of the smallest subnormal
+    top = F.lit(0x7FF).cast("long") * (1 << _MANTISSA)
+    d = d.withColumn("_bits", F.when(F.isnan(a), top + 1).when(a == float("inf"), top).when(a < _TINY, below).otherwise(normal))
+    # never NULL for a value: a join on a part of the key then needs no filter, which Spark would move below all these steps
+    key = F.coalesce(F.when(v < 0, -F.col("_bits")).otherwise(F.col("_bits")), F.lit(0).cast("long"))
+    return d.withColumn(name, key).drop("_abs", "_exp", "_pow", "_off", "_bits")
 
 
 def quantiles(long: DataFrame, probs: Sequence[float], group: str = "feature",
-              value: str = "value", exact_limit: int = EXACT_LIMIT,
-              bracket_rows: int = BRACKET_ROWS, accuracy: int | None = None,
-              sizes: dict | None = None) -> DataFrame:
+              value: str = "value", bits: int = BITS) -> DataFrame:
     """(group, q0, q1, ...) exact quantiles of ``value`` per ``group`` for
-    ``probs`` (NULL values ignored; groups without values are absent).
-    Groups up to ``exact_limit`` values use ``percentile``; larger ones the
-    bracketed method. ``accuracy`` overrides the sketch accuracy (tests use
-    a small one so the brackets are wide)."""
+    ``probs`` (NULL values and groups are ignored; groups without values are absent).
+    ``bits`` is the number of key bits per level."""
+    ensure_checkpoint_dir(long.sparkSession)
     probs = [float(p) for p in probs]
-    names = [f"q{i}" for i in range(len(probs))]
-    data = (long.select(F.col(group).alias("_g"), F.col(value).cast("double").alias("_v"))
-                .where(F.col("_v").isNotNull()))
-    if sizes is not None:
-        # non-NULL value counts per group already known (e.g. from the
-        # caller's own aggregate): no counting pass over the data
-        from pyspark.sql.types import LongType, StructField, StructType
-        counts = data.sparkSession.createDataFrame(
-            [(g, int(n)) for g, n in sizes.items() if n],
-            StructType([StructField("_g", data.schema["_g"].dataType), StructField("_n", LongType())]))
-    else:
-        counts = data.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
-    big = F.col("_n") > F.lit(exact_limit)
-    st = counts.agg(F.count_if(~big).alias("small"), F.count_if(big).alias("large"),
-                    F.max(F.when(big, F.col("_n"))).alias("n_max"),
-                    F.min(F.when(big, F.col("_n"))).alias("n_min")).first()
-    parts = []
-    if st["small"] and not st["large"]:
-        parts.append(_exact(data, probs, names))  # every group is small: no join needed
-    elif st["small"]:
-        parts.append(_exact(data.join(counts.where(~big).select("_g"), "_g"), probs, names))
-    if st["large"]:
-        large = counts.where(big)
-        parts.append(_bracketed(data.join(large.select("_g"), "_g"), large, probs, names,
-                                st["n_max"], st["n_min"], bracket_rows, accuracy))
-    if not parts:
-        return _exact(data, probs, names).select(F.col("_g").alias(group), *names)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(F.col("_g").alias(group), *names)
-
-
-def _exact(data, probs, names):
-    q = data.groupBy("_g").agg(F.percentile("_v", F.array(*[F.lit(p) for p in probs])).alias("_q"))
-    return q.select("_g", *[F.col("_q")[i].alias(names[i]) for i in range(len(probs))])
-
-
-def _bracketed(data, counts, probs, names, n_max, n_min, bracket_rows, accuracy=None):
-    """Large groups: four scans of ``data`` (counts were the first). Every
-    intermediate table here has one row per (group, prob) and is collected
-    to the driver and broadcast back; its size is #groups x #probs."""
-    from pyspark.sql.types import DoubleType, LongType, StructField, StructType
-    spark = data.sparkSession
-    gtype = data.schema["_g"].dataType
-    if accuracy is None:
-        accuracy = int(min(max(10_000, math.ceil(6.0 * n_max / bracket_rows)), 10_000_000))
-    # Sketch rank error (n / accuracy) plus one rank for the interpolation's
-    # upper neighbour, in probability units of the smallest large group.
-    delta = 3.0 / accuracy + 2.0 / n_min
-    bp = []
-    for p in probs:
-        bp += [max(0.0, p - delta), min(1.0, p + delta)]
-    k = len(probs)
-    # scan 2: value brackets from the sketch
-    arows = (data.groupBy("_g").agg(F.percentile_approx("_v", bp, accuracy).alias("_a"),
-                                    F.min("_v").alias("_min"), F.max("_v").alias("_max"))
-             .join(counts, "_g").collect())
-    info = {}
-    for r in arows:
-        ends = []
-        for i in range(k):
-            lo = r["_min"] if bp[2 * i] == 0.0 else r["_a"][2 * i]
-            hi = r["_max"] if bp[2 * i + 1] == 1.0 else r["_a"][2 * i + 1]
-            ends.append((float(lo), float(hi)))
-        info[r["_g"]] = (int(r["_n"]), ends)
-    br_schema = StructType([StructField("_g", gtype)] + [
-        StructField(f"_{e}{i}", DoubleType()) for i in range(k) for e in ("lo", "hi")])
-    br = spark.createDataFrame([(g, *[x for lo_hi in ends for x in lo_hi]) for g, (_n, ends) in info.items()],
-                               br_schema)
-    j = data.join(F.broadcast(br), "_g")
-    vv = F.col("_v")
-    # scan 3: rows below, on and strictly inside each bracket
-    aggs = []
-    for i in range(k):
-        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        aggs += [F.count_if(vv < lo).alias(f"lt{i}"), F.count_if(vv == lo).alias(f"eqlo{i}"),
-                 F.count_if((vv > lo) & (vv < hi)).alias(f"in{i}"), F.count_if(vv == hi).alias(f"eqhi{i}")]
-    cnt = {r["_g"]: r for r in j.groupBy("_g").agg(*aggs).collect()}
-
-    need, known, missed = [], {}, set()
-    for g, (n, ends) in info.items():
-        c = cnt[g]
-        for i, p in enumerate(probs):
-            pos = p * (n - 1)
-            lo, hi = ends[i]
-            lt, eqlo, cin, eqhi = c[f"lt{i}"], c[f"eqlo{i}"], c[f"in{i}"], c[f"eqhi{i}"]
-            for r in {math.floor(pos), math.ceil(pos)}:
-                ir = r - lt - eqlo
-                if r < lt:
-                    missed.add(g)
-                elif r < lt + eqlo:
-                    known[(g, i, r)] = lo
-                elif ir < cin:
-                    need.append((g, i, int(ir), int(r)))
-                elif ir < cin + eqhi:
-                    known[(g, i, r)] = hi
-                else:
-                    missed.add(g)
-    # scan 4: rank only the rows strictly inside a bracket, for needed ranks
-    if need:
-        need_df = spark.createDataFrame(need, StructType([
-            StructField("_g", gtype), StructField("_i", LongType()), StructField("_ir", LongType()),
-            StructField("_r", LongType())]))
-        inside = j.select("_g", "_v", F.explode(F.array(*[
-            F.when((vv > F.col(f"_lo{i}")) & (vv < F.col(f"_hi{i}")), F.lit(i).cast("long"))
-            for i in range(k)])).alias("_i")).where(F.col("_i").isNotNull())
-        w = Window.partitionBy("_g", "_i").orderBy("_v")
-        ranked = inside.withColumn("_ir", (F.row_number().over(w) - 1).cast("long"))
-        for row in ranked.join(F.broadcast(need_df), ["_g", "_i", "_ir"]).select("_g", "_i", "_r", "_v").collect():
-            known[(row["_g"], row["_i"], row["_r"])] = row["_v"]
-    out = []
-    for g, (n, _ends) in info.items():
-        if g in missed:
-            continue
-        qs = []
-        for i, p in enumerate(probs):
-            pos = p * (n - 1)
-            f = math.floor(pos)
-            vlo, vhi = known[(g, i, f)], known[(g, i, math.ceil(pos))]
-            qs.append(vlo + (vhi - vlo) * (pos - f))
-        out.append((g, *qs))
-    res = spark.createDataFrame(out, StructType([StructField("_g", gtype)] +
-                                                [StructField(nm, DoubleType()) for nm in names]))
-    if missed:
-        # A bracket that missed its rank (the sketch's bound was exceeded) is
-        # recomputed exactly, for that group only.
-        bad = spark.createDataFrame([(g,) for g in missed], StructType([StructField("_g", gtype)]))
-        res = res.unionByName(_exact(data.join(F.broadcast(bad), "_g"), probs, names))
-    return res
+    if not probs or any(not 0.0 <= p <= 1.0 for p in probs):
+        raise ValueError(f"probabilities lie between 0 and 1: {probs}")
+    if not 1 <= bits <= 24:
+        raise ValueError(f"bits is 1 to 24, not {bits}")
+    data = long.select(F.col(group).alias("_g"), F.col(value).cast("double").alias("_v")).where("_g IS NOT NULL AND _v IS NOT NULL")
+    data = with_order_key(data, "_v", "_k")
+    shift = _KEY - bits
+    hist = _histogram(data.withColumn("_p", F.lit(0).cast("long")), shift)
+    # ranks asked for: the rank below each position and the one above it
+    n = hist.groupBy("_g").agg(F.sum("_c").alias("_n"))
+    asked = n.select("_g", F.posexplode(F.array(*[F.lit(p) for p in probs])).alias("_i", "_q"), "_n").select(
+        "_g", "_i", (F.col("_q") * (F.col("_n") - 1)).alias("_pos")).select(
+        "_g", "_i", (F.col("_pos") - F.floor("_pos")).alias("_w"),
+        F.explode(F.array(F.floor("_pos"), F.ceil("_pos"))).alias("_r"))
+    asked = asked.distinct().withColumn("_p", F.lit(0).cast("long"))
+    settled = []
+    while True:
+        hit = _placed(asked, hist).checkpoint(eager=True)
+        settled.append(hit.where(F.col("_lo") == F.col("_hi")).select("_g", "_i", "_w", F.col("_lo").alias("_x")))
+        open_ = hit.where(F.col("_lo") != F.col("_hi"))
+        if open_.isEmpty():
+            break
+        # the rows of the buckets that hold a rank, by the next bits of their key
+        wanted = small(open_.select("_g", F.col("_b").alias("_p")).distinct())
+        inner = data.withColumn("_p", F.shiftright("_k", shift)).join(wanted, ["_g", "_p"])
+        asked = open_.select("_g", "_i", "_w", (F.col("_r") - F.col("_before")).alias("_r"), F.col("_b").alias("_p"))
+        shift = max(0, shift - bits)
+        hist = _histogram(inner, shift)
+    found = settled[0]
+    for s in settled[1:]:
+        found = found.unionByName(s)
+    x = F.min("_x") + (F.max("_x") - F.min("_x")) * F.max("_w")
+    # equal ends need no weight, and infinite ones allow none
+    per = found.groupBy("_g", "_i").agg(F.when(F.min("_x") == F.max("_x"), F.min("_x")).otherwise(x).alias("_x"))
+    return per.groupBy(F.col("_g").alias(group)).agg(
+        *[F.max(F.when(F.col("_i") == i, F.col("_x"))).alias(f"q{i}") for i in range(len(probs))])
+
+
+def _histogram(rows: DataFrame, shift: int) -> DataFrame:
+    """Rows by group, bucket of the level above (``_p``) and bucket, with the values' range."""
+    return rows.groupBy("_g", "_p", F.shiftright("_k", shift).alias("_b")).agg(
+        F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")).checkpoint(eager=True)
+
+
+def _placed(asked: DataFrame, hist: DataFrame) -> DataFrame:
+    """The bucket that holds each asked rank of its parent bucket, and the rows before it there."""
+    over = Window.partitionBy("_g", "_p").orderBy("_b")
+    cum = hist.withColumn("_upto", F.sum("_c").over(over.rowsBetween(Window.unboundedPreceding, 0)))
+    cum = cum.withColumn("_before", F.col("_upto") - F.col("_c"))
+    return asked.join(cum, ["_g", "_p"]).where((F.col("_before") <= F.col("_r")) & (F.col("_r") < F.col("_upto")))

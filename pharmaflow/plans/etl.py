@@ -8,7 +8,7 @@ sources, so every query exercises the real file paths.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from .. import schemas
@@ -16,7 +16,7 @@ from ..functions.dates import ts_text
 from ..operators import flatten as FL
 from ..sources import files as FS
 from ..sources.tables import save_table
-from .registry import fresh_dir, register, t
+from .registry import fresh_dir, register, shared_input, t
 
 
 def _str(c):
@@ -59,10 +59,8 @@ def nested_reports(spark, sf) -> DataFrame:
 
 
 def report_documents(spark, sf) -> str:
-    """Write the nested reports as ``{"results": [...]}`` documents."""
-    path = fresh_dir(spark, "reports")
-    FS.write_report_documents(nested_reports(spark, sf), path)
-    return path
+    """The nested reports as ``{"results": [...]}`` documents, written once per application."""
+    return shared_input(spark, sf, "reports", lambda path: FS.write_report_documents(nested_reports(spark, sf), path))
 
 
 _REPORT_SQL = """
@@ -178,6 +176,73 @@ def s2_ndjson_skip_bad(spark, sf):
     return FS.read_json(spark, path, schema, layout="ndjson")
 
 
+ARRAY_ROWS = 5000  # records of a JSON array; a document is parsed as a whole
+
+
+def write_arrays(df: DataFrame, path: str, key: str, rows: int = ARRAY_ROWS) -> None:
+    """``df`` as JSON arrays of about ``rows`` records, an array per file and a record per line."""
+    n = max(1, -(-df.count() // rows))
+    by = Window.partitionBy("file").orderBy("k")
+    d = df.select(F.pmod(F.xxhash64(key), F.lit(n)).alias("file"), F.col(key).alias("k"), F.to_json(F.struct(*df.columns)).alias("j"))
+    first, last = F.lag("k").over(by).isNull(), F.lead("k").over(by).isNull()
+    d = d.select("file", "k", F.concat(F.when(first, "[").otherwise(" "), "j", F.when(last, "]").otherwise(",")).alias("value"))
+    d.sortWithinPartitions("file", "k").select("file", "value").write.partitionBy("file").text(path)
+
+
+def write_objects(df: DataFrame, path: str) -> None:
+    """Every row as a file of its own that holds one object over several lines."""
+    key = df.columns[0]
+    df.select(F.col(key).alias("file"), F.to_json(F.struct(*df.columns), {"pretty": "true"}).alias("value")) \
+        .write.partitionBy("file").text(path)
+
+
+def _nation_totals(spark, sf) -> DataFrame:
+    c = t(spark, sf, "customer")
+    return c.groupBy(F.col("c_nationkey").cast("long").alias("c_custkey")).agg(
+        F.concat(F.lit("nation "), F.first("c_nationkey").cast("string")).alias("c_name"),
+        F.count(F.lit(1)).alias("c_nationkey"), F.round(F.sum("c_acctbal"), 2).alias("c_acctbal"),
+        F.max("c_mktsegment").alias("c_mktsegment"))
+
+
+_NATION_SQL = """
+SELECT CAST(c_nationkey AS BIGINT) AS c_custkey, 'nation ' || CAST(c_nationkey AS VARCHAR) AS c_name,
+       count(*) AS c_nationkey, round(sum(c_acctbal), 2) AS c_acctbal, max(c_mktsegment) AS c_mktsegment
+FROM customer GROUP BY customer.c_nationkey"""
+
+
+@register("s2_json_arrays", """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""")
+def s2_json_arrays(spark, sf):
+    """JSON arrays over many lines, found by their first line."""
+    path, cust = fresh_dir(spark, "arrays"), t(spark, sf, "customer")
+    write_arrays(cust, path, "c_custkey")
+    return FS.read_json(spark, f"{path}/file=*", cust.schema)
+
+
+@register("s2_json_objects", _NATION_SQL)
+def s2_json_objects(spark, sf):
+    """Pretty-printed objects, one per file."""
+    path, totals = fresh_dir(spark, "objects"), _nation_totals(spark, sf)
+    write_objects(totals, path)
+    return FS.read_json(spark, f"{path}/file=*", totals.schema)
+
+
+@register("s2_json_mixed_folder", """
+SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment FROM customer
+UNION ALL (""" + _NATION_SQL + ")")
+def s2_json_mixed_folder(spark, sf):
+    """Arrays, pretty objects and NDJSON under one path; every file is read by its own layout. Malformed
+    lines, one of them the first of its file, are skipped."""
+    path, cust, totals = fresh_dir(spark, "mixed"), t(spark, sf, "customer"), _nation_totals(spark, sf)
+    odd = F.col("c_custkey") % 2 == 1
+    write_arrays(cust.where(odd), f"{path}/arrays", "c_custkey")
+    write_objects(totals, f"{path}/objects")
+    whole = F.to_json(F.struct(*cust.columns))
+    lines = cust.where(~odd).select(F.explode(F.array(F.substring(whole, 1, 20), whole)).alias("value"))
+    lines.write.text(f"{path}/lines/file=0")
+    return FS.read_json(spark, f"{path}/*/file=*", totals.schema)
+
+
 @register("s5_by_suffix_csv", """
 SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""")
 def s5_by_suffix_csv(spark, sf):
@@ -201,9 +266,9 @@ def _iso(c):
     return F.date_format(c, "yyyy-MM-dd")
 
 
-def bundles_text(spark, sf) -> DataFrame:
-    """One FHIR-like bundle per order (JSON text): the customer as Patient,
-    plus Encounter, Condition, Observation and MedicationRequest."""
+def nested_bundles(spark, sf) -> DataFrame:
+    """One FHIR-like bundle per order: the customer as Patient, plus Encounter,
+    Condition, Observation and MedicationRequest."""
     o = t(spark, sf, "orders")
     c = t(spark, sf, "customer")
     j = o.join(c, o.o_custkey == c.c_custkey)
@@ -211,6 +276,7 @@ def bundles_text(spark, sf) -> DataFrame:
     subject = F.struct(F.concat(F.lit("Patient/"), pid).alias("reference"))
     key = _str("o_orderkey")
     coding = F.when(F.col("o_orderstatus") == "P", F.array())
+    code_t = schemas.RESOURCE["code"].dataType
     patient = F.struct(
         F.lit("Patient").alias("resourceType"), pid.alias("id"),
         F.when(F.col("c_nationkey") % 2 == 0, "female").otherwise("male").alias("gender"),
@@ -238,7 +304,7 @@ def bundles_text(spark, sf) -> DataFrame:
         .alias("clinicalStatus"))
     observation = F.struct(
         F.lit("Observation").alias("resourceType"), F.concat(F.lit("obs"), key).alias("id"),
-        subject.alias("subject"), F.struct(F.lit("total").alias("text")).alias("code"),
+        subject.alias("subject"), F.struct(F.lit("total").alias("text"), F.array().cast(code_t["coding"].dataType).alias("coding")).alias("code"),
         F.struct(F.col("o_totalprice").alias("value")).alias("valueQuantity"))
     med_name = F.concat(F.lit("Drug-"), (F.col("o_custkey") % 50).cast("string"))
     medication = F.struct(
@@ -249,35 +315,33 @@ def bundles_text(spark, sf) -> DataFrame:
                  coding.otherwise(F.array(F.struct(F.col("o_orderpriority").alias("code"),
                                                    med_name.alias("display"))))
                  .alias("coding")).alias("medicationCodeableConcept"))
-    entries = F.array(*[F.to_json(r) for r in (patient, encounter, condition, observation, medication)])
-    # Entries differ in shape; each is rendered to JSON and joined into one bundle text.
-    bundle = F.concat(F.lit('{"resourceType":"Bundle","entry":['),
-                      F.array_join(F.transform(entries, lambda e: F.concat(F.lit('{"resource":'), e,
-                                                                           F.lit("}"))), ","),
-                      F.lit("]}"))
-    return j.select("o_orderkey", "o_orderstatus", bundle.alias("json"))
-
-
-def parsed_resources(spark, sf) -> DataFrame:
-    """Bundles written as files (one bundle per line) and read back through
-    the FHIR directory source (S4), then exploded into resources."""
-    path = fresh_dir(spark, "fhir_bundles")
-    bundles_text(spark, sf).select("json").write.mode("overwrite").option(
-        "compression", "none").text(path)
-    # Spark names text output part-*.txt; expose it as *.json bundles.
-    _rename_suffix(spark, path, ".txt", ".json")
-    return FL.explode_resources(FS.read_fhir_dir(spark, path, multi_line=False))
-
-
-def _rename_suffix(spark, path, old, new):
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    base = jvm.org.apache.hadoop.fs.Path(path)
-    fs = base.getFileSystem(conf)
-    for st in fs.listStatus(base):
-        name = st.getPath().getName()
-        if name.endswith(old):
-            fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(f"{path}/{name[:-len(old)]}{new}"))
+    def entry(r, kind):
+        """The resource in the struct of all kinds; a JSON writer leaves its NULL fields out."""
+        return F.struct(F.struct(*[(r[f.name] if f.name in names[kind] else F.lit(None)).cast(f.dataType).alias(f.name)
+                                   for f in schemas.RESOURCE]).alias("resource"))
+
+    made = {"Patient": patient, "Encounter": encounter, "Condition": condition, "Observation": observation,
+            "MedicationRequest": medication}
+    j = j.select("o_orderkey", "o_orderstatus", *[r.alias(kind) for kind, r in made.items()])
+    names = {kind: j.schema[kind].dataType.fieldNames() for kind in made}
+    return j.select("o_orderkey", "o_orderstatus", F.lit("Bundle").alias("resourceType"),
+                    F.array(*[entry(F.col(kind), kind) for kind in made]).alias("entry"))
+
+
+def fhir_folder(spark, sf) -> str:
+    """The bundles as ``*.json`` files, one bundle per line, written once per application."""
+    return shared_input(spark, sf, "fhir", lambda path: nested_bundles(spark, sf).select("resourceType", "entry").write.json(path))
+
+
+def parsed_resources(spark, sf, *kinds) -> DataFrame:
+    """Resources of the given kinds from the FHIR directory source (S4); other fields are not parsed."""
+    return FL.explode_resources(FS.read_fhir_dir(spark, fhir_folder(spark, sf), multi_line=False, kinds=kinds or None))
+
+
+def staged_resources(spark, sf) -> DataFrame:
+    """All kinds from one pass over the bundles, stored by kind; each table then reads its own part."""
+    path = shared_input(spark, sf, "fhir-staged", lambda path: FL.stage_resources(parsed_resources(spark, sf), path))
+    return spark.read.parquet(path)
 
 
 _FHIR_BASE = """
@@ -290,7 +354,7 @@ SELECT 'c' || CAST(c_custkey AS VARCHAR) AS id,
        strftime(DATE '1940-01-01' + CAST(c_custkey % 20000 AS INTEGER), '%Y-%m-%d') AS birthDate
 FROM b""")
 def n5_patients(spark, sf):
-    return FL.fhir_tables(parsed_resources(spark, sf))["patients"]
+    return FL.fhir_tables(parsed_resources(spark, sf, "Patient"))["patients"]
 
 
 @register("n5_encounters", _FHIR_BASE + """
@@ -299,28 +363,28 @@ SELECT 'e' || CAST(o_orderkey AS VARCHAR) AS id, 'Patient/c' || CAST(c_custkey A
        strftime(CAST(o_orderdate AS DATE) + 1, '%Y-%m-%d') AS "end"
 FROM b""")
 def n5_encounters(spark, sf):
-    return FL.fhir_tables(parsed_resources(spark, sf))["encounters"]
+    return FL.fhir_tables(staged_resources(spark, sf))["encounters"]
 
 
 @register("n5_conditions", _FHIR_BASE + """
 SELECT 'cond' || CAST(o_orderkey AS VARCHAR) AS id, 'Patient/c' || CAST(c_custkey AS VARCHAR) AS patient,
        o_orderpriority AS code FROM b""")
 def n5_conditions(spark, sf):
-    return FL.fhir_tables(parsed_resources(spark, sf))["conditions"]
+    return FL.fhir_tables(staged_resources(spark, sf))["conditions"]
 
 
 @register("n5_observations", _FHIR_BASE + """
 SELECT 'obs' || CAST(o_orderkey AS VARCHAR) AS id, 'Patient/c' || CAST(c_custkey AS VARCHAR) AS patient,
        'total' AS code, o_totalprice AS value FROM b""")
 def n5_observations(spark, sf):
-    return FL.fhir_tables(parsed_resources(spark, sf))["observations"]
+    return FL.fhir_tables(staged_resources(spark, sf))["observations"]
 
 
 @register("n5_medications", _FHIR_BASE + """
 SELECT 'med' || CAST(o_orderkey AS VARCHAR) AS id, 'Patient/c' || CAST(c_custkey AS VARCHAR) AS patient,
        'Drug-' || CAST(o_custkey % 50 AS VARCHAR) AS medication FROM b""")
 def n5_medications(spark, sf):
-    return FL.fhir_tables(parsed_resources(spark, sf))["medications"]
+    return FL.fhir_tables(staged_resources(spark, sf))["medications"]
 
 
 @register("n6_patient_view", _FHIR_BASE + """
@@ -331,7 +395,7 @@ SELECT 'c' || CAST(c_custkey AS VARCHAR) AS id, array_to_string(string_split(c_n
          AS address
 FROM b""")
 def n6_patient_view(spark, sf):
-    return FL.patient_view(parsed_resources(spark, sf))
+    return FL.patient_view(parsed_resources(spark, sf, "Patient"))
 
 
 @register("n7_condition_view", _FHIR_BASE + """
@@ -342,7 +406,7 @@ SELECT 'cond' || CAST(o_orderkey AS VARCHAR) AS id, 'c' || CAST(c_custkey AS VAR
        CASE WHEN o_orderstatus = 'F' THEN 'resolved' ELSE 'active' END AS clinicalStatus
 FROM b""")
 def n7_condition_view(spark, sf):
-    return FL.condition_view(parsed_resources(spark, sf))
+    return FL.condition_view(parsed_resources(spark, sf, "Condition"))
 
 
 @register("n8_medication_view", _FHIR_BASE + """
@@ -354,7 +418,7 @@ SELECT 'med' || CAST(o_orderkey AS VARCHAR) AS id, 'c' || CAST(c_custkey AS VARC
        CASE WHEN o_orderstatus = 'F' THEN 'stopped' ELSE 'active' END AS status
 FROM b""")
 def n8_medication_view(spark, sf):
-    return FL.medication_view(parsed_resources(spark, sf))
+    return FL.medication_view(parsed_resources(spark, sf, "MedicationRequest"))
 
 
 @register("n10_patients_birthdate", _FHIR_BASE + """
@@ -363,7 +427,7 @@ SELECT 'c' || CAST(c_custkey AS VARCHAR) AS id,
        strftime(DATE '1940-01-01' + CAST(c_custkey % 20000 AS INTEGER), '%Y-%m-%d %H:%M:%S') AS birthDate
 FROM b""")
 def n10_patients_birthdate(spark, sf):
-    p = FL.patients_table(parsed_resources(spark, sf))
+    p = FL.patients_table(parsed_resources(spark, sf, "Patient"))
     return p.select("id", "gender", ts_text("birthDate").alias("birthDate"))
 
 
@@ -371,38 +435,19 @@ def n10_patients_birthdate(spark, sf):
 SELECT 'e' || CAST(o_orderkey AS VARCHAR) AS id, 'Patient/c' || CAST(c_custkey AS VARCHAR) AS patient
 FROM b WHERE o_orderstatus <> 'P'""")
 def s4_fhir_directory(spark, sf):
-    """Bundles in two kept files and one skip-listed file; staged once
+    """Bundles in kept files and in skip-listed ones, told apart by file name; staged once
     (N5 staging) and the encounters derived from the staged resources."""
     base = fresh_dir(spark, "fhir")
-    b = bundles_text(spark, sf)
-    kept = b.where(F.col("o_orderstatus") != "P")
-    _write_named(spark, kept.where(F.col("o_orderkey") % 2 == 0).select("json"), base, "bundle_even.json")
-    _write_named(spark, kept.where(F.col("o_orderkey") % 2 == 1).select("json"), base, "bundle_odd.json")
-    _write_named(spark, b.where(F.col("o_orderstatus") == "P").select("json"), base,
-                 "hospitalInformation1.json")
+    b = nested_bundles(spark, sf)
+    skipped = F.col("o_orderstatus") == "P"
+    b.where(~skipped).select("resourceType", "entry").write.json(base)
+    (b.where(skipped).select("resourceType", "entry").write.mode("append")
+     .option("mapreduce.output.basename", "hospitalInformation").json(base))
     bundles = FS.read_fhir_dir(spark, base, multi_line=False)
     staged = FL.stage_resources(FL.explode_resources(bundles), fresh_dir(spark, "fhir_staged"))
     return FL.fhir_tables(staged)["encounters"].select("id", "patient")
 
 
-def _write_named(spark, df, base, name):
-    """Write one-bundle-per-line text and move the part files to ``base/<name>``
-    (prefixing the part number so several parts keep distinct names)."""
-    tmp = fresh_dir(spark, "fhir_tmp")
-    df.write.mode("overwrite").text(tmp)
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    src = jvm.org.apache.hadoop.fs.Path(tmp)
-    fs = src.getFileSystem(conf)
-    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(base))
-    for i, st in enumerate(sorted(fs.listStatus(src), key=lambda s: s.getPath().getName())):
-        pname = st.getPath().getName()
-        if not pname.startswith("part-"):
-            continue
-        stem = name[:-len(".json")]
-        fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(f"{base}/{stem}_{i:05d}.json"))
-
-
 # ------------------------------------------------------------------ dashboard on the ETL output
 # The dashboard queries (A1-A5, A9, A10) run over the flat safety-event
 # table produced above: text-typed fields, exactly as the flow stores them.

@@ -279,7 +279,7 @@ def a9_group_summary(spark, sf):
     df = t(spark, sf, "orders").select(
         "o_custkey",
         F.substring("o_orderpriority", 1, 1).cast("int").alias("serious"),
-        F.date_format("o_orderdate", "yyyyMMdd").alias("receivedate"))
+        F.col("o_orderdate").alias("receivedate"))
     out = A.group_summary(df, ["o_custkey"], "serious", "receivedate", n=50)
     return out.withColumn("serious_count", F.col("serious_count").cast("bigint"))
 
@@ -362,6 +362,14 @@ def a14_profile(spark, sf):
     return PR.profile(t(spark, sf, "orders"))
 
 
+@register("a14_sample_rows", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders
+ORDER BY o_orderkey LIMIT 5""")
+def a14_sample_rows(spark, sf):
+    """The profile's five sample rows, the first ones by key."""
+    return PR.sample_rows(t(spark, sf, "orders").drop("o_orderdate"), 5, ["o_orderkey"])
+
+
 @register("a15_class_check", """
 SELECT count(*) AS rows, count(DISTINCT quality) AS classes,
        count(*) > 0 AND count(DISTINCT quality) >= 2 AS ok FROM labels""")

@@ -38,29 +38,39 @@ EVENT_COLUMNS = ["safetyreportid", "receivedate", "serious", "patientonsetage",
 _CODING = ArrayType(StructType(_s("code", "display")))
 _CODE = StructType([StructField("text", StringType(), True),
                     StructField("coding", _CODING, True)])
-
-# One wide struct covering the five resource kinds we read from a bundle.
-RESOURCE = StructType(
-    _s("resourceType", "id", "gender", "birthDate", "onsetDateTime",
-       "authoredOn", "status")
-    + [
-        StructField("name", ArrayType(StructType([
-            StructField("given", ArrayType(StringType()), True),
-            StructField("family", StringType(), True)])), True),
-        StructField("address", ArrayType(StructType(_s("city", "state"))), True),
-        StructField("subject", StructType(_s("reference")), True),
-        StructField("period", StructType(_s("start", "end")), True),
-        StructField("code", _CODE, True),
-        StructField("valueQuantity", StructType(
-            [StructField("value", DoubleType(), True)]), True),
-        StructField("clinicalStatus", StructType(
-            [StructField("coding", ArrayType(StructType(_s("code"))), True)]), True),
-        StructField("medicationCodeableConcept", _CODE, True),
-    ])
-
-BUNDLE = StructType([
-    StructField("entry", ArrayType(StructType(
-        [StructField("resource", RESOURCE, True)])), True)])
+_REF = StructType(_s("reference"))
+_NAMES = ArrayType(StructType([StructField("given", ArrayType(StringType()), True),
+                               StructField("family", StringType(), True)]))
+
+# The fields that are read of each resource kind of a bundle.
+RESOURCE_FIELDS = {
+    "Patient": {"gender": StringType(), "birthDate": StringType(), "name": _NAMES,
+                "address": ArrayType(StructType(_s("city", "state")))},
+    "Encounter": {"subject": _REF, "period": StructType(_s("start", "end"))},
+    "Condition": {"subject": _REF, "onsetDateTime": StringType(), "code": _CODE,
+                  "clinicalStatus": StructType([StructField("coding", ArrayType(StructType(_s("code"))), True)])},
+    "Observation": {"subject": _REF, "code": _CODE,
+                    "valueQuantity": StructType([StructField("value", DoubleType(), True)])},
+    "MedicationRequest": {"subject": _REF, "authoredOn": StringType(), "status": StringType(),
+                          "medicationCodeableConcept": _CODE},
+}
+
+
+def resource(kinds=None) -> StructType:
+    """One struct with the fields of the given resource kinds (all kinds by default)."""
+    fields = {"resourceType": StringType(), "id": StringType()}
+    for kind in RESOURCE_FIELDS if kinds is None else kinds:
+        fields |= RESOURCE_FIELDS[kind]
+    return StructType([StructField(n, t, True) for n, t in fields.items()])
+
+
+def bundle(kinds=None) -> StructType:
+    """A bundle's schema; the JSON parser passes over every field that is not in it."""
+    return StructType([StructField("entry", ArrayType(StructType(
+        [StructField("resource", resource(kinds), True)])), True)])
+
+
+RESOURCE, BUNDLE = resource(), bundle()
 
 # Patients table as written by the FHIR flow.
 PATIENT_ROW = StructType(_s("id", "birthDate", "gender"))

@@ -61,6 +61,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "pharmaflow", name)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in its own file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def scale_conf(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024,
                max_partitions: int = 500_000) -> dict:
     """Settings sized from the input: scan splits and shuffle partitions of

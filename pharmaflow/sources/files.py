@@ -8,10 +8,12 @@ session so it works the same on local disk and on shared cluster storage.
 from __future__ import annotations
 
 import logging
+import re
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType, StringType
 
 from .. import schemas
@@ -82,16 +84,31 @@ def write_report_documents(reports: DataFrame, path: str) -> None:
 
 
 # ---------------------------------------------------------------- S2
-def detect_layout(spark: SparkSession, path) -> str:
-    """``document`` or ``ndjson`` by the first line with text: an array, or an object
-    that its line does not close, makes the file a document. Only that line's
-    ends are read."""
-    t = F.trim("value")
-    line = spark.read.text(path).where(t != "").select(
-        F.substring(t, 1, 1), F.substring(t, -1, 1)).first()
-    if line is None or (line[0] == "{" and line[1] == "}"):
-        return "ndjson"
-    return "document" if line[0] in "[{" else "ndjson"
+def file_layouts(spark: SparkSession, path) -> DataFrame:
+    """(file, layout) of every file with text under ``path``, by its first two lines with text.
+
+    A file is a ``document`` when it begins with ``[``, or with an object that its line
+    does not close and that goes on in the next one. It is ``ndjson`` otherwise, also when
+    the first record is cut short but the next line is a whole one. Lines move only
+    as their ends, at most two per task and file.
+    """
+    text = F.trim("value")
+    lines = spark.read.text(path).where(text != "").select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"),
+                 F.substring(text, 1, 1).alias("first"), F.substring(text, -1, 1).alias("last")).alias("at"))
+    rank = F.row_number().over(Window.partitionBy("file").orderBy("at"))  # cut per task before it moves
+    top = lines.withColumn("n", rank).where("n <= 2").groupBy("file").agg(
+        F.max(F.when(F.col("n") == 1, F.col("at"))).alias("one"), F.max(F.when(F.col("n") == 2, F.col("at"))).alias("two"))
+    whole_next = (F.col("two.first") == "{") & (F.col("two.last") == "}")
+    document = (F.col("one.first") == "[") | (
+        (F.col("one.first") == "{") & (F.col("one.last") != "}") & ~F.coalesce(whole_next, F.lit(False)))
+    return top.select("file", F.when(document, "document").otherwise("ndjson").alias("layout"))
+
+
+def _as_path(uri: str) -> str:
+    """A path for the readers from ``_metadata.file_path``: decoded, glob characters escaped."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(uri))
 
 
 def read_json(spark: SparkSession, path, schema: StructType,
@@ -102,10 +119,17 @@ def read_json(spark: SparkSession, path, schema: StructType,
     counted through ``bad_records`` (a ``pyspark.sql.Observation``) without a
     second pass. ``layout="document"``: each file is one JSON array (each
     element a row) or one object (one row); a malformed file raises. ``auto``
-    tells them apart by the first line. Empty files give no rows.
+    decides for every file by its first lines (``file_layouts``: a pass over the lines, but
+    not their parsing); files of both kinds are read apart. Empty files give no rows.
     """
     if layout == "auto":
-        layout = detect_layout(spark, path)
+        kinds = file_layouts(spark, path).groupBy("layout").agg(F.collect_list("file").alias("files"))
+        files = {r["layout"]: r["files"] for r in kinds.collect()}  # names that Spark's file index holds anyway
+        if len(files) < 2:
+            return read_json(spark, path, schema, next(iter(files), "ndjson"), bad_records)
+        parts = [read_json(spark, [_as_path(f) for f in files[k]], schema, k, bad_records if k == "ndjson" else None)
+                 for k in ("document", "ndjson")]
+        return parts[0].unionByName(parts[1])
     if layout == "document":
         return _strict_json(spark, path, schema, multiLine=True)
     if layout != "ndjson":
@@ -132,13 +156,14 @@ def read_csv(spark: SparkSession, path, schema: StructType | None = None) -> Dat
 
 # ---------------------------------------------------------------- S4
 def read_fhir_dir(spark: SparkSession, path: str, multi_line: bool = True, on_bad: str = "raise",
-                  bad_records=None) -> DataFrame:
+                  bad_records=None, kinds=None) -> DataFrame:
     """All ``*.json`` bundles under ``path`` except the skip-listed names.
 
-    Returns one row per bundle with ``_file`` and ``entry``. Malformed bundles
-    as in ``read_report_files``.
+    Returns one row per bundle with ``_file`` and ``entry``. ``kinds`` names the
+    resource kinds that are wanted: only their fields are parsed (``schemas.bundle``).
+    Malformed bundles as in ``read_report_files``.
     """
-    df = _strict_json(spark, path, schemas.BUNDLE, on_bad, bad_records,
+    df = _strict_json(spark, path, schemas.bundle(kinds), on_bad, bad_records,
                       multiLine=multi_line, pathGlobFilter="*.json")
     keep = F.lit(True)
     for name in FHIR_SKIP_NAMES:

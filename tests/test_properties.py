@@ -40,10 +40,10 @@ def test_keep_first_mixed_direction_equals_row_number(spark, data):
 
 
 @SETTINGS
-@given(rows)
-def test_bucketed_rank_equals_row_number(spark, data):
+@given(rows, st.sampled_from([1, 3, 100]))
+def test_bucketed_rank_equals_row_number(spark, data, limit):
     df = spark.createDataFrame([(k, i) for i, (k, _o, _p) in enumerate(data)], "k string, id int")
-    got = {r.id: r._rank for r in stratified_rank(df, "k", ["id"], seed=3, hex_digits=1).collect()}
+    got = {r.id: r._rank for r in stratified_rank(df, "k", ["id"], seed=3, bucket_rows=limit, digits=1).collect()}
     w = Window.partitionBy("k").orderBy(hash_key(["id"], 3), "id")
     ref = {r.id: r.rk for r in df.withColumn("rk", F.row_number().over(w) - 1).collect()}
     assert got == ref
@@ -51,21 +51,33 @@ def test_bucketed_rank_equals_row_number(spark, data):
 
 values = st.lists(st.tuples(st.sampled_from(["x", "y"]),
                             st.one_of(st.none(), st.sampled_from([5.0, 5.0, 5.0]),  # hot value
-                                      st.floats(-100, 100, allow_nan=False))),
+                                      st.floats(-100, 100, allow_nan=False), st.floats(-1e-300, 1e300))),
                   min_size=1, max_size=120)
 
 
 @SETTINGS
-@given(values, st.sampled_from([4, 10, 50]))
-def test_bracketed_quantiles_equal_percentile(spark, data, acc):
+@given(values, st.sampled_from([4, 11, 16]))
+def test_quantiles_equal_percentile(spark, data, bits):
     from pharmaflow.operators.quantiles import quantiles
     df = spark.createDataFrame(data, "feature string, value double")
     probs = [0.0, 0.25, 0.5, 0.75, 1.0]
     got = {r.feature: [r[f"q{i}"] for i in range(5)]
-           for r in quantiles(df, probs, exact_limit=0, accuracy=acc).collect()}
+           for r in quantiles(df, probs, bits=bits).collect()}
     ref = {r.feature: r.q for r in df.where("value is not null").groupBy("feature")
            .agg(F.percentile("value", F.array(*[F.lit(p) for p in probs])).alias("q")).collect()}
     assert set(got) == set(ref)
     for k in ref:
         for a, b in zip(got[k], ref[k]):
             assert abs(a - b) <= 1e-9 * max(1.0, abs(b)), (k, got[k], ref[k])
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 30)), max_size=60))
+def test_prefix_sums_equal_a_window(spark, data):
+    from pharmaflow.operators.prefix import dense_ids, prefix_sums
+    df = spark.createDataFrame([(g, o, i) for i, (g, o) in enumerate(dict.fromkeys(data))], "g string, o int, v long")
+    got = {(r.g, r.o): r.s for r in prefix_sums(df, ["g"], ["o"], {"v": "s"}).collect()}
+    want = {(g, o): sum(v for v, (h, p) in enumerate(dict.fromkeys(data)) if h == g and p < o) for g, o in data}
+    assert got == want
+    ids = {(r.g, r.o): r.id for r in dense_ids(spark.createDataFrame(data, "g string, o int"), ["g"], ["o"]).collect()}
+    assert ids == {(g, o): len({p for h, p in data if h == g and p < o}) for g, o in data}

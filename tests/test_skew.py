@@ -26,19 +26,45 @@ def test_keep_first_combines_map_side(spark):
     assert out.count() == 2001
 
 
-def test_bracketed_quantiles_hot_value_without_fallback(spark, monkeypatch):
+@pytest.mark.parametrize("bits", [3, 8, 16])
+def test_quantiles_of_a_hot_value(spark, bits):
     rows = [("x", 7.0 if i % 3 == 0 else float(i % 1000)) for i in range(6000)]
     df = spark.createDataFrame(rows, "feature string, value double")
-
-    def no_fallback(*a, **k):
-        raise AssertionError("exact fallback used")
     probs = [0.1, 0.25, 0.5, 0.75, 0.9]
     ref = df.agg(F.percentile("value", F.array(*[F.lit(p) for p in probs]))).first()[0]
-    monkeypatch.setattr(QT, "_exact", no_fallback)
-    got = QT.quantiles(df, probs, exact_limit=0, accuracy=40).first()
+    got = QT.quantiles(df, probs, bits=bits).first()
     assert [got[f"q{i}"] for i in range(len(probs))] == pytest.approx(ref, rel=0, abs=1e-9)
 
 
+def test_quantiles_only_count_rows(spark):
+    """Nothing sorts or gathers the values, whatever their number."""
+    import inspect
+    source = inspect.getsource(QT)
+    assert ".collect(" not in source and "toPandas" not in source and "percentile(" not in source
+    df = spark.createDataFrame([(g, float(i * (g or 7))) for g in (1, 2, None) for i in range(50)], "feature int, value double")
+    got = {r.feature: (r.q0, r.q1) for r in QT.quantiles(df, [0.0, 0.5]).collect()}
+    assert got == {1: (0.0, 24.5), 2: (0.0, 49.0)}
+    assert QT.quantiles(df.limit(0), [0.5]).count() == 0
+    with pytest.raises(ValueError):
+        QT.quantiles(df, [1.5])
+
+
+def test_order_keys_sort_like_doubles(spark):
+    import math
+    import struct
+    small = 5e-324
+    vs = [0.0, -0.0, small, -small, 3 * small, 2.0 ** -1022, 2.0 ** -1022 - small, 1.0, math.nextafter(1, 0), math.nextafter(1, 2), 8.0,
+          math.nextafter(8, 0), math.nextafter(8, 9), 2.0 ** 49, math.nextafter(2.0 ** 49, 0), 0.1, 1e300, -1e300, 1.7976931348623157e308,
+          float("inf"), float("-inf"), -123.456, 2.0 ** 1023, math.nextafter(2.0 ** 1023, 0)]
+    vs += [math.nextafter(2.0 ** e, t) for e in range(-1000, 1000, 37) for t in (0, math.inf)] + [2.0 ** e for e in range(-1074, 1023, 13)]
+    df = QT.with_order_key(spark.createDataFrame([(v,) for v in vs], "v double"), "v", "k")
+    for r in df.collect():
+        bits = struct.unpack("<q", struct.pack("<d", abs(r.v)))[0]
+        assert r.k == (-bits if r.v < 0 else bits), r
+    nan, top = QT.with_order_key(spark.createDataFrame([(float("nan"),), (float("inf"),)], "v double"), "v", "k").collect()
+    assert nan.k > top.k
+
+
 def test_scale_conf_sizes_partitions():
     from pharmaflow.session import scale_conf
     c = scale_conf(100 * 1024 ** 4)
