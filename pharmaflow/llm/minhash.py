@@ -14,12 +14,17 @@ Without repeated shingles both are the same registers and bands. Texts that shar
 are verified by the exact Jaccard of their shingle sets (``threshold``), and links make
 classes.
 
-Scale. Equal texts are one node from the start. A bucket never emits all its
-pairs: its members are verified against one member, components are formed, and only
-members outside the bucket's largest component are compared further, a few per
-bucket (more in each round) against the whole bucket, until every bucket has been compared across
-components in full. A group of n near copies costs about n comparisons, no link
-between components is lost, and no bucket has a cap.
+Scale. Equal texts are one node from the start. Sizes of the shingle sets travel with the
+buckets, and pairs that they rule out are never made. A bucket does not emit its pairs. In
+a round each node that may still gain a link meets one other node only (its *hub*: of the nodes at
+the head of its buckets the one that shares most buckets with others), so a round has at most as
+many pairs as nodes; ``HUB_ROUNDS`` of them join most of a group of near copies. What is left
+are buckets that still hold several components. Their members are compared in blocks inside the tasks, first
+by one byte of each register with weights 1 (a pair is passed over when its share of equal
+bytes is ``EPS`` deviations below the threshold), then those with a possible partner exactly, by their
+shingle sets. A block gives links, at most one a node, and a pair is
+compared in the first bucket that it shares. Large buckets are
+split into blocks that meet two by two in separate tasks, so no bucket has a cap.
 
 Defined cases: a text of one to four words is one shingle; a text without words (or
 NULL) is alone in its class; the class id is the smallest id of the class, NULL only if
@@ -31,18 +36,21 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.window import Window
 
 from .common import broadcast_if, carry, register, saved, table, words
 from .components import connected_components
+from .embedding_dedup import BLOCK, _blocks as block_pairs, _pair_chunks, _sorted as sorted_blocks, _whole_groups
 
 SHINGLE, THRESHOLD = 5, 0.8
 # by the bands with weights 1, a pair at 0.8 shares no band with probability 5e-4, one at 0.4 shares one with 0.05
 BANDS, ROWS = 32, 7
-PIVOTS = 4  # members per bucket compared with the whole bucket in the first round; four times as many in each next one
+HUB_ROUNDS = 3  # rounds in which a node meets one other
+EPS = 4.0  # deviations of the estimate below the threshold at which a pair is passed over
 CHUNK = 1_000_000  # shingles handled at once in a task
 
 _U = np.uint64
@@ -120,16 +128,15 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def all_band_keys(shingles: np.ndarray, doc: np.ndarray, n_docs: int, bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """The band keys of the weighted registers and, where they differ, of those with all
-    weights 1; the texts' keys end to end, and each text's number of keys."""
+    """(n_docs x 2 bands) keys of the weighted registers and, where they differ, of those with all
+    weights 1 (0 where they do not), and the size of each text's shingle set."""
     el, doc, tf = _distinct(shingles, doc)
     weighted = band_keys(_registers(el, doc, 1.0 + np.log(tf), n_docs, bands * rows), bands, rows)
     plain, repeats = weighted.copy(), np.bincount(doc[tf > 1], minlength=n_docs) > 0
     if repeats.any():  # without repeated shingles both are equal
         some, at = repeats[doc], np.cumsum(repeats) - 1
         plain[repeats] = band_keys(_registers(el[some], at[doc[some]], np.ones(int(some.sum())), int(repeats.sum()), bands * rows), bands, rows)
-    new = np.concatenate([np.ones(weighted.shape, bool), plain != weighted], axis=1)
-    return np.concatenate([weighted, plain], axis=1)[new], new.sum(axis=1)
+    return np.concatenate([weighted, np.where(plain != weighted, plain, 0)], axis=1), np.bincount(doc, minlength=n_docs)
 
 
 def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -156,21 +163,28 @@ def _band_batches(bands: int, rows: int):
     def run(batches):
         for batch in batches:
             for part, sh, doc, n in _each_block(batch):
-                keys, k = all_band_keys(sh, doc, n, bands, rows)
-                arr = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(k)]).astype(np.int32), keys)
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("node"), arr], ["id", "node", "bands"])
+                keys, size = all_band_keys(sh, doc, n, bands, rows)
+                arr = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, 2 * bands, dtype=np.int32), keys.ravel())
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("node"), arr, pa.array(size.astype(np.int32))],
+                                                 ["id", "node", "bands", "size"])
     return run
 
 
-def _shingle_batches(batches):
-    for batch in batches:
-        for part, sh, doc, n in _each_block(batch):
-            order = np.lexsort((sh, doc))
-            sh, doc = sh[order], doc[order]
-            new = np.concatenate([[True], (sh[1:] != sh[:-1]) | (doc[1:] != doc[:-1])]) if len(sh) else np.zeros(0, bool)
-            k = np.bincount(doc[new], minlength=n)
-            arr = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(k)]).astype(np.int32), sh[new].view(np.int64))
-            yield pa.RecordBatch.from_arrays([part.column("node"), arr], ["node", "s"])
+def _shingle_batches(registers: int):
+    """(node, s, sketch): the shingle set, and a byte of each register with weights 1."""
+    def run(batches):
+        for batch in batches:
+            for part, sh, doc, n in _each_block(batch):
+                order = np.lexsort((sh, doc))
+                sh, doc = sh[order], doc[order]
+                new = np.concatenate([[True], (sh[1:] != sh[:-1]) | (doc[1:] != doc[:-1])]) if len(sh) else np.zeros(0, bool)
+                sh, doc = sh[new], doc[new]
+                k = np.bincount(doc, minlength=n)
+                arr = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(k)]).astype(np.int32), sh.view(np.int64))
+                sketch = (mix(_registers(sh, doc, np.ones(len(sh)), n, registers)) >> _U(56)).astype(np.uint8)
+                yield pa.RecordBatch.from_arrays([part.column("node"), arr, pa.array([x.tobytes() for x in sketch], pa.binary())],
+                                                 ["node", "s", "sketch"])
+    return run
 
 
 def _node(ws: Column) -> Column:
@@ -182,63 +196,158 @@ def _hashes(ws: Column) -> Column:
     return F.transform(ws, lambda x: F.xxhash64(x))
 
 
+def _fits(a: Column, b: Column, threshold: float) -> Column:
+    """Sets of these sizes can have that Jaccard similarity."""
+    return F.least(a, b) >= F.greatest(a, b) * F.lit(threshold)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose shingle sets have that Jaccard similarity."""
     one = sets.select(F.col("node").alias("a"), F.col("s").alias("sa"))
     two = sets.select(F.col("node").alias("b"), F.col("s").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
-    d = (pairs.join(one, "a").join(two, "b")
-         # sets whose sizes alone rule the similarity out are not compared
-         .where(F.least(F.size("sa"), F.size("sb")) >= F.greatest(F.size("sa"), F.size("sb")) * F.lit(threshold))
-         .select("a", "b", both.alias("both"), (F.size("sa") + F.size("sb")).alias("sum")))
+    d = pairs.join(one, "a").join(two, "b").select("a", "b", both.alias("both"), (F.size("sa") + F.size("sb")).alias("sum"))
     return d.where(F.col("both") >= F.lit(threshold) * (F.col("sum") - F.col("both"))).select("a", "b")
 
 
-def _pairs(d: DataFrame) -> DataFrame:
-    return d.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-
-
-def _components(buckets: DataFrame, sets: DataFrame, threshold: float, pivots: int) -> DataFrame:
-    """(node, component) over ``buckets(key, node)``, for nodes with a link."""
-    first = buckets.groupBy("key").agg(F.min("node").alias("pivot"))
-    links = saved(_verified(_pairs(buckets.join(first, "key").where("node <> pivot")), sets, threshold), "near-links")
-    members = saved(buckets.join(first, "key").where("node <> pivot").select("key", "node"), "near-members")
-    while True:
-        comps = connected_components(links)
-        named = members.join(comps, "node", "left").select(
-            "key", "node", F.coalesce("component", "node").alias("comp"))
-        # buckets that still hold several components, with their largest one
-        sizes = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-        open_ = (sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("top"), F.count(F.lit(1)).alias("k"))
-                 .where("k > 1").select("key", F.col("top.comp").alias("top")))
-        rest = saved(named.join(open_, "key"), "near-open")
-        if rest.isEmpty():
-            return comps
-        turn = (rest.where("comp <> top")
-                .withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy("node")))
-                .where(F.col("r") <= pivots).select("key", F.col("node").alias("pivot"), F.col("comp").alias("pcomp")))
-        turn = saved(turn, "near-pivots")
-        pairs = _pairs(rest.join(turn, "key").where("comp <> pcomp"))
-        links = saved(links.unionByName(_verified(pairs, sets, threshold)), "near-links")
-        pivots *= 4
-        done = turn.select("key", F.col("pivot").alias("node"))
-        members = saved(rest.select("key", "node").join(done, ["key", "node"], "left_anti"), "near-members")
+def _open(buckets: DataFrame, links: DataFrame) -> DataFrame:
+    """Buckets that hold several components: their rows with each node's component, and the
+    largest one of the bucket."""
+    comps = connected_components(links)
+    named = buckets.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
+    sizes = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+    many = (sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("top"), F.count(F.lit(1)).alias("k"))
+            .where("k > 1").select("key", F.col("top.comp").alias("top")))
+    return saved(named.join(many, "key"), "near-open")
+
+
+def _hub_pairs(rows: DataFrame, tried: DataFrame | None, threshold: float) -> DataFrame:
+    """One new pair for every node outside the largest component of a bucket: with the hub of
+    another component there."""
+    def head(cond: Column | None = None) -> Column:
+        h = F.struct("hub", "node", "comp", "size")
+        return F.max(h if cond is None else F.when(cond, h))
+
+    # of each bucket the hub of the largest component, and the hub of the others
+    heads = rows.groupBy("key").agg(head(F.col("comp") == F.col("top")).alias("one"), head(F.col("comp") != F.col("top")).alias("two"))
+    met = rows.where(F.col("comp") != F.col("top")).join(heads, "key").select("node", "comp", "size", F.explode(F.array("one", "two")).alias("h"))
+    met = met.where((F.col("h.comp") != F.col("comp")) & _fits(F.col("size"), F.col("h.size"), threshold)).select(
+        "node", F.struct("h.hub", F.col("h.node").alias("node")).alias("h"))
+    if tried is not None:
+        old = tried.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("p"))
+        old = old.select(F.col("p.a").alias("node"), F.col("p.b").alias("other"))
+        met = met.withColumn("other", F.col("h.node")).join(old, ["node", "other"], "left_anti")
+    best = met.groupBy("node").agg(F.max("h").alias("h"))
+    return best.select(F.least("node", "h.node").alias("a"), F.greatest("node", "h.node").alias("b")).distinct()
+
+
+def _near_pairs(f, threshold: float, registers: int):
+    """Row numbers (a, b) of a block's pairs from different components that sizes and sketches allow."""
+    least = threshold - EPS * math.sqrt(threshold * (1 - threshold) / registers)
+    sketch = np.frombuffer(b"".join(f["sketch"]), np.uint8).reshape(len(f), registers)
+    comp, size = np.unique(f["comp"].to_numpy(), return_inverse=True)[1], f["size"].to_numpy()
+    for a, b in _pair_chunks(f):
+        near = (comp[a] != comp[b]) & (np.minimum(size[a], size[b]) >= np.maximum(size[a], size[b]) * threshold)
+        a, b = a[near], b[near]
+        near = (sketch[a] == sketch[b]).mean(axis=1) >= least
+        yield a[near], b[near]
+
+
+def _possible(bands: int, registers: int, threshold: float):
+    """Rows of a block that take part in such a pair, if no earlier bucket has the pair too."""
+    def run(batches):
+        for f in _whole_groups(batches):
+            keys, t = np.stack(f["keys"].to_numpy()).reshape(len(f), 2, bands), f["t"].to_numpy()
+            alive = np.zeros(len(f), bool)
+            for a, b in _near_pairs(f, threshold, registers):
+                earlier = np.arange(bands) < t[a, None]
+                both = [(keys[a, x] == keys[b, y]) & (keys[a, x] != 0) & earlier for x in (0, 1) for y in (0, 1)]
+                new = ~np.logical_or.reduce(both).any(axis=1)
+                alive[a[new]] = alive[b[new]] = True
+            yield pa.RecordBatch.from_pandas(f.loc[alive], schema=_ALIVE, preserve_index=False)
+    return run
+
+
+_ALIVE = pa.schema([("dim", pa.int32()), ("t", pa.int32()), ("key", pa.int64()), ("i", pa.int64()), ("j", pa.int64()),
+                    ("role", pa.int32()), ("node", pa.binary()), ("comp", pa.binary()), ("size", pa.int32())])
+
+
+def _linked(threshold: float, registers: int):
+    """Links (a, b) between the components of a block, by the shingle sets; no more than join them."""
+    def run(batches):
+        for f in _whole_groups(batches):
+            comp, nodes = f["comp"].to_numpy(), f["node"].to_numpy()
+            sets = [x.view(_U) for x in f["s"]]
+            root: dict[bytes, bytes] = {}
+
+            def find(x: bytes) -> bytes:
+                while root.setdefault(x, x) != x:
+                    root[x] = x = root[root[x]]
+                return x
+
+            one, two = [], []
+            for a, b in _near_pairs(f, threshold, registers):
+                for x, y in zip(a, b):
+                    if (rx := find(comp[x])) == (ry := find(comp[y])):
+                        continue
+                    at = np.minimum(np.searchsorted(sets[x], sets[y]), len(sets[x]) - 1)
+                    both = int((sets[x][at] == sets[y]).sum())
+                    if both >= threshold * (len(sets[x]) + len(sets[y]) - both):
+                        root[rx] = ry
+                        one.append(nodes[x])
+                        two.append(nodes[y])
+            yield pa.RecordBatch.from_arrays([pa.array(one, pa.binary()), pa.array(two, pa.binary())], ["a", "b"])
+    return run
+
+
+def _block_links(rows: DataFrame, nodes: DataFrame, sets: DataFrame, threshold: float, bands: int, registers: int) -> DataFrame:
+    """Links between components that still share a bucket (``rows``), found in blocks."""
+    # both halves of a node's keys have one place for each band
+    rows = rows.select(F.lit(0).alias("dim"), (F.col("t") % bands).alias("t"), "key", "node", "comp", "size")
+    large = (rows.groupBy("dim", "t", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK)
+             .select("dim", "t", "key", F.ceil(F.col("n") / BLOCK).cast("long").alias("s")))
+    first = rows.join(nodes.select("node", F.col("bands").alias("keys")), "node").join(sets.select("node", "sketch"), "node")
+    blocks = sorted_blocks(block_pairs(first, saved(large, "near-large")))
+    alive = saved(blocks.mapInArrow(_possible(bands, registers, threshold), "dim int, t int, key long, i long, j long, role int, "
+                                    "node binary, comp binary, size int"), "near-alive")
+    exact = sorted_blocks(alive.join(sets, "node"))
+    return exact.mapInArrow(_linked(threshold, registers), "a binary, b binary")
+
+
+def _components(buckets: DataFrame, nodes: DataFrame, sets: DataFrame, threshold: float, bands: int, registers: int,
+                rounds: int) -> DataFrame:
+    """(node, component) over ``buckets(t, key, node, size, hub)``, for nodes with a link."""
+    spark = buckets.sparkSession
+    links = spark.createDataFrame([], "a binary, b binary")
+    tried = None
+    rows = buckets.withColumns({"comp": F.col("node"), "top": F.lit(b"").cast("binary")})
+    for _ in range(rounds):
+        pairs = saved(_hub_pairs(rows, tried, threshold), "near-pairs")
+        if pairs.isEmpty():
+            break
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        links = links.unionByName(saved(_verified(pairs, sets, threshold), "near-links"))
+        rows = _open(buckets, links)
+    found = saved(_block_links(rows, nodes, sets, threshold, bands, registers), "near-links")
+    return connected_components(links.unionByName(found))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
-                    bands: int = BANDS, rows: int = ROWS, pivots: int = PIVOTS) -> DataFrame:
+                    bands: int = BANDS, rows: int = ROWS, rounds: int = HUB_ROUNDS) -> DataFrame:
     """One row per input row: ``id``, ``node`` (digest of the words), ``class_id``,
     ``class_node`` (the words of the document that stays) and ``kept``."""
     spark, kind = df.sparkSession, df.schema[id_col].dataType.simpleString()
     base = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
     hashed = base.select("id", words(F.col("t")).alias("w")).select(
         "id", _node(F.col("w")).alias("node"), _hashes(F.col("w")).alias("h"))
-    rows_ = saved(hashed.mapInArrow(_band_batches(bands, rows), f"id {kind}, node binary, bands array<bigint>"), "near-rows")
+    rows_ = saved(hashed.mapInArrow(_band_batches(bands, rows), f"id {kind}, node binary, bands array<bigint>, size int"), "near-rows")
     nodes = saved(rows_.where("node IS NOT NULL").groupBy("node").agg(
-        F.min("id").alias("rep"), F.first("bands").alias("bands")), "near-nodes")
-    members = nodes.select("node", F.explode("bands").alias("key"))
-    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    buckets = saved(members.join(shared, "key").select("key", "node"), "near-buckets")
+        F.min("id").alias("rep"), F.first("bands").alias("bands"), F.first("size").alias("size")), "near-nodes")
+    members = nodes.select("node", "size", F.posexplode("bands").alias("t", "key")).where("key <> 0")
+    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    buckets = saved(members.join(shared, "key").select("t", "key", "node", "size", "n"), "near-buckets")
+    hubs = buckets.groupBy("node").agg(F.sum("n").alias("hub"))
+    buckets = saved(buckets.drop("n").join(hubs, "node"), "near-hubs")
 
     # shingle sets of one row per node that has company; found by id, so that copies of
     # one text do not meet in one task
@@ -247,8 +356,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         "w.node", words(F.col("t")).alias("w"))
     texts = texts.where(_node(F.col("w")) == F.col("node")).dropDuplicates(["node"])
     sets = saved(texts.select("node", _hashes(F.col("w")).alias("h")).mapInArrow(
-        _shingle_batches, "node binary, s array<bigint>"), "near-sets")
-    comps = _components(buckets, sets, threshold, pivots)
+        _shingle_batches(bands * rows), "node binary, s array<bigint>, sketch binary"), "near-sets")
+    comps = _components(buckets, nodes, sets, threshold, bands, bands * rows, rounds)
 
     # classes of several nodes; the document that stays has the smallest id
     named = comps.join(nodes.select("node", "rep"), "node")

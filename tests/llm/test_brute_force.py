@@ -47,7 +47,7 @@ def test_near_duplicate_classes(spark):
 
 
 def test_near_duplicates_in_one_large_group(spark):
-    """Chains and stars of near copies, more of them than a round has pivots."""
+    """Chains and stars of near copies; most links are not those of the first rounds."""
     rnd = np.random.default_rng(4)
     base = [f"w{i}" for i in range(120)]
     rows, text = [], list(base)
@@ -61,8 +61,14 @@ def test_near_duplicates_in_one_large_group(spark):
         t[int(rnd.integers(0, 120))] = f"r{i}"
         rows.append((i, " ".join(t)))
     rows += [(500, "one two"), (501, "one two"), (502, "one two three"), (503, rows[0][1])]
-    got = M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), pivots=3)
-    assert {r.id: r.class_id for r in got.collect()} == near_classes(rows)
+    df, want = spark.createDataFrame(rows, "doc_id long, text string"), near_classes(rows)
+    block = M.BLOCK
+    for rounds, size in ((3, block), (0, block), (1, 8)):  # 0: all links come from blocks
+        M.BLOCK = E.BLOCK = size
+        try:
+            assert {r.id: r.class_id for r in M.near_duplicates(df, rounds=rounds).collect()} == want
+        finally:
+            M.BLOCK = E.BLOCK = block
 
 
 def test_registers_estimate_probability_jaccard():
