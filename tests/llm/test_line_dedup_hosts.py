@@ -29,3 +29,28 @@ def test_rules_by_their_bounds(spark):
     rows = [(f"{n}/{k}", "the same line" if i < k else f"line {i}") for n, k in want for i in range(n)]
     got = L.boilerplate_lines(spark.createDataFrame(rows, "source string, text string")).collect()
     assert {r.host: r.pages for r in got} == {f"{n}/{k}": k for (n, k), bad in want.items() if bad}
+
+
+def test_a_text_of_very_many_lines(spark):
+    """Time grows with the number of lines: one text of 40,000 distinct lines, a tenth of them boilerplate."""
+    import time
+    many = "\n".join([f"own line {i}" for i in range(36_000)] + [f"shared {i}" for i in range(4_000)])
+    rows = [("a", many)] + [("a", "\n".join(f"shared {i}" for i in range(k, 4_000, 4))) for k in (0, 1, 2, 3)] * 12
+    df = spark.createDataFrame(rows, "source string, text string")
+    L.line_dedup(df.limit(1)).collect()
+    began = time.time()
+    got = max(L.line_dedup(df).collect(), key=lambda r: r.n_lines)
+    assert time.time() - began < 20
+    assert (got.n_lines, got.n_dropped) == (40_000, 4_000) and got.text == "\n".join(f"own line {i}" for i in range(36_000))
+
+
+def test_both_rules_in_the_oracle(spark):
+    """Hosts of 400 pages reach the second rule only; SQL and operator agree on it."""
+    import duckdb
+    rows = [(i, "h", f"line {i}\n" + ("Subscribe" if i < 12 else f"other {i}")) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    con = duckdb.connect()
+    documents = df.toPandas()  # noqa: F841  read by the SQL
+    want = {r[0]: r[2:] for r in con.execute(L.SQL).fetchall()}
+    got = {r.row.doc_id: (r.text, r.n_lines, r.n_dropped) for r in L.line_dedup(df).collect()}
+    assert got == want and sum(v[2] for v in got.values()) == 12

@@ -26,7 +26,7 @@ def test_stages(spark):
     pages, seen = Counter(r.source for r in before), Counter()
     for r in before:
         seen.update((r.source, x) for x in {x for x in r.text.split("\n") if WORD.search(x)})
-    bad = {k for k, n in seen.items() if n >= 3 and n > 0.1 * pages[k[0]]}
+    bad = {k for k, n in seen.items() if n >= 3 and n > 0.1 * pages[k[0]] or n >= 10 and n > 0.01 * pages[k[0]]}
     want = {r.doc_id: "\n".join(x for x in r.text.split("\n") if (r.source, x) not in bad) for r in before}
     after = second.collect()
     assert {r.doc_id: r.text for r in after} == want and all(r.n_chars == len(r.text) for r in after)
