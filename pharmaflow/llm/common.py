@@ -52,9 +52,25 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"{label}-{uuid.uuid4().hex[:12]}")
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_WRITTEN: list[str] = []  # folders of ``saved`` that are still there
+
+
+def saved_alone(make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """``saved(make(), label)``; the folders written on the way to it are deleted once it is there."""
+    before = len(_WRITTEN)
+    out = saved(make(), label)
+    jvm = out.sparkSession.sparkContext._jvm
+    for path in _WRITTEN[before:-1]:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(out.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    del _WRITTEN[before:-1]
+    return out
+
+
 def broadcast_if(df: DataFrame, rows: int = 200_000) -> DataFrame:
     """A broadcast hint for a written table of narrow rows, once they are counted and
     few; beyond ``rows`` Spark plans a shuffled join."""
