@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pharmaflow.llm.common import saved, table
+from pharmaflow.llm.common import saved_alone, table
 from pharmaflow.llm.line_dedup import line_dedup
 from pharmaflow.llm.minhash import without_near_duplicates
 from pharmaflow.llm.mixing import mixed_rows
@@ -56,8 +56,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``."""
+    """All stages over the documents of ``sf_dir``. What a stage has written on its way is deleted once its
+    rows are there."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = saved_alone(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
