@@ -207,7 +207,7 @@ def train(df: DataFrame, target: str, numeric: Sequence[str], categorical: Seque
     data = data.select(*used).persist()
     try:
         n = data.count()
-        est = estimator(algorithm, n, k, params, seed=seed)
+        est = _scaled(estimator(algorithm, n, k, params, seed=seed), data)
         if encoding == "table":
             encoder = TableEncoder.fit(data, numeric, categorical)
             return EncodedModel(encoder, _without_summary(df.sparkSession, est.fit(encoder.transform(data)), algorithm))
@@ -218,6 +218,13 @@ def train(df: DataFrame, target: str, numeric: Sequence[str], categorical: Seque
         data.unpersist()
 
 
+def _scaled(est, data: DataFrame):
+    """Linear regression divides its penalty by the label's standard deviation; this takes that back."""
+    if isinstance(est, LinearRegression) and est.getRegParam() > 0:
+        est.setRegParam(est.getRegParam() * (data.agg(F.stddev_pop("label")).first()[0] or 1.0))
+    return est
+
+
 def _without_summary(spark: SparkSession, model, label: str):
     """Save the fitted model under the shared checkpoint dir and reload it.
 
@@ -357,7 +364,7 @@ def _fold_scores(folds: Folds, f: int, algorithm: str, params: Mapping | None, s
     """Fit on the training part of a fold; all scores from the predictions of the rest."""
     from . import evaluate as EV
     part = folds.part(f)
-    est = estimator(algorithm, folds.rows[f], folds.classes, params, seed=seed)
+    est = _scaled(estimator(algorithm, folds.rows[f], folds.classes, params, seed=seed), part.where("NOT _test"))
     pred = _without_summary(folds.spark, est.fit(part.where("NOT _test")), algorithm).transform(part.where("_test"))
     if algorithm in REGRESSORS:
         vals = EV.regression_metrics(pred).first().asDict()

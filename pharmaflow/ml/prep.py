@@ -122,6 +122,9 @@ def fit_preprocessor(df: DataFrame, numeric: Sequence[str], categorical: Sequenc
     return Pipeline(stages=preprocessor_stages(df, numeric, categorical, features_col)).fit(df)
 
 
+VOCABULARY = "value string, slot bigint, feature string"
+
+
 class TableEncoder:
     """M3/M4 with vocabularies as tables: the same vectors as the one-hot stages, for any number of
     categories.
@@ -144,14 +147,14 @@ class TableEncoder:
         if categorical:
             values = value_counts(df, categorical).where(F.col("value").isNotNull())
             dense_ids(values, ["feature"], ["value"], "slot").write.partitionBy("feature").parquet(path)
-            counts = df.sparkSession.read.parquet(path).groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
+            counts = df.sparkSession.read.schema(VOCABULARY).parquet(path).groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
             sizes = {r["feature"]: r["n"] for r in counts.collect()}
         sizes = {c: sizes.get(c, 0) for c in categorical}
         return cls(path, numeric_stats(df, list(numeric)), categorical_modes(df, categorical), sizes, features_col)
 
     def vocabulary(self, df: DataFrame, column: str) -> DataFrame:
         """(value, slot) of a column."""
-        return df.sparkSession.read.schema("value string, slot bigint, feature string").parquet(self.path).where(
+        return df.sparkSession.read.schema(VOCABULARY).parquet(self.path).where(
             F.col("feature") == column).select("value", "slot")
 
     def indexed(self, df: DataFrame) -> DataFrame:
@@ -182,7 +185,7 @@ class TableEncoder:
     def save(self, df: DataFrame, path: str) -> None:
         """The vocabularies and constants under ``path``."""
         if self.sizes:
-            df.sparkSession.read.parquet(self.path).write.mode("overwrite").partitionBy("feature").parquet(f"{path}/vocabulary")
+            df.sparkSession.read.schema(VOCABULARY).parquet(self.path).write.mode("overwrite").partitionBy("feature").parquet(f"{path}/vocabulary")
         state = json.dumps([self.numeric, self.modes, self.sizes, self.features_col])
         df.sparkSession.createDataFrame([(state,)], "state string").write.mode("overwrite").text(f"{path}/state")
 
