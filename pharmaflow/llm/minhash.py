@@ -18,7 +18,7 @@ Scale. Equal texts are one node from the start. Sizes of the shingle sets travel
 buckets, and pairs that they rule out are never made. A bucket does not emit its pairs. In
 a round each node that may still gain a link meets one other node only (its *hub*: of the nodes at
 the head of its buckets the one that shares most buckets with others), so a round has at most as
-many pairs as nodes; ``HUB_ROUNDS`` of them join most of a group of near copies. What is left
+many pairs as nodes; one (``HUB_ROUNDS``) joins most of a group of near copies. What is left
 are buckets that still hold several components. Their members are compared in blocks inside the tasks, first
 by one byte of each register with weights 1 (a pair is passed over when its share of equal
 bytes is ``EPS`` deviations below the threshold), then those with a possible partner exactly, by their
@@ -49,7 +49,7 @@ from .embedding_dedup import BLOCK, _blocks as block_pairs, _pair_chunks, _sorte
 SHINGLE, THRESHOLD = 5, 0.8
 # by the bands with weights 1, a pair at 0.8 shares no band with probability 5e-4, one at 0.4 shares one with 0.05
 BANDS, ROWS = 32, 7
-HUB_ROUNDS = 3  # rounds in which a node meets one other
+HUB_ROUNDS = 1  # rounds in which a node meets one other; each is followed by components, which blocks do without
 EPS = 4.0  # deviations of the estimate below the threshold at which a pair is passed over
 CHUNK = 1_000_000  # shingles handled at once in a task
 
