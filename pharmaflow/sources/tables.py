@@ -36,7 +36,7 @@ class Catalog:
 
     def table(self, name: str) -> DataFrame:
         if name not in self.tables:
-            raise ValueError(f"Table '{name}' not configured. Available: {sorted(self.tables)}")
+            raise ValueError(f"no table is named {name!r}; known are {', '.join(sorted(self.tables))}")
         loc = self.tables[name]
         if isinstance(loc, Mapping):
             opts = dict(loc)
