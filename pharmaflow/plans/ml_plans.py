@@ -396,18 +396,15 @@ def m9_cv_invariants(spark, sf):
     return cv.select("score", r6("mean").alias("mean"), r6("std").alias("std"), "folds")
 
 
-_LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-
-
 def _prices(spark, sf):
-    return t(spark, sf, "lineitem").select(*_LINE_KEYS, F.col("l_quantity").alias("x"), (F.col("l_extendedprice") / 1000).alias("y"))
+    """A number to predict, with a key of its own for each row."""
+    return t(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("x"), (F.col("o_totalprice") / 1000).alias("y"))
 
 
 _LEAST_SQUARES = """
-WITH d AS (SELECT l_quantity AS x, l_extendedprice / 1000 AS y,
-                  CAST((row_number() OVER (ORDER BY md5('42|' || CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR)
-                         || '|' || CAST(l_partkey AS VARCHAR) || '|' || CAST(l_suppkey AS VARCHAR)),
-                         l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1) % {k} AS INTEGER) AS fold FROM lineitem),
+WITH d AS (SELECT o_custkey AS x, o_totalprice / 1000 AS y,
+                  CAST((row_number() OVER (ORDER BY md5('42|' || CAST(o_orderkey AS VARCHAR)), o_orderkey) - 1) % {k} AS INTEGER) AS fold
+           FROM orders),
 f AS (SELECT unnest(range({k}))::INTEGER AS fold),
 g AS (SELECT f.fold, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM f JOIN d ON d.fold <> f.fold GROUP BY f.fold),
 e AS (SELECT d.fold, y, y - a - b * x AS e FROM d JOIN g ON g.fold = d.fold),
@@ -420,7 +417,7 @@ UNION ALL SELECT 'mae', round(avg(mae), 5), round(stddev_pop(mae), 5), count(*)
 UNION ALL SELECT 'r2', round(avg(r2), 5), round(stddev_pop(r2), 5), count(*) FROM s""")
 def m9_cv_regression(spark, sf):
     """Plain folds, least squares on the others, three scores."""
-    cv = MD.cross_validate(_prices(spark, sf), "y", ["x"], [], "linear_regression", _LINE_KEYS, folds=5)
+    cv = MD.cross_validate(_prices(spark, sf), "y", ["x"], [], "linear_regression", ["o_orderkey"], folds=5)
     return cv.select("score", F.round("mean", 5).alias("mean"), F.round("std", 5).alias("std"), "folds")
 
 
@@ -430,7 +427,7 @@ FROM s, (SELECT unnest(range(2))::INTEGER AS trial) GROUP BY trial""")
 def m17_regression_search(spark, sf):
     """A search by the negative mean squared error; without a penalty the rounds of the solver do not matter."""
     space = {"alpha": ("fixed", 0.0), "max_iter": ("int", 50, 100)}
-    hist, _best = MD.random_search(_prices(spark, sf), "y", ["x"], [], "linear_regression", space, n_trials=2, folds=3, key_cols=_LINE_KEYS)
+    hist, _best = MD.random_search(_prices(spark, sf), "y", ["x"], [], "linear_regression", space, n_trials=2, folds=3, key_cols=["o_orderkey"])
     return hist.select("trial", F.round("value", 5).alias("value"), F.round("std", 5).alias("std"), "state")
 
 
