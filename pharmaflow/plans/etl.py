@@ -329,8 +329,8 @@ def nested_bundles(spark, sf) -> DataFrame:
 
 
 def fhir_folder(spark, sf) -> str:
-    """The bundles as ``*.json`` files, one bundle per line, written once per application."""
-    return shared_input(spark, sf, "fhir", lambda path: nested_bundles(spark, sf).select("resourceType", "entry").write.json(path))
+    """The bundles as ``*.json.gz`` files, one bundle per line, written once per application."""
+    return shared_input(spark, sf, "fhir", lambda path: FS.write_records(nested_bundles(spark, sf).select("resourceType", "entry"), path))
 
 
 def parsed_resources(spark, sf, *kinds) -> DataFrame:
@@ -440,9 +440,9 @@ def s4_fhir_directory(spark, sf):
     base = fresh_dir(spark, "fhir")
     b = nested_bundles(spark, sf)
     skipped = F.col("o_orderstatus") == "P"
-    b.where(~skipped).select("resourceType", "entry").write.json(base)
-    (b.where(skipped).select("resourceType", "entry").write.mode("append")
-     .option("mapreduce.output.basename", "hospitalInformation").json(base))
+    FS.write_records(b.where(~skipped).select("resourceType", "entry"), base)
+    FS.write_records(b.where(skipped).select("resourceType", "entry"), base, "append",
+                     **{"mapreduce.output.basename": "hospitalInformation"})
     bundles = FS.read_fhir_dir(spark, base, multi_line=False)
     staged = FL.stage_resources(FL.explode_resources(bundles), fresh_dir(spark, "fhir_staged"))
     return FL.fhir_tables(staged)["encounters"].select("id", "patient")

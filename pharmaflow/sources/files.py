@@ -32,6 +32,8 @@ SAMPLE_PATIENTS = [
     ("patient-2", "1985-05-12", "male"),
 ]
 
+RECORDS_A_FILE = 100_000  # of a compressed file, which one task reads
+
 JSON_SUFFIXES = (".json", ".ndjson", ".ndjsonl")
 CSV_SUFFIXES = (".csv",)
 
@@ -77,10 +79,16 @@ def read_report_files(spark: SparkSession, path: str,
     return raw.select("_file", "_block", "_line", "_report_pos", "report.*")
 
 
+def write_records(df: DataFrame, path: str, mode: str = "errorifexists", **options) -> None:
+    """``df`` as gzipped JSON lines. Nested records repeat every field name, so packed they take about a
+    tenth of the disk; a file holds at most ``RECORDS_A_FILE`` of them, so that reading stays spread."""
+    df.write.mode(mode).options(compression="gzip", maxRecordsPerFile=RECORDS_A_FILE, **options).json(path)
+
+
 def write_report_documents(reports: DataFrame, path: str) -> None:
     """Write every report as a ``{"results": [report]}`` document on a line of its
     own: a map without shuffle, and no document grows with the data."""
-    reports.select(F.array(F.struct(*reports.columns)).alias("results")).write.mode("overwrite").json(path)
+    write_records(reports.select(F.array(F.struct(*reports.columns)).alias("results")), path, "overwrite")
 
 
 # ---------------------------------------------------------------- S2
@@ -157,14 +165,14 @@ def read_csv(spark: SparkSession, path, schema: StructType | None = None) -> Dat
 # ---------------------------------------------------------------- S4
 def read_fhir_dir(spark: SparkSession, path: str, multi_line: bool = True, on_bad: str = "raise",
                   bad_records=None, kinds=None) -> DataFrame:
-    """All ``*.json`` bundles under ``path`` except the skip-listed names.
+    """All ``*.json`` and ``*.json.gz`` bundles under ``path`` except the skip-listed names.
 
     Returns one row per bundle with ``_file`` and ``entry``. ``kinds`` names the
     resource kinds that are wanted: only their fields are parsed (``schemas.bundle``).
     Malformed bundles as in ``read_report_files``.
     """
     df = _strict_json(spark, path, schemas.bundle(kinds), on_bad, bad_records,
-                      multiLine=multi_line, pathGlobFilter="*.json")
+                      multiLine=multi_line, pathGlobFilter="*.{json,json.gz}")
     keep = F.lit(True)
     for name in FHIR_SKIP_NAMES:
         keep = keep & ~F.col("_metadata.file_name").contains(name)
