@@ -1,7 +1,7 @@
 """Nested-record flattening: safety reports (N1-N4) and FHIR bundles.
 
-Explodes are narrow (no shuffle); the only shuffle of the report flow is the
-keep-first dedup.
+Explodes are narrow (no shuffle). The report flow shuffles the report ids, counted,
+and the rows of reports that may repeat a key (``reports_to_events``).
 """
 
 from __future__ import annotations
@@ -10,13 +10,24 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import parse_timestamp, strip_ws, first_value, strip_prefix
 from ..schemas import EVENT_COLUMNS, RESOURCE_FIELDS
+from ..session import ensure_checkpoint_dir
 from .dedup import keep_first
+from .small import small
 
 DEDUP_KEYS = ["safetyreportid", "reaction", "medicinalproduct", "drugauthorizationnumb"]
 DOCUMENT_COLS = ["_file", "_block", "_line", "_report_pos"]
 ORDER_COLS = [*DOCUMENT_COLS, "_reaction_pos", "_drug_pos"]
 
 
+def _reaction(r):
+    """The reaction's name, stripped; an empty name is no name (NULL)."""
+    return F.when(r["reactionmeddrapt"] == "", F.lit(None)).otherwise(strip_ws(r["reactionmeddrapt"]))
+
+
+def _text(c):
+    return strip_ws(F.coalesce(c, F.lit("")))
+
+
 def flatten_reports(reports: DataFrame, keep_order: bool = True) -> DataFrame:
     """One row per (report, reaction, drug), reactions x drugs per report.
 
@@ -44,11 +55,9 @@ def flatten_reports(reports: DataFrame, keep_order: bool = True) -> DataFrame:
 
     out = r.select(
         "safetyreportid", "receivedate", "serious", "patientonsetage", "patientsex",
-        # an empty name is no name (NULL); anything else is stripped
-        F.when(F.col("_reaction.reactionmeddrapt") == "", F.lit(None))
-         .otherwise(strip_ws(F.col("_reaction.reactionmeddrapt"))).alias("reaction"),
-        strip_ws(F.coalesce(F.col("_drug.medicinalproduct"), F.lit(""))).alias("medicinalproduct"),
-        strip_ws(F.coalesce(F.col("_drug.drugauthorizationnumb"), F.lit(""))).alias("drugauthorizationnumb"),
+        _reaction(F.col("_reaction")).alias("reaction"),
+        _text(F.col("_drug.medicinalproduct")).alias("medicinalproduct"),
+        _text(F.col("_drug.drugauthorizationnumb")).alias("drugauthorizationnumb"),
         of("brand_name").alias("brand_name"),
         of("manufacturer_name").alias("manufacturer_name"),
         of("product_ndc").alias("product_ndc"),
@@ -61,9 +70,35 @@ def dedup_events(events: DataFrame, keys=DEDUP_KEYS) -> DataFrame:
     return keep_first(events, keys, ORDER_COLS).select(*EVENT_COLUMNS)
 
 
+def _all_differ(items):
+    return F.size(F.array_distinct(items)) == F.size(items)
+
+
+def _no_repeats():
+    """Whether a report's reactions all differ, and its drugs by product and authorization: its rows
+    are all pairs of the two, so none has the key of another. Arrays of texts are compared by hashing."""
+    def drug(d):
+        product = _text(d["medicinalproduct"])  # its length in front tells where it ends
+        return F.concat_ws(":", F.length(product).cast("string"), product, _text(d["drugauthorizationnumb"]))
+
+    differ = _all_differ(F.transform("patient.reaction", _reaction)) & _all_differ(F.transform("patient.drug", drug))
+    return F.coalesce(differ, F.lit(False))
+
+
 def reports_to_events(reports: DataFrame) -> DataFrame:
-    """N1 + N4: the safety-report transform as one Spark plan."""
-    return dedup_events(flatten_reports(reports))
+    """N1 + N4: the safety-report transform.
+
+    The keys begin with the report id, so two rows share one only within a report that repeats a reaction
+    or a drug, or among reports of one id. The rows of all other reports are first of their keys
+    as they are; only the rest is shuffled and ranked. Ids are counted first, in a job of its own.
+    """
+    ensure_checkpoint_dir(reports.sparkSession)
+    again = (reports.groupBy("safetyreportid").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+             .select(F.col("safetyreportid").alias("_id"), F.lit(True).alias("_again")).checkpoint(eager=True))
+    known = reports.join(small(again), F.col("safetyreportid").eqNullSafe(F.col("_id")), "left")
+    alone = F.col("_again").isNull() & _no_repeats()
+    return (flatten_reports(known.where(alone)).select(*EVENT_COLUMNS)
+            .unionByName(dedup_events(flatten_reports(known.where(~alone)))))
 
 
 # ------------------------------------------------------------------ FHIR
