@@ -16,6 +16,7 @@ import time
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, OneVsRest,
@@ -33,6 +34,7 @@ from .prep import TableEncoder, preprocessor_stages
 from .split import class_weights, fold_ids, weight_table
 
 MAX_TREE_DEPTH = 30  # Spark's limit, taken for "unlimited"; an explicit depth beyond it raises
+ROWS_A_TASK = 20_000  # a pass over fewer takes less than it takes to start its task
 
 # The configured algorithms and their parameters.
 ALGORITHMS = {
@@ -201,21 +203,39 @@ def train(df: DataFrame, target: str, numeric: Sequence[str], categorical: Seque
     and kept while the constants and the model are fitted.
     ``encoding="hash"`` hashes categorical columns, ``"table"`` keeps their vocabularies as
     tables (see ``prep``; the model is then an ``EncodedModel``); ``classes`` as for ``prepare_label``."""
+    return _fitted(_prepared(df, target, numeric, categorical, algorithm, encoding, classes), algorithm, params, seed)
+
+
+def _prepared(df: DataFrame, target: str, numeric, categorical, algorithm: str, encoding: str = "onehot", classes=None):
+    """(encoded rows, their number, the number of classes, the fitted preprocessor). The rows are
+    checkpointed: a cached plan would broadcast the tables it joins again and again during a fit."""
     ensure_checkpoint_dir(df.sparkSession)
     data, k = _labelled(df, target, algorithm, classes)
     used = dict.fromkeys([*numeric, *categorical, "label", *(["weight"] if "weight" in data.columns else [])])
     data = data.select(*used).persist()
-    try:
-        n = data.count()
-        est = _scaled(estimator(algorithm, n, k, params, seed=seed), data)
-        if encoding == "table":
-            encoder = TableEncoder.fit(data, numeric, categorical)
-            return EncodedModel(encoder, _without_summary(df.sparkSession, est.fit(encoder.transform(data)), algorithm))
-        stages = preprocessor_stages(data, numeric, categorical, encoding=encoding)
-        fitted = Pipeline(stages=stages + [est]).fit(data)
-        return PipelineModel(fitted.stages[:-1] + [_without_summary(df.sparkSession, fitted.stages[-1], algorithm)])
-    finally:
-        data.unpersist()
+    data, cached = data.checkpoint(eager=True), data  # with the partitions of the cached plan
+    cached.unpersist()
+    if encoding == "table":
+        encoder = TableEncoder.fit(data, numeric, categorical)
+    else:
+        encoder = Pipeline(stages=preprocessor_stages(data, numeric, categorical, encoding=encoding)).fit(data)
+    return encoder.transform(data), data.count(), k, encoder
+
+
+def _fitted(prepared, algorithm: str, params: Mapping | None, seed: int):
+    rows, n, k, encoder = prepared
+    est = _scaled(estimator(algorithm, n, k, params, seed=seed), rows)
+    model = _without_summary(rows.sparkSession, est.fit(_dealt(rows, est, n)), algorithm)
+    return EncodedModel(encoder, model) if isinstance(encoder, TableEncoder) else PipelineModel(encoder.stages + [model])
+
+
+def _dealt(data: DataFrame, est, n: int) -> DataFrame:
+    """The ``n`` rows in no more partitions than they fill. Boosting and the linear solvers make hundreds of
+    short passes one after another, each a job with a task per partition; a forest grows all its trees in a
+    few long ones and keeps its partitions, which its bootstrap samples follow."""
+    if isinstance(est, (RandomForestClassifier, RandomForestRegressor)):
+        return data
+    return data.coalesce(max(1, -(-n // ROWS_A_TASK)))
 
 
 def _scaled(est, data: DataFrame):
@@ -242,15 +262,28 @@ def _without_summary(spark: SparkSession, model, label: str):
 def train_all(df: DataFrame, target: str, numeric, categorical,
               algorithms: Mapping[str, Mapping] | None = None, seed: int = 42, parallelism: int = PARALLELISM):
     """M8: fit every configured algorithm, several at a time (``fits``); a failure is recorded and the
-    others go on. Returns ({name: model}, [(name, status, error, seconds)])."""
+    others go on. The rows are prepared once for all classifiers and once for all regressors.
+    Returns ({name: model}, [(name, status, error, seconds)])."""
     algorithms = algorithms or ALGORITHMS
     classes = None if all(a in REGRESSORS for a in algorithms) else class_table(df, target)
 
+    prepared = {}
+    for name in algorithms:
+        if (kind := name in REGRESSORS) not in prepared:
+            try:
+                prepared[kind] = _prepared(df, target, numeric, categorical, name, classes=classes)
+            except Exception as e:  # what fails all of them is each one's failure
+                prepared[kind] = e
+
     def fit(name: str):
-        return lambda: train(df, target, numeric, categorical, name, algorithms[name], seed, classes=classes)
+        rows = prepared[name in REGRESSORS]
+        if isinstance(rows, Exception):
+            raise rows
+        return _fitted(rows, name, algorithms[name], seed)
 
+    done = run_fits(df.sparkSession, {n: partial(fit, n) for n in algorithms}, parallelism)
     models, log = {}, []
-    for name, (model, error, seconds) in run_fits(df.sparkSession, {n: fit(n) for n in algorithms}, parallelism).items():
+    for name, (model, error, seconds) in done.items():
         if error is None:
             models[name] = model
         log.append((name, "ok" if error is None else "failed", error and f"{type(error).__name__}: {error}", seconds))
@@ -365,7 +398,7 @@ def _fold_scores(folds: Folds, f: int, algorithm: str, params: Mapping | None, s
     from . import evaluate as EV
     part = folds.part(f)
     est = _scaled(estimator(algorithm, folds.rows[f], folds.classes, params, seed=seed), part.where("NOT _test"))
-    pred = _without_summary(folds.spark, est.fit(part.where("NOT _test")), algorithm).transform(part.where("_test"))
+    pred = _without_summary(folds.spark, est.fit(_dealt(part.where("NOT _test"), est, folds.rows[f])), algorithm).transform(part.where("_test"))
     if algorithm in REGRESSORS:
         vals = EV.regression_metrics(pred).first().asDict()
     else:

@@ -5,6 +5,7 @@ import threading
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.wrapper import JavaEstimator
 from pyspark.sql import functions as F
 
 from pharmaflow.ml import evaluate as EV, fits, flow, models as MD, prep as PP
@@ -141,3 +142,28 @@ def test_flow_tunes_filters_and_counts(spark, df):
     assert out["results"].where("model_name = 'nothing'").first().status.startswith("failed: ")
     with pytest.raises(ValueError):
         flow.run(df, "y", ["x"], [], ["id"], {"random_forest": {}}, tune={"other": None})
+
+
+def test_fits_prepare_once_and_boost_in_few_tasks(spark, df, monkeypatch):
+    """All classifiers share one preparation; boosting and the linear solver get the partitions that the rows
+    fill, a forest those of the data."""
+    prepared, parts = [], {}
+    whole, fit = MD._labelled, JavaEstimator._fit
+    monkeypatch.setattr(MD, "_labelled", lambda *a: prepared.append(a[2]) or whole(*a))
+
+    def seen(self, data):
+        parts[type(self).__name__] = data.rdd.getNumPartitions()
+        return fit(self, data)
+
+    monkeypatch.setattr(JavaEstimator, "_fit", seen)
+    algorithms = {"logistic_regression": {}, "random_forest": {"n_estimators": 3}, "gradient_boosting": {"n_estimators": 2}, "broken": {}}
+    data = df.withColumn("y", F.col("y") % 2).repartition(7)
+    models, log = MD.train_all(data, "y", ["x"], ["d"], algorithms)
+    assert len(prepared) == 1 and set(models) == set(algorithms) - {"broken"}
+    assert [s for _n, s, _e, _t in log] == ["ok", "ok", "ok", "failed"]
+    assert parts["LogisticRegression"] == parts["GBTClassifier"] == 1 <= parts["RandomForestClassifier"]
+
+
+def test_a_preparation_that_fails_fails_each_fit(df):
+    models, log = MD.train_all(df, "y", ["no_such_column"], ["d"], {"logistic_regression": {}, "gradient_boosting": {}})
+    assert not models and [s for _n, s, _e, _t in log] == ["failed", "failed"]
