@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from ..operators.prefix import dense_ids
-from ..operators.small import small
+from ..operators.small import SMALL, small
 from ..session import ensure_checkpoint_dir, scratch_path
 from .fits import PARALLELISM, run_fits
 from .prep import TableEncoder, preprocessor_stages
@@ -35,6 +35,9 @@ from .split import class_weights, fold_ids, weight_table
 
 MAX_TREE_DEPTH = 30  # Spark's limit, taken for "unlimited"; an explicit depth beyond it raises
 ROWS_A_TASK = 20_000  # a pass over fewer takes less than it takes to start its task
+# A forest keeps the node of each row in each tree. Else a task gets all trees grown so far, and each pass
+# sends each row down each of them from the root; the trees are the same.
+DEEP_TREES = {"cacheNodeIds": True}
 
 # The configured algorithms and their parameters.
 ALGORITHMS = {
@@ -110,7 +113,7 @@ def estimator(name: str, n_rows: int, n_classes: int, params: Mapping | None = N
         return est
     if name == "random_forest":
         est = RandomForestClassifier(numTrees=int(p.get("n_estimators", 100)),
-                                     maxDepth=_depth(p.get("max_depth")), **_tree_params(p),
+                                     maxDepth=_depth(p.get("max_depth")), **_tree_params(p), **DEEP_TREES,
                                      seed=seed, labelCol=label, featuresCol=features)
         if weight and p.get("class_weight") == "balanced":
             est.setWeightCol(weight)
@@ -125,7 +128,7 @@ def estimator(name: str, n_rows: int, n_classes: int, params: Mapping | None = N
                                 elasticNetParam=0.0, standardization=False, labelCol=label, featuresCol=features)
     if name == "random_forest_regressor":
         return RandomForestRegressor(numTrees=int(p["n_estimators"]), maxDepth=_depth(p["max_depth"]), **_tree_params(p),
-                                     seed=seed, labelCol=label, featuresCol=features)
+                                     **DEEP_TREES, seed=seed, labelCol=label, featuresCol=features)
     if name == "gradient_boosting_regressor":
         return GBTRegressor(maxIter=int(p["n_estimators"]), stepSize=float(p["learning_rate"]), maxDepth=_depth(p["max_depth"]),
                             **_tree_params(p), seed=seed, labelCol=label, featuresCol=features)
@@ -192,7 +195,8 @@ def _labelled(df: DataFrame, target: str, algorithm: str, classes) -> tuple[Data
     if algorithm in REGRESSORS:
         return data.withColumn("label", F.col(target).cast("double")), 0
     data, classes = prepare_label(data, target, classes=classes)
-    return class_weights(data, "label"), classes.count()
+    k = classes.count()
+    return class_weights(data, "label", few=k <= SMALL), k
 
 
 def train(df: DataFrame, target: str, numeric: Sequence[str], categorical: Sequence[str],
@@ -212,14 +216,15 @@ def _prepared(df: DataFrame, target: str, numeric, categorical, algorithm: str,
     ensure_checkpoint_dir(df.sparkSession)
     data, k = _labelled(df, target, algorithm, classes)
     used = dict.fromkeys([*numeric, *categorical, "label", *(["weight"] if "weight" in data.columns else [])])
-    data = data.select(*used).persist()
-    data, cached = data.checkpoint(eager=True), data  # with the partitions of the cached plan
+    cached = data.select(*used).persist()
+    n = cached.count()
+    data = cached.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-n // ROWS_A_TASK))).checkpoint(eager=True)
     cached.unpersist()
     if encoding == "table":
         encoder = TableEncoder.fit(data, numeric, categorical)
     else:
         encoder = Pipeline(stages=preprocessor_stages(data, numeric, categorical, encoding=encoding)).fit(data)
-    return encoder.transform(data), data.count(), k, encoder
+    return encoder.transform(data), n, k, encoder
 
 
 def _fitted(prepared, algorithm: str, params: Mapping | None, seed: int):

@@ -109,7 +109,8 @@ def weight_table(df: DataFrame, target: str, col: str = "weight") -> DataFrame:
     return d.select(target, (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias(col))
 
 
-def class_weights(df: DataFrame, target: str, col: str = "weight") -> DataFrame:
+def class_weights(df: DataFrame, target: str, col: str = "weight", few: bool = False) -> DataFrame:
     """Balanced weights as a column (M5, M6): the table of the classes joined back on
-    the class value."""
-    return df.join(weight_table(df, target, col), target, "left")
+    the class value; broadcast if the classes are known to be ``few``, else the rows of a class meet in a task."""
+    weights = weight_table(df, target, col)
+    return df.join(F.broadcast(weights) if few else weights, target, "left")

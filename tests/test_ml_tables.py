@@ -167,3 +167,38 @@ def test_fits_prepare_once_and_boost_in_few_tasks(spark, df, monkeypatch):
 def test_a_preparation_that_fails_fails_each_fit(df):
     models, log = MD.train_all(df, "y", ["no_such_column"], ["d"], {"logistic_regression": {}, "gradient_boosting": {}})
     assert not models and [s for _n, s, _e, _t in log] == ["failed", "failed"]
+
+
+def test_forests_get_even_partitions_and_keep_nodes(spark, monkeypatch):
+    """A class that holds nearly all rows does not put them in one partition, whatever files they come from;
+    and a row does not go down all trees again for each level."""
+    slots, seen, fit = spark.sparkContext.defaultParallelism, {}, JavaEstimator._fit
+
+    def watched(self, data):
+        if type(self).__name__.startswith("RandomForest"):
+            parts = [r["count"] for r in data.groupBy(F.spark_partition_id()).count().collect()]
+            seen[type(self).__name__] = max(parts), sum(parts), self.getCacheNodeIds()
+        return fit(self, data)
+
+    monkeypatch.setattr(JavaEstimator, "_fit", watched)
+    data = spark.range(4000).select("id", (F.col("id") % 37).alias("x"), (F.col("id") % 50 > 0).cast("int").alias("y")).coalesce(1)
+    models, _log = MD.train_all(data, "y", ["x"], [], {"random_forest": {"n_estimators": 2, "max_depth": 2},
+                                                       "random_forest_regressor": {"n_estimators": 2, "max_depth": 2}})
+    assert len(models) == len(seen) == 2
+    for largest, rows, kept in seen.values():
+        assert rows == 4000 and largest <= 4000 // slots + 50 and kept
+
+
+def test_kept_nodes_grow_the_same_trees(spark, df):
+    rows = MD._prepared(df, "y", ["x"], ["c", "d"], "random_forest")[0]
+    est = MD.estimator("random_forest", 300, 3, {"n_estimators": 10})
+    a, b = (est.copy({est.cacheNodeIds: kept}).fit(rows).toDebugString.split("\n", 1)[1] for kept in (True, False))
+    assert a == b
+
+
+def test_weights_of_few_classes_are_broadcast(spark, df):
+    from pharmaflow.ml.split import class_weights
+    few, many = class_weights(df, "y", few=True), class_weights(df, "y")
+    key = lambda rows: sorted(rows.select("id", "weight").collect())
+    assert key(few) == key(many)
+    assert "strategy=broadcast" in few._jdf.queryExecution().optimizedPlan().toString()
